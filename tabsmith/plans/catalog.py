@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsmith.plans import bind_draws, bind_sources  # noqa: F401
+from tabsmith.plans import bind_derive, bind_draws, bind_sources  # noqa: F401
 from tabsmith.plans.registry import ORACLES, QUERIES
 
 
