@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tabsmith.plans import bind_derive, bind_draws, bind_sources  # noqa: F401
+from tabsmith.plans import (  # noqa: F401
+    bind_derive, bind_draws, bind_keyed, bind_profile, bind_quality, bind_sources, bind_stream)
 from tabsmith.plans.registry import ORACLES, QUERIES
 
 

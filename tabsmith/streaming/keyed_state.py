@@ -53,7 +53,9 @@ def stream_first_seen(stream: DataFrame, key_col: str) -> DataFrame:
 
 
 def stream_progress(stream: DataFrame, ts_col: str, window: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """T-3: rows per tumbling event-time window with a watermark."""
-    s = stream.withColumn("_ets", F.col(ts_col).cast("timestamp")).withWatermark("_ets", delay)
-    return s.groupBy(F.window("_ets", window).alias("w")).agg(F.count(F.lit(1)).alias("n_rows")) \
+    """T-3: rows per tumbling event-time window with a watermark. ``ts_col`` is a
+    TIMESTAMP; for naive wall-clock input build it with ``timestamp_micros`` of the
+    naive microseconds so windows align to wall-clock days in any session zone."""
+    s = stream.withWatermark(ts_col, delay)
+    return s.groupBy(F.window(ts_col, window).alias("w")).agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(F.col("w.start").alias("window_start"), "n_rows")
