@@ -261,11 +261,11 @@ def choose_specialist(rows: DataFrame, key: str, scores: DataFrame, spec_col: st
     chosen = best.where(F.col("_bi") == F.floor(u(stream + ":best", key) * F.col("_nb"))) \
         .select(key, F.col(spec_col).alias("_best"), F.col("_max").alias("score"))
     specs = all_specs.select(F.col(spec_col).alias("_any")).distinct()
-    n_specs = specs.count()
+    n_specs = specs.agg(F.count(F.lit(1))).scalar()
     wa = Window.orderBy("_any")
     specs = specs.withColumn("_ai", (F.row_number().over(wa) - 1).cast("bigint"))
     d = rows.select(key).join(chosen, key, "left").withColumn("score", F.coalesce("score", F.lit(0)).cast("bigint"))
-    d = d.withColumn("_ai", pick_index(n_specs, stream + ":any", key))
+    d = d.withColumn("_ai", F.floor(u(stream + ":any", key) * n_specs).cast("bigint"))
     d = d.join(F.broadcast(specs), "_ai", "left")
     choice = (
         F.when(F.col("score") >= 2, F.col("_best"))

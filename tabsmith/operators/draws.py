@@ -25,12 +25,15 @@ def _c(x) -> Column:
 
 def pick_uniform(df: DataFrame, dictionary: DataFrame, stream: str, keys: Sequence, out_col: str,
                  n: int | None = None, idx_col: str = "idx", value_col: str = "value") -> DataFrame:
-    """D-1: one uniform dictionary entry per row (``choice``)."""
-    n = dictionary.count() if n is None else n
-    if n == 0:
+    """D-1: one uniform dictionary entry per row (``choice``). The dictionary size is a
+    scalar subquery unless given; the join is on the drawn index."""
+    if n is not None and n == 0:
         return df.withColumn(out_col, F.lit(None).cast("string"))
-    d = df.withColumn("_pick", pick_index(n, stream, *keys))
-    lk = checked_broadcast(dictionary.select(F.col(idx_col).alias("_pick"), F.col(value_col).alias(out_col)), n)
+    size = F.lit(n) if n is not None else dictionary.agg(F.count(F.lit(1))).scalar()
+    d = df.withColumn("_pick", F.floor(u(stream, *keys) * size).cast("bigint"))
+    lk = dictionary.select(F.col(idx_col).alias("_pick"), F.col(value_col).alias(out_col))
+    if n is not None:
+        lk = checked_broadcast(lk, n)
     return d.join(lk, "_pick", "left").drop("_pick")
 
 

@@ -52,3 +52,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def materialize(df, name: str = "stage"):
+    """Cut the lineage of a frame that several later branches reuse: write it once as
+    a parquet table in the shared checkpoint folder and read it back. One pass (a
+    ``checkpoint()`` of an unpersisted frame computes it twice), survives executor
+    loss, and the read-back scan still prunes columns and pushes filters."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
