@@ -121,7 +121,8 @@ def fallback_fill(rows: DataFrame, row_keys: Sequence[str], group_col: str, own:
     """D-9: k items from the group's own list; if it is shorter than k, all of it plus
     a sample of the general list minus what was already chosen.
 
-    ``own``: (group, item); ``general``: (item), a short fixed list. Candidates are own
+    ``own``: (group, item); ``general``: (item), a short list (passed as one array, a
+    scalar subquery). Candidates are own
     items (priority 0) and, only for rows whose own list is shorter than k, general
     items not in that list (priority 1); ranked by (priority, draw)."""
     own_d = own.select(group_col, item_col).distinct()
@@ -129,9 +130,9 @@ def fallback_fill(rows: DataFrame, row_keys: Sequence[str], group_col: str, own:
     rk = rows.select(*row_keys, group_col).withColumn("_k", k)
     rk = rk.join(sizes, group_col, "left").withColumn("_own_n", F.coalesce("_own_n", F.lit(0)))
     own_c = rk.join(own_d, group_col, "inner").withColumn("_prio", F.lit(0))
-    gen_items = F.broadcast(general.select(item_col).distinct().withColumn("_one", F.lit(1)))
-    short = rk.where(F.col("_own_n") < F.col("_k")).withColumn("_one", F.lit(1))
-    gen_c = short.join(gen_items, "_one", "inner").drop("_one")
+    gen_items = general.select(item_col).distinct().agg(F.array_sort(F.collect_list(item_col))).scalar()
+    short = rk.where(F.col("_own_n") < F.col("_k"))
+    gen_c = short.withColumn(item_col, F.explode(gen_items))
     gen_c = gen_c.join(own_d, [group_col, item_col], "left_anti").withColumn("_prio", F.lit(1))
     cands = own_c.unionByName(gen_c).drop("_own_n")
     return top_k_by_draw(cands, row_keys, [item_col], F.col("_k"), k_max, stream, prio=F.col("_prio")).drop("_prio")

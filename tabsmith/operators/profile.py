@@ -58,14 +58,15 @@ def quality_stats(checked: DataFrame, errors_col: str = "errors") -> DataFrame:
 
 
 def batch_progress(df: DataFrame, id_col: str, batch_size: int = 1000) -> DataFrame:
-    """A-5: rows per batch, running rows and running % (window over batch rows only)."""
+    """A-5: rows per batch, running rows and running % of all rows. The running sum is
+    the two-phase prefix sum over batch numbers (no single-task window over n / 1000
+    rows); the total is a scalar subquery."""
+    from tabsmith.operators.prefix import prefix_sum
     per = df.groupBy(F.floor(F.col(id_col) / F.lit(batch_size)).cast("bigint").alias("batch")) \
         .agg(F.count(F.lit(1)).alias("n_rows"))
-    w = Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, 0)
-    wall = Window.partitionBy(F.lit(1))
-    out = per.withColumn("cum_rows", F.sum("n_rows").over(w).cast("bigint")) \
-        .withColumn("_tot", F.sum("n_rows").over(Window.orderBy("batch").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    return out.withColumn("cum_pct", F.round(F.col("cum_rows") * 100.0 / F.col("_tot"), 4)).drop("_tot")
+    total = per.agg(F.sum("n_rows")).scalar()
+    out = prefix_sum(per, "batch", [("n_rows", "cum_rows")], inclusive=True)
+    return out.withColumn("cum_pct", F.round(F.col("cum_rows") * 100.0 / total, 4))
 
 
 def batch_sample(df: DataFrame, id_col: str, batch_size: int = 1000, per_batch: int = 2) -> DataFrame:

@@ -191,9 +191,7 @@ def candidates_merge(spark, sf):
     cb = cust_brand(spark, sf).withColumn("_k", rand_int(1, 5, "d10:k", "c_custkey"))
     own = own_small(spark, sf)
     base = cb.join(own, "brand").select("c_custkey", "word")
-    common = spark.createDataFrame([(w,) for w in COMMON_WORDS], "word string")
-    with_common = cb.select("c_custkey").withColumn("_one", F.lit(1)).join(
-        F.broadcast(common.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    with_common = cb.select("c_custkey", F.explode(F.array(*[F.lit(w) for w in COMMON_WORDS])).alias("word"))
     base = base.unionByName(with_common).distinct()
     cnt = base.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("_nc"))
     short = cb.join(cnt, "c_custkey").where(F.col("_nc") < F.col("_k"))

@@ -307,12 +307,12 @@ FROM (SELECT count(*) AS n FROM events) r,
 """)
 def min_rows(spark, sf):
     part = read(spark, sf, "part")
-    words = part.select(F.explode(lookups.tokens("p_name")).alias("w")).agg(F.count_distinct("w").alias("distinct_words"))
-    p = part.agg(F.count_distinct("p_brand").alias("distinct_specialists"), F.count_distinct("p_name").alias("distinct_items"))
+    words = part.select(F.explode(lookups.tokens("p_name")).alias("w")).agg(F.count_distinct("w")).scalar()
+    specs = part.agg(F.count_distinct("p_brand")).scalar()
+    items = part.agg(F.count_distinct("p_name")).scalar()
     r = read(spark, sf, "events").agg(F.count(F.lit(1)).alias("rows_count"))
-    # three one-row aggregates side by side: each is a single row, joined on a constant
-    one = F.lit(1)
-    m = r.withColumn("_one", one).join(words.withColumn("_one", one), "_one").join(p.withColumn("_one", one), "_one")
+    m = r.select("rows_count", words.alias("distinct_words"), specs.alias("distinct_specialists"),
+                 items.alias("distinct_items"))
     return m.select(
         "rows_count", "distinct_words", "distinct_specialists", "distinct_items",
         (F.col("rows_count") >= fixed.DATASET_MIN_ROWS).alias("rows_ok"),

@@ -77,6 +77,12 @@ class Dictionaries:
         self.exact = spark.createDataFrame(list(p.exact_prices), "name string, price bigint")
         rows = [(f"{b}/{s}", x) for b, ss in fixed.BANK_BINS.items() for s, xs in ss.items() for x in xs]
         self.bins = spark.createDataFrame(rows, "grp string, bin string")
+        self.spec_index = lookups.dictionary(self.specs.select(F.col("spec").alias("v")), "v")
+        # each dictionary is bounded by the catalogue vocabulary, not by the catalogue:
+        # keep one computed copy per run instead of re-deriving it in every stage
+        for name in ("specs", "symptom_map", "general_symptoms", "analysis_map", "allowed", "surnames",
+                     "patronymics", "names", "spec_index"):
+            setattr(self, name, getattr(self, name).persist())
 
 
 def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
@@ -139,8 +145,7 @@ def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str,
     # doctor: by gender (p) or by symptoms of a speciality drawn at random (1 - p)
     v = v.withColumn("path_gender", u("k7:path", "visit_id") < F.lit(p.p_gender_path))
     v = draws.pick_grouped(v, "gender", d.allowed, "gender", "doctor", "k7:doc_g", ["visit_id"], "doc_g")
-    v = draws.pick_uniform(v, d.specs.select(F.col("spec").alias("v")).transform(
-        lambda x: lookups.dictionary(x, "v")), "k7:doc_t", ["visit_id"], "doc_t")
+    v = draws.pick_uniform(v, d.spec_index, "k7:doc_t", ["visit_id"], "doc_t")
     v = v.withColumn("symptom_doctor", F.when(F.col("path_gender"), F.col("doc_g")).otherwise(F.col("doc_t")))
     v = materialize(v, "visits-doctor-draws")
     k_s = rand_int(p.symptoms[0], p.symptoms[1], "k7:k_symptoms", "visit_id")

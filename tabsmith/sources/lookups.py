@@ -97,16 +97,14 @@ def dict_cross(a: DataFrame, a_col: str, b: DataFrame, b_col: str, sep: str = "
     """Phrases a + sep + b for every pair of two word lists.
 
     The product is the feature, so its size is |a| x |b|. The smaller list ``b`` is
-    size-checked, gathered into one array per task via a broadcast and exploded next to
-    each ``a`` row; ``a`` stays distributed."""
+    size-checked, becomes one array (a scalar subquery) and is exploded next to each
+    ``a`` row; ``a`` stays distributed."""
     bd = b.select(F.col(b_col).alias("_b")).distinct()
     n = b_rows if b_rows is not None else bd.count()
     if n > CROSS_SMALL_SIDE_MAX:
         raise ValueError(f"dict_cross: second list has {n} entries (> {CROSS_SMALL_SIDE_MAX})")
-    arr = bd.agg(F.collect_set("_b").alias("_bs"))
-    ad = a.select(F.col(a_col).alias("_a")).distinct().withColumn("_one", F.lit(1))
-    joined = ad.join(F.broadcast(arr.withColumn("_one", F.lit(1))), "_one")
-    pairs = joined.select("_a", F.explode("_bs").alias("_b"))
+    words = bd.agg(F.array_sort(F.collect_set("_b"))).scalar()
+    pairs = a.select(F.col(a_col).alias("_a")).distinct().select("_a", F.explode(words).alias("_b"))
     return pairs.select(F.concat_ws(sep, "_a", "_b").alias(out_col))
 
 
