@@ -4,6 +4,7 @@ and the multiset of rows (order-insensitive)."""
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 
@@ -70,6 +71,9 @@ def main(argv):
     sf_dir = "/root/testdata/sf0.01"
     only = argv[1:]
     spark = local_session()
+    tz = os.environ.get("CHECK_TZ")
+    if tz:
+        spark.conf.set("spark.sql.session.timeZone", tz)
     con = duck(sf_dir)
     qs, os_ = entry.queries(), entry.oracle_sql()
     ok_n = 0
