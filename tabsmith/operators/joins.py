@@ -14,8 +14,3 @@ def checked_broadcast(df: DataFrame, n_rows: int, max_rows: int = BROADCAST_MAX_
     DataFrame is returned and Spark plans a shuffle join (AQE may still convert it at
     run time under ``spark.sql.adaptive.autoBroadcastJoinThreshold``)."""
     return F.broadcast(df) if n_rows <= max_rows else df
-
-
-def counted(df: DataFrame) -> tuple[DataFrame, int]:
-    """Count a small derived lookup once (one scalar back to the driver)."""
-    return df, df.count()

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabsmith.functions import codecs, timecols
-from tabsmith.operators import derive, keyed, quality
+from tabsmith.operators import derive, quality
 from tabsmith.plans import bind_derive as bd
 from tabsmith.plans import bind_keyed as bk
 from tabsmith.plans.registry import query
