@@ -1,11 +1,11 @@
 """Prefix sums and per-key row numbers that never put a whole table or a whole hot
 key into one task.
 
-``prefix_sum``: two-phase running sum over a unique long order key. Rows are cut into
+``prefix_sum``: blocked running sum over a unique long order key. Rows are cut into
 blocks of ``block_size`` consecutive keys; per-block totals are aggregated (partial
-aggregation, one row per block), turned into block offsets by a window over the block
-rows only, and the running sum inside each block is a window partitioned by block.
-The only unpartitioned window runs over n / block_size rows.
+aggregation, one row per block) and turned into block offsets by the same procedure one
+level up (blocks of blocks), and the running sum inside each block is a window
+partitioned by block. The only unpartitioned window runs over n / block_size^2 rows.
 
 ``keyed_row_number``: ``row_number() over (partition by keys order by ...)`` where each
 key is further cut by a block column that is non-decreasing in the order (a day of
@@ -33,25 +33,32 @@ def prefix_sum(
     sums: Sequence[tuple[str | Column, str]],
     block_size: int = DEFAULT_BLOCK,
     inclusive: bool = False,
+    levels: int = 2,
 ) -> DataFrame:
     """Add running sums ``out = sum(value) over rows with order < this row`` (or <= when
-    ``inclusive``) for each (value, out) pair. ``order_col`` must be unique, non-negative."""
+    ``inclusive``) for each (value, out) pair. ``order_col`` must be unique, non-negative.
+
+    With ``levels`` = 2 the block totals are themselves summed in blocks, so the only
+    unpartitioned window covers n / block_size^2 rows (a few hundred rows at 10^12)."""
     vals = [(F.col(v) if isinstance(v, str) else v, out) for v, out in sums]
-    d = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_size)).cast("bigint"))
-    for i, (v, _) in enumerate(vals):
-        d = d.withColumn(f"_v{i}", v.cast("bigint"))
-    totals = d.groupBy("_blk").agg(*[F.sum(f"_v{i}").alias(f"_t{i}") for i in range(len(vals))])
-    w_blocks = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        "_blk", *[F.coalesce(F.sum(f"_t{i}").over(w_blocks), F.lit(0)).alias(f"_o{i}") for i in range(len(vals))]
-    )
+    blk, vs = f"_blk{levels}", [f"_v{levels}_{i}" for i in range(len(vals))]
+    ts, os_ = [f"_t{levels}_{i}" for i in range(len(vals))], [f"_o{levels}_{i}" for i in range(len(vals))]
+    d = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_size)).cast("bigint"))
+    for v_name, (v, _) in zip(vs, vals):
+        d = d.withColumn(v_name, v.cast("bigint"))
+    totals = d.groupBy(blk).agg(*[F.sum(v).alias(t) for v, t in zip(vs, ts)])
+    if levels > 1:
+        offsets = prefix_sum(totals, blk, list(zip(ts, os_)), block_size, inclusive=False, levels=levels - 1)
+        offsets = offsets.select(blk, *os_)
+    else:
+        w_blocks = Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
+        offsets = totals.select(blk, *[F.coalesce(F.sum(t).over(w_blocks), F.lit(0)).alias(o) for t, o in zip(ts, os_)])
     end = 0 if inclusive else -1
-    w_in = Window.partitionBy("_blk").orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
-    out = d.join(offsets, "_blk", "inner")
-    for i, (_, name) in enumerate(vals):
-        out = out.withColumn(name, (F.col(f"_o{i}") + F.coalesce(F.sum(f"_v{i}").over(w_in), F.lit(0))).cast("bigint"))
-    drop = ["_blk"] + [f"_v{i}" for i in range(len(vals))] + [f"_o{i}" for i in range(len(vals))]
-    return out.drop(*drop)
+    w_in = Window.partitionBy(blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
+    out = d.join(offsets, blk, "inner")
+    for v_name, o, (_, name) in zip(vs, os_, vals):
+        out = out.withColumn(name, (F.col(o) + F.coalesce(F.sum(v_name).over(w_in), F.lit(0))).cast("bigint"))
+    return out.drop(blk, *vs, *os_)
 
 
 def keyed_row_number(

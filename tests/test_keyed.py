@@ -1,5 +1,6 @@
 """Keyed pools: contracts, edge rows and partition independence."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tabsmith.operators import keyed, prefix
@@ -42,9 +43,10 @@ def test_same_rows_under_1_and_8_partitions(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_prefix_sum_small_blocks_match_window(spark):
+@pytest.mark.parametrize("block_size,levels", [(37, 2), (5, 2), (5, 1), (3, 3)])
+def test_prefix_sum_small_blocks_match_window(spark, block_size, levels):
     df = spark.range(0, 1000).withColumn("x", (F.col("id") % 7).cast("bigint"))
-    got = prefix.prefix_sum(df, "id", [("x", "s")], block_size=37)
+    got = prefix.prefix_sum(df, "id", [("x", "s")], block_size=block_size, levels=levels)
     from pyspark.sql import Window
     w = Window.orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     exp = df.withColumn("s", F.coalesce(F.sum("x").over(w), F.lit(0)).cast("bigint"))
