@@ -109,6 +109,7 @@ def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: Visit
     c = c.withColumn("dept_code", F.when(ru, rp["dept_code"]))
     c = c.withColumn("issue_date", F.when(ru, F.col("issue_date")))
     c = c.withColumn("snils", derive.snils_for("k7:snils", "client_no"))
+    c = materialize(c, "visits-client-draws")   # read three times by the first-wins step below
     # K-1: one passport per name, first client wins; a later client with the same name
     # takes the first client's passport and SNILS (country from the passport format)
     first = keyed.first_wins(c, ["full_name"], "client_no", ["client_no"], "_first")
