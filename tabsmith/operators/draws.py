@@ -48,12 +48,14 @@ def pick_weighted_table(df: DataFrame, weights: DataFrame, stream: str, keys: Se
     return j.withColumn(out_col, F.coalesce(F.col("_k"), F.lit(default))).drop("_u", "_k", "lo", "hi")
 
 
-def pick_tiered(df: DataFrame, tiers: DataFrame, total: int, stream: str, keys: Sequence,
-                out_col: str) -> DataFrame:
+def pick_tiered(df: DataFrame, tiers: DataFrame, total, stream: str, keys: Sequence,
+                out_col: str, broadcast: bool = True) -> DataFrame:
     """D-3: positional step weights (value, weight, cum_lo, cum_hi) with integer
-    cumulative weights; the pick is t = floor(u * total) inside [cum_lo, cum_hi)."""
+    cumulative weights; the pick is t = floor(u * total) inside [cum_lo, cum_hi).
+    ``total`` is an int or a column (e.g. a scalar subquery over a weights table)."""
     d = df.withColumn("_t", pick_index(total, stream, *keys))
-    lk = F.broadcast(tiers.select(F.col("value").alias(out_col), "cum_lo", "cum_hi"))
+    lk = tiers.select(F.col("value").alias(out_col), "cum_lo", "cum_hi")
+    lk = F.broadcast(lk) if broadcast else lk
     j = d.join(lk, (d["_t"] >= lk["cum_lo"]) & (d["_t"] < lk["cum_hi"]), "left")
     return j.drop("_t", "cum_lo", "cum_hi")
 

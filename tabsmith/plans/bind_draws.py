@@ -66,6 +66,30 @@ def pick_tiered(spark, sf):
     return draws.pick_tiered(cust, tiers, total, "d3", ["c_custkey"], "age")
 
 
+@query("pick_weighted_data", """
+WITH w AS (SELECT n_nationkey, n_name, CAST(n_regionkey + 1 AS BIGINT) AS weight FROM nation),
+c AS (SELECT n_name, sum(weight) OVER (ORDER BY n_nationkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_hi,
+             weight FROM w),
+t AS (SELECT n_name, cum_hi - weight AS cum_lo, cum_hi FROM c),
+tot AS (SELECT sum(weight) AS total FROM w)
+SELECT cu.c_custkey, t.n_name AS nation FROM customer cu CROSS JOIN tot
+LEFT JOIN t ON CAST(floor(""" + sql_u("d2:data", "cu.c_custkey") + """ * tot.total) AS BIGINT) >= t.cum_lo
+ AND CAST(floor(""" + sql_u("d2:data", "cu.c_custkey") + """ * tot.total) AS BIGINT) < t.cum_hi
+""")
+def pick_weighted_data(spark, sf):
+    """D-2 with the distribution as data: nation weights (region + 1, integers) ordered
+    by key, cumulative slices by a window over the weights table (a dictionary), the
+    total as a scalar subquery, and a broadcast range join of each row's draw."""
+    from pyspark.sql import Window
+    nat = read(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("value"),
+                                           (F.col("n_regionkey") + 1).cast("bigint").alias("weight"))
+    w = Window.orderBy("n_nationkey").rowsBetween(Window.unboundedPreceding, 0)
+    tiers = nat.withColumn("cum_hi", F.sum("weight").over(w)).withColumn("cum_lo", F.col("cum_hi") - F.col("weight"))
+    total = nat.agg(F.sum("weight")).scalar()
+    cust = read(spark, sf, "customer").select("c_custkey")
+    return draws.pick_tiered(cust, tiers, total, "d2:data", ["c_custkey"], "nation")
+
+
 @query("rand_int", f"SELECT event_id, {sql_rand_int(24, 72, 'd4', 'event_id')} AS hours FROM events")
 def rand_int_q(spark, sf):
     return read(spark, sf, "events").select("event_id", rand_int(24, 72, "d4", "event_id").alias("hours"))
