@@ -2,11 +2,11 @@
 
 import pytest
 
-import __spark_entry__ as entry
+from tabsmith.plans import catalog
 from tests.conftest import SF_CHECK
 from tests.oracle_check import compare, duck
 
-ORACLES = entry.oracle_sql()
+ORACLES = catalog.ORACLES
 
 
 @pytest.fixture(scope="module")
@@ -16,14 +16,14 @@ def con():
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
 def test_query_matches_oracle(spark, con, key):
-    df = entry.queries()[key](spark, SF_CHECK)
+    df = catalog.QUERIES[key](spark, SF_CHECK)
     ok, msg = compare(df, con, ORACLES[key])
     assert ok, f"{key}: {msg}"
 
 
 def test_every_oracle_has_a_query():
-    assert set(ORACLES) <= set(entry.queries())
+    assert set(ORACLES) <= set(catalog.QUERIES)
 
 
 def test_only_flagship_lacks_an_oracle():
-    assert set(entry.queries()) - set(ORACLES) == {"assemble_visits", "visit_errors"}
+    assert set(catalog.QUERIES) - set(ORACLES) == {"assemble_visits", "visit_errors"}
