@@ -2,12 +2,33 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import decontaminate, substrings
+from tabsmith.llm import decontaminate, sharding, substrings, topk
 from tabsmith.llm.registry import ORACLES, QUERIES, query
 from tabsmith.sources.tables import read
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+
+@query("op1_sharding")
+def op1(spark, sf):
+    return sharding.assign_shards(read(spark, sf, "documents"), n_shards=24)
+
+
+OP8_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id query_id, c.vec_id vec_id, list_dot_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
+r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM p)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op8_exact_topk", OP8_SQL)
+def op8(spark, sf):
+    return topk.top_k(read(spark, sf, "embeddings"), k=20, every=20)
+
+
 OP9_SQL = r"""
 WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w FROM documents),
 g AS (SELECT doc_id, j, md5(array_to_string(list_slice(w, j, j + 34), ' ')) win
