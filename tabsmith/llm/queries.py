@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import decontaminate, sharding, substrings, topk
+from tabsmith.llm import decontaminate, mixing, pages, sharding, substrings, topk
 from tabsmith.llm.registry import ORACLES, QUERIES, query
 from tabsmith.sources.tables import read
 
@@ -14,6 +14,34 @@ def op1(spark, sf):
     return sharding.assign_shards(read(spark, sf, "documents"), n_shards=24)
 
 
+@query("op3_html_extraction")
+def op3(spark, sf):
+    return pages.extract_pages(read(spark, sf, "pages"))
+
+
+OP7_SQL = r"""
+WITH u AS (SELECT doc_id, source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT n_tokens FROM documents GROUP BY ALL),
+t AS (SELECT sum(n_tokens)::BIGINT total FROM u),
+s AS (SELECT source, sum(n_tokens)::BIGINT tokens, sum(n_tokens)::DOUBLE / any_value(total) share FROM u, t WHERE n_tokens > 0 GROUP BY source),
+g AS (SELECT k, sum(p) z, (ln(sum(p)) - sum(p * ln(p)) / sum(p)) / ln(count(*)) entropy, max(p / tokens) / sum(p) * any_value(total) repeats
+      FROM (SELECT k, tokens, share ** (k / 4096.0) p FROM s, range(4097) r(k)), t GROUP BY k),
+e AS (SELECT greatest((SELECT max(k) FROM g WHERE entropy >= 0.95), coalesce((SELECT min(k) FROM g WHERE repeats <= 4), 4096)) k),
+plan AS (SELECT source, tokens, floor(share ** (k / 4096.0) / z * total)::BIGINT target FROM s, t, e JOIN g USING (k)),
+x AS (SELECT u.*, target // tokens full_passes, target % tokens rest,
+             unnest(CASE WHEN n_tokens = 0 THEN [0] ELSE range(0, coalesce(target // tokens, 0) + 1) END)::INT pass
+      FROM u LEFT JOIN plan p ON u.source IS NOT DISTINCT FROM p.source),
+o AS (SELECT *, md5('7-block:' || pass || ':' || ('0x' || substr(md5('block:' || doc_id), 1, 2))::INT) block_place, md5('7:' || pass || ':' || doc_id) place FROM x),
+w AS (SELECT *, coalesce(sum(n_tokens) OVER (PARTITION BY source, pass ORDER BY block_place, place, doc_id
+                                             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT "start" FROM o)
+SELECT doc_id, source, n_tokens, pass, "start" FROM w WHERE n_tokens = 0 OR pass < full_passes OR "start" + n_tokens <= rest
+"""
+
+
+@query("op7_mixing", OP7_SQL)
+def op7(spark, sf):
+    return mixing.draw_mix(read(spark, sf, "documents"), entropy=0.95, max_repeats=4.0)
+
+
 OP8_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
