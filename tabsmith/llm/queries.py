@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import decontaminate, mixing, pages, sharding, substrings, topk
+from tabsmith.llm import decontaminate, mixing, neardup, pages, sharding, substrings, topk
 from tabsmith.llm.registry import ORACLES, QUERIES, query
 from tabsmith.sources.tables import read
 
@@ -14,6 +14,25 @@ def op1(spark, sf):
     return sharding.assign_shards(read(spark, sf, "documents"), n_shards=24)
 
 
+OP2_SQL = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x20\x09-\x0D]+') w FROM documents),
+g AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda j: w[j] || ' ' || w[j + 1] || ' ' || w[j + 2])) END g FROM w),
+x AS (SELECT doc_id, len(g) n, unnest(g) s FROM g),
+o AS (SELECT a.doc_id a, b.doc_id b, any_value(a.n) na, any_value(b.n) nb, count(*) c
+      FROM x a JOIN x b ON a.s = b.s AND a.doc_id < b.doc_id AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM o WHERE 100 * c >= 90 * (na + nb - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r AS (SELECT doc_id, doc_id AS c FROM g UNION SELECT e.b, r.c FROM r JOIN e ON e.a = r.doc_id)
+SELECT g.doc_id, len(g)::BIGINT n_shingles, m.c component_id FROM g JOIN (SELECT doc_id, min(c) c FROM r GROUP BY doc_id) m USING (doc_id)
+"""
+
+
+@query("op2_ngram_jaccard", OP2_SQL)
+def op2(spark, sf):
+    return neardup.similar_documents(read(spark, sf, "documents"), shingle=3, percent=90).select("doc_id", "n_shingles", "component_id")
+
+
 @query("op3_html_extraction")
 def op3(spark, sf):
     return pages.extract_pages(read(spark, sf, "pages"))
