@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import decontaminate, mixing, neardup, pages, sharding, substrings, topk
+from tabsmith.llm import decontaminate, langid, language_model, mixing, neardup, pages, sharding, substrings, topk
 from tabsmith.llm.registry import ORACLES, QUERIES, query
 from tabsmith.sources.tables import read
 
@@ -38,6 +38,16 @@ def op3(spark, sf):
     return pages.extract_pages(read(spark, sf, "pages"))
 
 
+@query("op5_lm_scoring")
+def op5(spark, sf):
+    return language_model.score_texts(read(spark, sf, "documents"))
+
+
+@query("op6_language_id")
+def op6(spark, sf):
+    return langid.identify(read(spark, sf, "documents"))
+
+
 OP7_SQL = r"""
 WITH u AS (SELECT doc_id, source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT n_tokens FROM documents GROUP BY ALL),
 t AS (SELECT sum(n_tokens)::BIGINT total FROM u),

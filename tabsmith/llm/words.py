@@ -98,6 +98,13 @@ class Words:
             h[i] = xxhash.xxh64_intdigest(self.buf[self.start[i]: self.end[i]].tobytes())
         return h
 
+    def ends(self, size: int) -> np.ndarray:
+        """64-bit hash of each word's last ``size`` (at most 8) bytes."""
+        padded = np.concatenate([self.buf, np.zeros(8, np.uint8)])
+        lanes = np.ndarray(shape=(len(self.buf) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+        n = np.minimum(self.end - self.start, size)
+        return mix((lanes[self.end - n] & _LANE[n]) + n.astype(np.uint64) * _M3)
+
     def text(self, i: int) -> bytes:
         return self.buf[self.start[i]: self.end[i]].tobytes()
 
