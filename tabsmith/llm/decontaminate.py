@@ -176,6 +176,26 @@ def mark_hits(docs: DataFrame, bench: DataFrame, text_col: str = "text", n: int
     return out
 
 
+def without_hits(docs: DataFrame, bench: DataFrame, text_col: str = "text", n: int = 10, item_col: str = "item_id",
+                 bench_text: str = "text", block_patterns: int = 1 << 16) -> DataFrame:
+    """The rows of ``docs`` in which no window of the benchmark occurs; all columns."""
+    sc, out = docs.sparkSession.sparkContext, docs
+
+    def clean_of(block):
+        def rows(batches):
+            for batch in batches:
+                for piece, buf, offs in pieces(batch, text_col):
+                    w = Words(buf, offs, lower=True, word_bytes=LETTERS_DIGITS)
+                    keep = np.ones(piece.num_rows, bool)
+                    keep[w.doc[block.value.occurrences(w, w.hashes())[0]]] = False
+                    yield piece.filter(pa.array(keep))
+        return rows
+
+    for block in pattern_blocks(bench, n, item_col, bench_text, block_patterns):
+        out = out.mapInArrow(clean_of(sc.broadcast(block)), docs.schema)
+    return out
+
+
 def hit_columns(w: Words, hit: np.ndarray) -> tuple[pa.Array, pa.Array]:
     """(number of hit words, merged hit spans) per document of a piece."""
     total = np.concatenate([[0], np.cumsum(hit)])

@@ -215,23 +215,44 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def predict(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred string and score double. ``model``: a broadcast labeller."""
-    kind = docs.schema.fieldNames()
+def label_texts(model: ByteLabeller | None, buf: np.ndarray, offs: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """(language, score) of each text of a piece; ``und`` with 0 for a text without letters."""
+    ok = has_letter(buf, offs)
+    if model is None:
+        return [UNKNOWN] * len(ok), np.zeros(len(ok))
+    p = model.document_probabilities(buf, offs)
+    return [model.langs[k] if o else UNKNOWN for k, o in zip(p.argmax(1), ok)], np.where(ok, np.clip(p.max(1), 0, 1), 0.0)
+
+
+def predict(docs: DataFrame, model) -> DataFrame:
+    """(doc_id, held_out, lang_pred, score) of (doc_id, held_out, text) rows. ``model``: a
+    broadcast labeller (or None in it)."""
+    kind = schema(("doc_id", "bigint"), ("held_out", "boolean"), ("lang_pred", "string"), ("score", "double"))
 
     def rows(batches):
-        m = model.value
+        for batch in batches:
+            for piece, buf, offs in pieces(batch, "text"):
+                names, score = label_texts(model.value, buf, offs)
+                yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), pa.array(names, pa.string()), pa.array(score)], names=kind.names)
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(rows, kind)
+
+
+def in_known_language(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` whose text gets a language; all columns as they are."""
+    def rows(batches):
         for batch in batches:
             for piece, buf, offs in pieces(batch, text_col):
-                ok = has_letter(buf, offs)
-                p = m.document_probabilities(buf, offs) if m else np.zeros((len(ok), 1))
-                best = p.argmax(1)
-                names = [m.langs[k] if m and o else UNKNOWN for k, o in zip(best, ok)]
-                score = np.where(ok, np.clip(p.max(1), 0, 1), 0.0)
-                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(names, pa.string()), pa.array(score)], names=[*kind, "lang_pred", "score"])
+                names, _ = label_texts(model.value, buf, offs)
+                yield piece.filter(pa.array([x != UNKNOWN for x in names], pa.bool_()))
+
+    return docs.mapInArrow(rows, docs.schema)
 
-    out = schema(("lang_pred", "string"), ("score", "double"))
-    return docs.mapInArrow(rows, type(out)([*docs.schema.fields, *out.fields]))
+
+def trained(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 300):
+    """A broadcast labeller learned from the learnable rows of ``docs``."""
+    src = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
+    return src.sparkSession.sparkContext.broadcast(train(learnable(src), per_lang))
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 300) -> DataFrame:
@@ -241,6 +262,5 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     no letter, and for all rows when nothing is labelled. Ties between languages go to
     the first in sorted order. Repeated rows and rows without doc_id are predicted like
     others (without doc_id: not held out)."""
-    src = pick(docs, doc_id=id_col, text=text_col, lang=lang_col)
-    model = src.sparkSession.sparkContext.broadcast(train(learnable(src), per_lang))
-    return predict(src.select("doc_id", held_out().alias("held_out"), "text"), model).drop("text")
+    model = trained(docs, id_col, text_col, lang_col, per_lang)
+    return predict(pick(docs, doc_id=id_col, text=text_col).withColumn("held_out", held_out()), model)

@@ -339,3 +339,14 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_c
     none = has.where("key IS NULL")
     return (out.select("doc_id", F.col("n").alias("n_shingles"), "class_id", F.col("component").alias("component_id"))
             .union(none.select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("class_id"), F.col("doc_id").alias("component_id"))))
+
+
+def one_of_each_group(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stand for their component (the smallest doc_id); all
+    columns. Of several rows with that doc_id the smallest (column by column) stays. Rows
+    without doc_id stay as they are."""
+    groups = similar_documents(docs, shingle, percent, id_col, text_col)
+    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    named = docs.join(stay, docs[id_col] == stay["_stays"], "left_semi")
+    one = named.groupBy(id_col).agg(F.min(F.struct(*[named[c] for c in docs.columns])).alias("_row"))
+    return one.select("_row.*").union(docs.where(docs[id_col].isNull()))

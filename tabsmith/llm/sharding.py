@@ -15,10 +15,10 @@ its own, so one huge group doesn't widen the other bins.
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import pick
+from tabsmith.llm.common import fresh, pick
 from tabsmith.session import materialize
 
 SPREAD = 64             # parts in which the groups of one size are numbered
@@ -147,16 +147,37 @@ def assign_shards(docs: DataFrame, n_shards: int = 24, capacity: int | None = No
     shard of its own, and shards stay empty when there are fewer groups than shards."""
     text = F.coalesce("text", F.lit(""))
     rows = pick(docs, doc_id=id_col, text=text_col).select(
-        "doc_id", (F.octet_length(text) + F.lit(8)).cast("bigint").alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.xxhash64(text).alias("key"))
+        "doc_id", row_size(F.col("text")).alias("size"), F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"), group_key(F.col("text")).alias("key"))
     rows = materialize(rows, "sizes")
+    out = materialize(rows.join(group_shards(rows, n_shards, capacity), "key").select("doc_id", "size", "text_crc32", "shard"), "placed")
+    return with_slots(out).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def row_size(text: Column) -> Column:
+    return (F.octet_length(F.coalesce(text, F.lit(""))) + F.lit(8)).cast("bigint")
+
+
+def group_key(text: Column) -> Column:
+    """Equal texts have equal keys (should two texts share a key, they stay together)."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
+def group_shards(rows: DataFrame, n_shards: int, capacity: int | None) -> DataFrame:
+    """(key, shard) of each group of ``rows`` (key, size)."""
     groups = materialize(rows.groupBy("key").agg(F.sum("size").alias("total")), "groups")
     sizes = [(r["total"], r["n"]) for r in groups.groupBy("total").agg(F.count(F.lit(1)).alias("n")).toLocalIterator()]
     sizes.sort(reverse=True)
-    runs = pack(sizes, n_shards) if capacity is None else best_fit_decreasing(sizes, capacity)
-    placed = place_groups(groups, runs)
-    out = materialize(rows.join(placed, "key").select("doc_id", "size", "text_crc32", "shard"), "placed")
-    return with_slots(out).select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    return place_groups(groups, pack(sizes, n_shards) if capacity is None else best_fit_decreasing(sizes, capacity))
+
+
+def sharded_documents(docs: DataFrame, n_shards: int = 24, text_col: str = "text") -> DataFrame:
+    """``docs`` with a column shard (more underscores in front if there is one already),
+    to be written with ``partitionBy`` on it. Same packing as ``assign_shards``."""
+    key, name = fresh(docs, "_key"), fresh(docs, "shard")
+    keyed = docs.withColumn(key, group_key(docs[text_col]))
+    placed = group_shards(docs.select(group_key(docs[text_col]).alias("key"), row_size(docs[text_col]).alias("size")), n_shards, None)
+    placed = placed.select(F.col("key").alias(key), F.col("shard").alias(name))
+    return keyed.join(placed, key).select(*docs.columns, name)
 
 
 def place_groups(groups: DataFrame, runs: list[tuple[int, int, int]]) -> DataFrame:
