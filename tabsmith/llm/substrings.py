@@ -12,8 +12,8 @@ looked up anew, so windows across factor borders are checked too.
 
 Two windows agree when both the hash of the anchor run and the hash of the whole
 window (64 bits each) agree. Segments of anchors with more than ``hot`` occurrences do
-not meet in one task: their windows are counted by an aggregate on the window hash and
-joined back, which Spark can pre-aggregate and split.
+not meet in one task: equal segments are counted first, which Spark pre-aggregates; one
+of each kind is then opened, and its windows are counted by an aggregate on their hash.
 """
 
 from __future__ import annotations
@@ -135,14 +135,18 @@ def duplicate_spans(docs: DataFrame, size: int = 50, hot: int = 2000) -> DataFra
     """(doc_id, key, spans): windows (first, n) of each document that start elsewhere too.
     ``docs`` has doc_id, key and text; (doc_id, key) names equal rows only."""
     anchors = anchor_rows(docs, size)
-    often = anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
+    often = materialize(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "anchors")
     wanted = materialize(anchors.join(often, "anchor").select("anchor", "doc_id", "key", "first", "n", (F.col("c") > hot).alias("hot")), "places")
     segs = materialize(segments(docs, wanted, size), "segments")
     cold = parse_blocks(segs.where(~F.col("hot")).drop("hot"))
-    windows = (segs.where("hot").select("doc_id", "key", "first", F.posexplode("windows").alias("i", "win"))
-               .select("doc_id", "key", (F.col("first") + F.col("i")).alias("first"), "win"))
+    many = segs.where("hot").withColumn("kind", F.xxhash64("windows"))
+    kinds = materialize(many.groupBy("anchor", "kind").agg(F.count(F.lit(1)).alias("c"), F.first(F.struct("doc_id", "key", "first", "windows")).alias("one")), "kinds")
+    equal = (many.join(kinds.where("c > 1").select("anchor", "kind"), ["anchor", "kind"])
+             .select("doc_id", "key", "first", F.size("windows").alias("n")))
+    windows = (kinds.select("c", "one.doc_id", "one.key", "one.first", F.posexplode("one.windows").alias("i", "win"))
+               .select("c", "doc_id", "key", (F.col("first") + F.col("i")).alias("first"), "win"))
     twice = windows.groupBy("win").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("win")
-    warm = windows.join(twice, "win").select("doc_id", "key", "first", F.lit(1).alias("n"))
+    warm = equal.union(windows.where("c = 1").join(twice, "win").select("doc_id", "key", "first", F.lit(1).alias("n")))
     return (cold.union(warm).groupBy("doc_id", "key")
             .agg(F.collect_list(F.struct("first", "n")).alias("spans")))
 
