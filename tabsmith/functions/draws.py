@@ -1,7 +1,7 @@
 """Reproducible draws.
 
-Every draw is a pure function of (seed, stream, row key): the first 32 bits of
-``md5("seed:stream:key...")`` divided by 2^32. The value does not depend on
+Every draw is a pure function of (seed, stream, row key): the first 52 bits of
+``md5("seed:stream:key...")`` divided by 2^52 (exact in a double). The value does not depend on
 partitioning, task order or engine, so the same row gets the same draw under 1 or
 1000 partitions, and an SQL engine with ``md5`` can repeat it bit for bit
 (``sql_u`` renders the same expression as SQL text for the oracles).
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 # fixed values: default seed of a run
 SEED = 42
 
-_TWO32 = 4294967296.0
+_TWO52 = 4503599627370496.0
 
 
 def _key(stream: str, ids, seed: int) -> Column:
@@ -27,8 +27,8 @@ def _key(stream: str, ids, seed: int) -> Column:
 
 def u(stream: str, *ids, seed: int = SEED) -> Column:
     """Uniform double in [0, 1) keyed by (seed, stream, ids)."""
-    h = F.conv(F.substring(F.md5(_key(stream, ids, seed)), 1, 8), 16, 10)
-    return h.cast("bigint").cast("double") / F.lit(_TWO32)
+    h = F.conv(F.substring(F.md5(_key(stream, ids, seed)), 1, 13), 16, 10)
+    return h.cast("bigint").cast("double") / F.lit(_TWO52)
 
 
 def rand_int(lo, hi, stream: str, *ids, seed: int = SEED) -> Column:
@@ -49,8 +49,8 @@ def pick_index(n, stream: str, *ids, seed: int = SEED) -> Column:
 def sql_u(stream: str, *ids: str, seed: int = SEED) -> str:
     parts = ", ".join([f"'{seed}'", f"'{stream}'"] + [f"CAST({i} AS VARCHAR)" for i in ids])
     return (
-        f"(CAST(CAST(('0x' || substr(md5(concat_ws(':', {parts})), 1, 8)) AS BIGINT) AS DOUBLE)"
-        f" / CAST({_TWO32!r} AS DOUBLE))"
+        f"(CAST(CAST(('0x' || substr(md5(concat_ws(':', {parts})), 1, 13)) AS BIGINT) AS DOUBLE)"
+        f" / CAST({_TWO52!r} AS DOUBLE))"
     )
 
 

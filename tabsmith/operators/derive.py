@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions import codecs
 from tabsmith.functions.draws import pick_index, rand_int, u
+from tabsmith.operators.joins import checked_broadcast
 from tabsmith.sources import fixed
 
 
@@ -151,7 +152,7 @@ def reassign(df: DataFrame, group_col: str, value_col: str, allowed: DataFrame,
         .withColumn("_ok", F.lit(True))
     sw = swaps.select(F.col(group_col).alias("_sg"), F.col(value_col).alias("_sv"), F.col("new_value").alias("_nv"))
     j = df.join(al, (df[group_col] == al["_ag"]) & (df[value_col] == al["_av"]), "left")
-    j = j.join(F.broadcast(sw), (j[group_col] == sw["_sg"]) & (j[value_col] == sw["_sv"]), "left")
+    j = j.join(checked_broadcast(sw), (j[group_col] == sw["_sg"]) & (j[value_col] == sw["_sv"]), "left")
     out = F.when(F.col("_ok").isNull() & F.col("_nv").isNotNull(), F.col("_nv")).otherwise(F.col(value_col))
     return j.withColumn(out_col, out).drop("_ag", "_av", "_ok", "_sg", "_sv", "_nv")
 
@@ -185,7 +186,7 @@ def sql_keyword_price(name: str, keyword_classes, ranges, default: int) -> str:
 def price_rule(df: DataFrame, name_col: str, exact: DataFrame, keyword_classes, ranges, default: int,
                out_col: str = "price") -> DataFrame:
     """F-15: exact price by name (broadcast lookup of a price list), else keyword rule."""
-    ex = F.broadcast(exact.select(F.col("name").alias("_xn"), F.col("price").cast("bigint").alias("_xp")))
+    ex = checked_broadcast(exact.select(F.col("name").alias("_xn"), F.col("price").cast("bigint").alias("_xp")))
     j = df.join(ex, df[name_col] == ex["_xn"], "left")
     return j.withColumn(out_col, F.coalesce(F.col("_xp"), keyword_price(F.col(name_col), keyword_classes, ranges, default))) \
         .drop("_xn", "_xp")
@@ -231,7 +232,7 @@ def term_matches(terms: DataFrame, words: DataFrame, term_col: str = "term", wor
     vocabulary (grows slowly with the data); ``words`` is a bounded dictionary and is
     broadcast, so the theta join is linear in the vocabulary."""
     voc = terms.select(term_col).distinct()
-    wd = F.broadcast(words.select(word_col).distinct())
+    wd = checked_broadcast(words.select(word_col).distinct())
     cond = F.col(term_col).contains(F.col(word_col)) | F.col(word_col).contains(F.col(term_col))
     return voc.join(wd, cond, "inner")
 
@@ -242,9 +243,10 @@ def specialist_scores(row_terms_df: DataFrame, key: str, spec_words: DataFrame,
     at least one word of the specialist (substring either way)."""
     sw = spec_words.select(spec_col, F.lower(F.col(word_col)).alias(word_col)).distinct()
     matched = term_matches(row_terms_df, sw, term_col, word_col)           # (term, word)
-    term_spec = matched.join(sw, word_col).select(term_col, spec_col).distinct()  # (term, spec)
-    hits = row_terms_df.join(term_spec, term_col)                          # (key, term, spec)
-    return hits.groupBy(key, spec_col).agg(F.count_distinct(term_col).cast("bigint").alias("score"))
+    # one row per matched term, its specialists as one list; (key, term) is unique
+    term_specs = matched.join(checked_broadcast(sw), word_col).groupBy(term_col).agg(F.collect_set(spec_col).alias("_specs"))
+    hits = row_terms_df.join(checked_broadcast(term_specs), term_col).select(key, F.explode("_specs").alias(spec_col))
+    return hits.groupBy(key, spec_col).agg(F.count(F.lit(1)).alias("score"))
 
 
 def choose_specialist(rows: DataFrame, key: str, scores: DataFrame, spec_col: str, all_specs: DataFrame,
@@ -266,7 +268,7 @@ def choose_specialist(rows: DataFrame, key: str, scores: DataFrame, spec_col: st
     specs = specs.withColumn("_ai", (F.row_number().over(wa) - 1).cast("bigint"))
     d = rows.select(key).join(chosen, key, "left").withColumn("score", F.coalesce("score", F.lit(0)).cast("bigint"))
     d = d.withColumn("_ai", F.floor(u(stream + ":any", key) * n_specs).cast("bigint"))
-    d = d.join(F.broadcast(specs), "_ai", "left")
+    d = d.join(checked_broadcast(specs), "_ai", "left")
     choice = (
         F.when(F.col("score") >= 2, F.col("_best"))
         .when(F.col("score") == 1, F.when(u(stream + ":one", key) < F.lit(p_one), F.col("_best")).otherwise(F.lit(default)))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions.draws import pick_index, rand_int, u
 from tabsmith.operators.joins import checked_broadcast
 from tabsmith.operators.prefix import keyed_row_number
+from tabsmith.session import materialize
 
 
 def _c(x) -> Column:
@@ -31,31 +32,27 @@ def pick_uniform(df: DataFrame, dictionary: DataFrame, stream: str, keys: Sequen
         return df.withColumn(out_col, F.lit(None).cast("string"))
     size = F.lit(n) if n is not None else dictionary.agg(F.count(F.lit(1))).scalar()
     d = df.withColumn("_pick", F.floor(u(stream, *keys) * size).cast("bigint"))
-    lk = dictionary.select(F.col(idx_col).alias("_pick"), F.col(value_col).alias(out_col))
-    if n is not None:
-        lk = checked_broadcast(lk, n)
+    lk = checked_broadcast(dictionary.select(F.col(idx_col).alias("_pick"), F.col(value_col).alias(out_col)))
     return d.join(lk, "_pick", "left").drop("_pick")
 
 
 def pick_weighted_table(df: DataFrame, weights: DataFrame, stream: str, keys: Sequence, out_col: str,
-                        default, n_rows: int | None = None) -> DataFrame:
+                        default) -> DataFrame:
     """D-2 with the distribution as data (ord, key, weight, lo, hi): range join of the
     draw against the [lo, hi) slices; the broadcast side is the distribution."""
-    n_rows = weights.count() if n_rows is None else n_rows
     d = df.withColumn("_u", u(stream, *keys))
-    lk = checked_broadcast(weights.select(F.col("key").alias("_k"), "lo", "hi"), n_rows)
+    lk = checked_broadcast(weights.select(F.col("key").alias("_k"), "lo", "hi"))
     j = d.join(lk, (d["_u"] >= lk["lo"]) & (d["_u"] < lk["hi"]), "left")
     return j.withColumn(out_col, F.coalesce(F.col("_k"), F.lit(default))).drop("_u", "_k", "lo", "hi")
 
 
 def pick_tiered(df: DataFrame, tiers: DataFrame, total, stream: str, keys: Sequence,
-                out_col: str, broadcast: bool = True) -> DataFrame:
+                out_col: str) -> DataFrame:
     """D-3: positional step weights (value, weight, cum_lo, cum_hi) with integer
     cumulative weights; the pick is t = floor(u * total) inside [cum_lo, cum_hi).
     ``total`` is an int or a column (e.g. a scalar subquery over a weights table)."""
     d = df.withColumn("_t", pick_index(total, stream, *keys))
-    lk = tiers.select(F.col("value").alias(out_col), "cum_lo", "cum_hi")
-    lk = F.broadcast(lk) if broadcast else lk
+    lk = checked_broadcast(tiers.select(F.col("value").alias(out_col), "cum_lo", "cum_hi"))
     j = d.join(lk, (d["_t"] >= lk["cum_lo"]) & (d["_t"] < lk["cum_hi"]), "left")
     return j.drop("_t", "cum_lo", "cum_hi")
 
@@ -111,43 +108,82 @@ def pick_grouped(df: DataFrame, group_col: str, lookup: DataFrame, lookup_group:
         numbered = keyed_row_number(lk.withColumn("_b", blk), ["_g"], [out_col], F.col("_b"), "_rn")
         numbered = numbered.withColumn("_idx", F.col("_rn") - 1).drop("_rn", "_b")
     sizes = numbered.groupBy("_g").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("_g", "_sg")
-    numbered = numbered.select(F.col("_g").alias("_ng"), F.col("_idx").alias("_nidx"), F.col(out_col).alias("_nv"))
-    d = df.join(sizes, F.col(group_col) == F.col("_sg"), "left").drop("_sg")
+    numbered = checked_broadcast(numbered.select(F.col("_g").alias("_ng"), F.col("_idx").alias("_nidx"), F.col(out_col).alias("_nv")))
+    d = df.join(checked_broadcast(sizes), F.col(group_col) == F.col("_sg"), "left").drop("_sg")
     d = d.withColumn("_idx", F.floor(u(stream, *keys) * F.col("_n")).cast("bigint"))
     j = d.join(numbered, (F.col(group_col) == F.col("_ng")) & (F.col("_idx") == F.col("_nidx")), "left")
     return j.withColumnRenamed("_nv", out_col).drop("_idx", "_n", "_ng", "_nidx")
 
 
+def _ranked(rows: DataFrame, row_keys: Sequence[str], cands: Column, k: Column, item_col: str) -> DataFrame:
+    """The first k of each row's candidate array (structs, last field the item), one row
+    per pick with its rank from 1."""
+    picked = rows.select(*row_keys, F.posexplode(F.slice(F.array_sort(cands), F.lit(1), k.cast("int"))).alias("_r", "_c"))
+    return picked.select(*row_keys, F.col("_c.item").alias(item_col), (F.col("_r") + 1).cast("bigint").alias("rank"))
+
+
+def _drawn(items: Column, prio: int, stream: str, row_keys: Sequence[str]) -> Column:
+    return F.transform(items, lambda w: F.struct(F.lit(prio).alias("prio"), u(stream, *row_keys, w).alias("draw"), w.alias("item")))
+
+
+def item_lists(own: DataFrame, group_col: str, item_col: str) -> DataFrame:
+    """(group, _own): each group's distinct items as one array (a dictionary's list)."""
+    return own.groupBy(group_col).agg(F.collect_set(item_col).alias("_own"))
+
+
 def fallback_fill(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, general: DataFrame,
                   item_col: str, k: Column, k_max: int, stream: str) -> DataFrame:
     """D-9: k items from the group's own list; if it is shorter than k, all of it plus
     a sample of the general list minus what was already chosen.
 
-    ``own``: (group, item); ``general``: (item), a short list (passed as one array, a
-    scalar subquery). Candidates are own
-    items (priority 0) and, only for rows whose own list is shorter than k, general
-    items not in that list (priority 1); ranked by (priority, draw)."""
-    own_d = own.select(group_col, item_col).distinct()
-    sizes = own_d.groupBy(group_col).agg(F.count(F.lit(1)).alias("_own_n"))
-    rk = rows.select(*row_keys, group_col).withColumn("_k", k)
-    rk = rk.join(sizes, group_col, "left").withColumn("_own_n", F.coalesce("_own_n", F.lit(0)))
-    own_c = rk.join(own_d, group_col, "inner").withColumn("_prio", F.lit(0))
-    gen_items = general.select(item_col).distinct().agg(F.array_sort(F.collect_list(item_col))).scalar()
-    short = rk.where(F.col("_own_n") < F.col("_k"))
-    gen_c = short.withColumn(item_col, F.explode(gen_items))
-    gen_c = gen_c.join(own_d, [group_col, item_col], "left_anti").withColumn("_prio", F.lit(1))
-    cands = own_c.unionByName(gen_c).drop("_own_n")
-    return top_k_by_draw(cands, row_keys, [item_col], F.col("_k"), k_max, stream, prio=F.col("_prio")).drop("_prio")
-
-
-def unique_batch(rows: DataFrame, key_col: str, attempts: int, space: int, stream: str, out_col: str) -> DataFrame:
-    """D-11: each row draws up to ``attempts`` candidate values in [0, space); a value
-    goes to its first claimant in (row key, attempt) order, and each row keeps its
-    lowest won attempt. Rows that win nothing keep a null (reported, not retried)."""
-    cand = rows.select(key_col).withColumn("attempt", F.explode(F.sequence(F.lit(1), F.lit(attempts))))
-    cand = cand.withColumn(out_col, pick_index(space, stream, key_col, "attempt"))
-    winners = cand.groupBy(out_col).agg(F.min(F.struct(key_col, "attempt")).alias("_w")).select(
-        out_col, F.col("_w")[key_col].alias(key_col), F.col("_w")["attempt"].alias("attempt"))
-    placed = winners.groupBy(key_col).agg(F.min(F.struct("attempt", out_col)).alias("_p")).select(
-        key_col, F.col("_p")["attempt"].alias("attempt"), F.col("_p")[out_col].alias(out_col))
-    return rows.join(placed, key_col, "left")
+    ``own``: (group, item); ``general``: (item); both are dictionaries and travel as arrays
+    (the general list as a scalar subquery). Each row orders its candidates by (own before
+    general, draw) inside a projection: no row per candidate, no window, no join back."""
+    lists = checked_broadcast(item_lists(own, group_col, item_col))
+    gen_items = general.agg(F.array_sort(F.collect_set(item_col))).scalar()
+    d = rows.select(*row_keys, group_col).withColumn("_k", k).join(lists, group_col, "left")
+    mine = F.coalesce(F.col("_own"), F.array().cast("array<string>"))
+    d = d.withColumn("_own", mine).withColumn("_gen", gen_items)
+    extra = F.when(F.size("_own") < F.col("_k"), F.array_except("_gen", "_own")).otherwise(F.array().cast("array<string>"))
+    cands = F.concat(_drawn(F.col("_own"), 0, stream, row_keys), _drawn(extra, 1, stream, row_keys))
+    return _ranked(d, row_keys, cands, F.least(F.col("_k"), F.lit(k_max)), item_col)
+
+
+def candidates_merge(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, common: Sequence[str],
+                     dictionary: DataFrame, item_col: str, k: Column, k_max: int, stream: str) -> DataFrame:
+    """D-10: k items from the group's own list plus ``common`` words; when these are fewer
+    than k, the missing number is drawn from the whole dictionary (idx, value), with
+    replacement, first. Picks are ordered by draw; duplicates count once."""
+    lists = checked_broadcast(item_lists(own, group_col, item_col))
+    words = dictionary.agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "value"))), lambda x: x["value"])).scalar()
+    d = rows.select(*row_keys, group_col).withColumn("_k", k).join(lists, group_col, "left")
+    base = F.array_distinct(F.concat(F.coalesce(F.col("_own"), F.array().cast("array<string>")), F.array(*[F.lit(w) for w in common])))
+    d = d.withColumn("_base", base).withColumn("_words", words)
+    missing = F.col("_k") - F.size("_base")
+    slots = F.when(missing > 0, F.sequence(F.lit(1).cast("bigint"), missing)).otherwise(F.array().cast("array<bigint>"))
+    drawn = F.transform(slots, lambda i: F.element_at("_words", (F.floor(u(stream + ":extra", *row_keys, i) * F.size("_words")) + 1).cast("int")))
+    d = d.withColumn("_all", F.array_distinct(F.concat("_base", drawn)))
+    return _ranked(d, row_keys, _drawn(F.col("_all"), 0, stream, row_keys), F.least(F.col("_k"), F.lit(k_max)), item_col)
+
+
+def unique_batch(rows: DataFrame, key_col: str, stream: str, out_col: str, spread: int = 16, max_rounds: int = 64) -> DataFrame:
+    """D-11: a value of its own for every row, from a space of ``spread`` x rows values.
+
+    In each round the rows not yet placed draw a value; a value goes to its first claimant
+    (smallest key) unless an earlier round gave it away. About 1 / spread of the rows stay
+    for the next round, so a few rounds place all; each is written, and only keys of
+    unplaced rows go on."""
+    left = materialize(rows.select(key_col).distinct(), "unplaced")
+    space = left.count() * spread
+    placed = None
+    for attempt in range(1, max_rounds + 1):
+        cand = left.withColumn(out_col, pick_index(space, stream, key_col, F.lit(attempt)))
+        won = cand.groupBy(out_col).agg(F.min(key_col).alias(key_col)).withColumn("attempt", F.lit(attempt).cast("bigint"))
+        if placed is not None:
+            won = won.join(placed.select(out_col), out_col, "left_anti")
+        won = materialize(won.select(key_col, "attempt", out_col), "placed")
+        placed = won if placed is None else placed.union(won)
+        left = materialize(left.join(won, key_col, "left_anti"), "unplaced")
+        if left.isEmpty():
+            return rows.join(placed, key_col, "left")
+    raise RuntimeError(f"unique_batch: {left.count()} rows are not placed after {max_rounds} rounds; raise spread")

@@ -5,12 +5,14 @@ key into one task.
 blocks of ``block_size`` consecutive keys; per-block totals are aggregated (partial
 aggregation, one row per block) and turned into block offsets by the same procedure one
 level up (blocks of blocks), and the running sum inside each block is a window
-partitioned by block. The only unpartitioned window runs over n / block_size^2 rows.
+partitioned by block. Three levels of 65,536 leave at most 2^16 rows for the only
+unpartitioned window, however sparse a 64-bit key is (dense ids: n / 2^48 rows).
 
 ``keyed_row_number``: ``row_number() over (partition by keys order by ...)`` where each
 key is further cut by a block column that is non-decreasing in the order (a day of
 the timestamp, a range of ids). Counts per (key, block) give per-block offsets, so a
-key holding a third of all rows is numbered by many tasks instead of one.
+key holding a third of all rows is numbered by many tasks instead of one. Null keys and
+null order values are numbered like others (null order values last).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DEFAULT_BLOCK = 65536
 
@@ -33,17 +36,20 @@ def prefix_sum(
     sums: Sequence[tuple[str | Column, str]],
     block_size: int = DEFAULT_BLOCK,
     inclusive: bool = False,
-    levels: int = 2,
+    levels: int = 3,
 ) -> DataFrame:
     """Add running sums ``out = sum(value) over rows with order < this row`` (or <= when
-    ``inclusive``) for each (value, out) pair. ``order_col`` must be unique, non-negative.
+    ``inclusive``) for each (value, out) pair. ``order_col`` is unique; it may be negative
+    and sparse (hashed ids). A row without it is kept, with null sums.
 
-    With ``levels`` = 2 the block totals are themselves summed in blocks, so the only
-    unpartitioned window covers n / block_size^2 rows (a few hundred rows at 10^12)."""
+    Block totals are themselves summed in blocks: with ``levels`` = 3 the unpartitioned
+    window has one row per occupied block of block_size^3 keys."""
     vals = [(F.col(v) if isinstance(v, str) else v, out) for v, out in sums]
     blk, vs = f"_blk{levels}", [f"_v{levels}_{i}" for i in range(len(vals))]
     ts, os_ = [f"_t{levels}_{i}" for i in range(len(vals))], [f"_o{levels}_{i}" for i in range(len(vals))]
-    d = df.withColumn(blk, F.floor(F.col(order_col) / F.lit(block_size)).cast("bigint"))
+    key = F.col(order_col).cast("bigint")       # div rounds towards 0, blocks go down
+    d = df.withColumn(blk, F.when(key >= 0, F.call_function("div", key, F.lit(block_size)))
+                      .otherwise(F.call_function("div", key + 1, F.lit(block_size)) - 1))
     for v_name, (v, _) in zip(vs, vals):
         d = d.withColumn(v_name, v.cast("bigint"))
     totals = d.groupBy(blk).agg(*[F.sum(v).alias(t) for v, t in zip(vs, ts)])
@@ -55,7 +61,7 @@ def prefix_sum(
         offsets = totals.select(blk, *[F.coalesce(F.sum(t).over(w_blocks), F.lit(0)).alias(o) for t, o in zip(ts, os_)])
     end = 0 if inclusive else -1
     w_in = Window.partitionBy(blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
-    out = d.join(offsets, blk, "inner")
+    out = d.join(offsets, blk, "left")
     for v_name, o, (_, name) in zip(vs, os_, vals):
         out = out.withColumn(name, (F.col(o) + F.coalesce(F.sum(v_name).over(w_in), F.lit(0))).cast("bigint"))
     return out.drop(blk, *vs, *os_)
@@ -68,20 +74,32 @@ def keyed_row_number(
     block: Column,
     out_col: str,
 ) -> DataFrame:
-    """``row_number()`` per key in ``order_cols`` order, computed per (key, block)."""
+    """``row_number()`` per key in ``order_cols`` order, computed per (key, block).
+
+    Null keys are one key and null blocks one block, after the others: each is carried as
+    (is null, filled value), plain columns on which window and join share one shuffle."""
     d = df.withColumn("__kb", block)
-    counts = d.groupBy(*keys, "__kb").agg(F.count(F.lit(1)).alias("__kn"))
-    w_keys = Window.partitionBy(*keys).orderBy("__kb").rowsBetween(Window.unboundedPreceding, -1)
-    okeys = [f"__ok{i}" for i in range(len(keys))]
-    offsets = counts.select(
-        *[F.col(k).alias(o) for k, o in zip(keys, okeys)], F.col("__kb").alias("__okb"),
-        F.coalesce(F.sum("__kn").over(w_keys), F.lit(0)).alias("__koff"))
-    w_in = Window.partitionBy(*keys, "__kb").orderBy(*_cols(order_cols))
+    split = {}
+    for i, k in enumerate([*keys, "__kb"]):
+        split[f"__kf{i}"] = F.col(k).isNull()
+        split[f"__kv{i}"] = F.coalesce(F.col(k), _filler(d.schema[k].dataType))
+    d = d.withColumns(split)
+    parts = list(split)
+    key_parts, block_parts = parts[:-2], parts[-2:]
+    counts = d.groupBy(*parts).agg(F.count(F.lit(1)).alias("__kn"))
+    w_keys = Window.partitionBy(*key_parts).orderBy(*block_parts).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*parts, F.coalesce(F.sum("__kn").over(w_keys), F.lit(0)).alias("__koff"))
+    w_in = Window.partitionBy(*parts).orderBy(*[c.asc_nulls_last() for c in _cols(order_cols)])
     numbered = d.withColumn("__krn", F.row_number().over(w_in))
-    cond = [F.col(k).eqNullSafe(F.col(o)) for k, o in zip(keys, okeys)] + [F.col("__kb") == F.col("__okb")]
-    out = numbered.join(offsets, cond, "inner").withColumn(
-        out_col, (F.col("__koff") + F.col("__krn")).cast("bigint"))
-    return out.drop("__kb", "__krn", "__okb", "__koff", *okeys)
+    out = numbered.join(offsets, parts, "inner").withColumn(out_col, (F.col("__koff") + F.col("__krn")).cast("bigint"))
+    return out.select(*df.columns, out_col)
+
+
+def _filler(kind: T.DataType) -> Column:
+    """Any value of a type, to stand for null."""
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast(kind)
+    return F.lit("").cast(kind) if isinstance(kind, (T.StringType, T.BinaryType)) else F.lit(0).cast(kind)
 
 
 def dense_index(df: DataFrame, value_col: str, idx_col: str = "idx") -> DataFrame:

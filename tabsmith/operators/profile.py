@@ -86,9 +86,8 @@ def run_report(metrics: DataFrame) -> DataFrame:
 
 def best_match(scores: DataFrame, key: str, holder_col: str, score_col: str = "score") -> DataFrame:
     """A-9: the maximum score per key and all holders of it (sorted, joined)."""
-    m = scores.groupBy(key).agg(F.max(score_col).alias("max_score"))
-    j = scores.join(m, key).where(F.col(score_col) == F.col("max_score"))
-    return j.groupBy(key, "max_score").agg(
+    top = scores.withColumn("max_score", F.max(score_col).over(Window.partitionBy(key))).where(F.col(score_col) == F.col("max_score"))
+    return top.groupBy(key, "max_score").agg(
         F.array_join(F.array_sort(F.collect_list(holder_col)), ",").alias("holders"),
         F.count(F.lit(1)).alias("n_holders"),
     )

@@ -118,15 +118,26 @@ def cost_suffix_ok(text, suffix: str = fixed.COST_SUFFIX) -> Column:
 
 
 def cost_amount(text, suffix: str = fixed.COST_SUFFIX) -> Column:
-    """V-10 amount: suffix removed, blanks removed, optional sign, digits only; else null."""
+    """V-10 amount: suffix removed, blanks removed, optional sign, digits only; else null.
+    Null too when the number doesn't fit a bigint (``cost_overflow`` tells)."""
+    return _cost_digits(text, suffix).try_cast("bigint")
+
+
+def _cost_digits(text, suffix: str) -> Column:
     t = _c(text)
     stripped = F.regexp_replace(F.replace(t, F.lit(suffix), F.lit("")), " ", "")
-    return F.when(t.endswith(suffix) & stripped.rlike(r"^[+-]?[0-9]{1,18}$"), stripped.cast("bigint"))
+    return F.when(t.endswith(suffix) & stripped.rlike(r"^[+-]?[0-9]+$"), stripped)
+
+
+def cost_overflow(text, suffix: str = fixed.COST_SUFFIX) -> Column:
+    """V-10: an amount of any length that is a number but no bigint."""
+    digits = _cost_digits(text, suffix)
+    return digits.isNotNull() & digits.try_cast("bigint").isNull()
 
 
 def cost_ok(text, suffix: str = fixed.COST_SUFFIX) -> Column:
-    """V-10 flag: parsable and > 0."""
-    return F.coalesce(cost_amount(text, suffix) > 0, F.lit(False))
+    """V-10 flag: parsable and > 0, whatever the number of digits."""
+    return F.coalesce(_cost_digits(text, suffix).rlike(r"^\+?0*[1-9][0-9]*$"), F.lit(False))
 
 
 def list_size_ok(n, lo: int = 1, hi: int = fixed.ANALYSES_MAX) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tabsmith.functions.draws import rand_int
+from tabsmith.functions.draws import rand_int, u
 from tabsmith.operators import draws
 from tabsmith.plans.bind_sources import brands, words
 from tabsmith.plans.registry import query
@@ -36,7 +36,6 @@ SQL_COUNTRY = lookups.sql_weighted_case(sql_u("d2", "c_custkey"), fixed.COUNTRY_
 @query("pick_weighted", f"SELECT c_custkey, {SQL_COUNTRY} AS country FROM customer")
 def pick_weighted(spark, sf):
     cust = read(spark, sf, "customer").select("c_custkey")
-    from tabsmith.functions.draws import u
     return cust.withColumn("country", lookups.weighted_case(u("d2", "c_custkey"), fixed.COUNTRY_WEIGHTS,
                                                             fixed.COUNTRY_DEFAULT))
 
@@ -102,7 +101,6 @@ FROM events GROUP BY ALL
 """)
 def bernoulli_branch(spark, sf):
     ev = read(spark, sf, "events").select("event_id")
-    from tabsmith.functions.draws import u
     b = ev.select(
         draws.bernoulli("d5:path", ["event_id"], fixed.PATH_BY_GENDER_PROBABILITY,
                         F.lit("by_gender"), F.lit("by_symptoms")).alias("path"),
@@ -155,14 +153,16 @@ def pick_grouped(spark, sf):
                               ["c_custkey"], "p_partkey", block=blk).select("c_custkey", "brand", "p_partkey")
 
 
-# D-9 binding: own list = words of the brand's parts of size <= 2; general = type names
-SQL_OWN_SMALL = f"""own AS (SELECT DISTINCT p_brand AS brand, t.w AS word
-  FROM part, unnest({tokens('p_name')}) AS t(w) WHERE p_size <= 2)"""
+# D-9 binding: a brand's own list keeps each word of its parts by a draw on (brand, word),
+# so lists are short (some shorter than k) while every part is read; general = type names
+OWN_SHARE = 0.12
+SQL_OWN_SMALL = f"""own AS (SELECT brand, word FROM (SELECT DISTINCT p_brand AS brand, t.w AS word
+  FROM part, unnest({tokens('p_name')}) AS t(w)) WHERE {sql_u('own', 'brand', 'word')} < {OWN_SHARE})"""
 
 
 def own_small(spark, sf):
-    part = read(spark, sf, "part").where(F.col("p_size") <= 2)
-    return part.select(F.col("p_brand").alias("brand"), F.explode(lookups.tokens("p_name")).alias("word"))
+    pairs = read(spark, sf, "part").select(F.col("p_brand").alias("brand"), F.explode(lookups.tokens("p_name")).alias("word")).distinct()
+    return pairs.where(u("own", "brand", "word") < F.lit(OWN_SHARE))
 
 
 @query("fallback_fill", f"""
@@ -212,30 +212,24 @@ SELECT c_custkey, word, rank FROM (
 WHERE rank <= 5 AND rank <= k
 """)
 def candidates_merge(spark, sf):
-    cb = cust_brand(spark, sf).withColumn("_k", rand_int(1, 5, "d10:k", "c_custkey"))
-    own = own_small(spark, sf)
-    base = cb.join(own, "brand").select("c_custkey", "word")
-    with_common = cb.select("c_custkey", F.explode(F.array(*[F.lit(w) for w in COMMON_WORDS])).alias("word"))
-    base = base.unionByName(with_common).distinct()
-    cnt = base.groupBy("c_custkey").agg(F.count(F.lit(1)).alias("_nc"))
-    short = cb.join(cnt, "c_custkey").where(F.col("_nc") < F.col("_k"))
-    short = short.withColumn("slot", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_k") - F.col("_nc"))))
-    extra = draws.pick_uniform(short, words(spark, sf), "d10:extra", ["c_custkey", "slot"], "word")
-    cands = base.unionByName(extra.select("c_custkey", "word")).distinct().join(cb.select("c_custkey", "_k"), "c_custkey")
-    out = draws.top_k_by_draw(cands, ["c_custkey"], ["word"], F.col("_k"), 5, "d10")
+    out = draws.candidates_merge(cust_brand(spark, sf), ["c_custkey"], "brand", own_small(spark, sf), COMMON_WORDS,
+                                 words(spark, sf), "word", rand_int(1, 5, "d10:k", "c_custkey"), 5, "d10")
     return out.select("c_custkey", "word", "rank")
 
 
-@query("unique_batch", f"""
-WITH cand AS (SELECT c_custkey, a.attempt, {sql_pick_index(4000, 'd11', 'c_custkey', 'a.attempt')} AS value
-              FROM customer, range(1, 5) a(attempt)),
-win AS (SELECT value, c_custkey, attempt FROM (
-          SELECT *, row_number() OVER (PARTITION BY value ORDER BY c_custkey, attempt) AS r FROM cand) WHERE r = 1),
-placed AS (SELECT c_custkey, attempt, value FROM (
-          SELECT *, row_number() OVER (PARTITION BY c_custkey ORDER BY attempt) AS r FROM win) WHERE r = 1)
-SELECT c.c_custkey, p.attempt, p.value FROM customer c LEFT JOIN placed p ON p.c_custkey = c.c_custkey
-""")
+def _sql_rounds(rounds: int) -> str:
+    """The rounds of ``unique_batch`` one after the other: l rows left, c draws, w winners."""
+    ctes, placed = [], []
+    for r in range(1, rounds + 1):
+        left = "SELECT c_custkey FROM customer" if r == 1 else f"SELECT l{r - 1}.c_custkey FROM l{r - 1} ANTI JOIN w{r - 1} USING (c_custkey)"
+        taken = "".join(f" AND value NOT IN (SELECT value FROM w{k})" for k in range(1, r))
+        ctes += [f"l{r} AS ({left})",
+                 f"c{r} AS (SELECT c_custkey, {sql_pick_index('(SELECT 16 * count(*) FROM customer)', 'd11', 'c_custkey', str(r))} AS value FROM l{r})",
+                 f"w{r} AS (SELECT min(c_custkey) AS c_custkey, CAST({r} AS BIGINT) AS attempt, value FROM c{r} WHERE true{taken} GROUP BY value)"]
+        placed.append(f"SELECT * FROM w{r}")
+    return f"WITH {', '.join(ctes)}, p AS ({' UNION ALL '.join(placed)}) SELECT c.c_custkey, p.attempt, p.value FROM customer c LEFT JOIN p ON p.c_custkey = c.c_custkey"
+
+
+@query("unique_batch", _sql_rounds(8))
 def unique_batch(spark, sf):
-    cust = read(spark, sf, "customer").select("c_custkey")
-    out = draws.unique_batch(cust, "c_custkey", 4, 4000, "d11", "value")
-    return out.select("c_custkey", F.col("attempt").cast("bigint").alias("attempt"), "value")
+    return draws.unique_batch(read(spark, sf, "customer").select("c_custkey"), "c_custkey", "d11", "value")

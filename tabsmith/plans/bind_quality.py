@@ -168,22 +168,24 @@ def rule_cost_suffix(spark, sf):
 
 _SUF = fixed.COST_SUFFIX
 _STRIPPED = f"replace(replace(t, '{_SUF}', ''), ' ', '')"
-_SQL_AMOUNT = (f"(CASE WHEN suffix(t, '{_SUF}') AND regexp_full_match({_STRIPPED}, '[+-]?[0-9]{{1,18}}') "
-               f"THEN CAST({_STRIPPED} AS BIGINT) END)")
+_SQL_AMOUNT = (f"(CASE WHEN suffix(t, '{_SUF}') AND regexp_full_match({_STRIPPED}, '[+-]?[0-9]+') "
+               f"THEN TRY_CAST({_STRIPPED} AS BIGINT) END)")
 
 
 @query("rule_cost_parse", f"""
 WITH {bd.SQL_COSTS}
-SELECT l_orderkey, coalesce({_SQL_AMOUNT} > 0, false) AS ok, {_SQL_AMOUNT} AS amount FROM (
-  SELECT l_orderkey, CASE WHEN l_orderkey % 4 = 0 THEN 'abc{_SUF}' WHEN l_orderkey % 4 = 1 THEN '0{_SUF}'
+SELECT l_orderkey, coalesce(suffix(t, '{_SUF}') AND try_cast({_STRIPPED} AS HUGEINT) > 0, false) AS ok, {_SQL_AMOUNT} AS amount,
+       coalesce(suffix(t, '{_SUF}') AND try_cast({_STRIPPED} AS HUGEINT) IS NOT NULL AND {_SQL_AMOUNT} IS NULL, false) AS overflow FROM (
+  SELECT l_orderkey, CASE WHEN l_orderkey % 9 = 0 THEN '12345678901234567890123{_SUF}' WHEN l_orderkey % 4 = 0 THEN 'abc{_SUF}' WHEN l_orderkey % 4 = 1 THEN '0{_SUF}'
      WHEN l_orderkey % 4 = 2 THEN '-5{_SUF}' ELSE CAST(cost AS VARCHAR) || '{_SUF}' END AS t FROM costs) x
 """)
 def rule_cost_parse(spark, sf):
     c = bd.costs(spark, sf)
     k = F.col("l_orderkey") % 4
-    t = (F.when(k == 0, F.lit("abc" + _SUF)).when(k == 1, F.lit("0" + _SUF)).when(k == 2, F.lit("-5" + _SUF))
+    t = (F.when(F.col("l_orderkey") % 9 == 0, F.lit("12345678901234567890123" + _SUF)).when(k == 0, F.lit("abc" + _SUF)).when(k == 1, F.lit("0" + _SUF)).when(k == 2, F.lit("-5" + _SUF))
          .otherwise(derive.cost_text(F.col("cost"))))
-    return c.select("l_orderkey", quality.cost_ok(t).alias("ok"), quality.cost_amount(t).alias("amount"))
+    return c.select("l_orderkey", quality.cost_ok(t).alias("ok"), quality.cost_amount(t).alias("amount"),
+                    F.coalesce(quality.cost_overflow(t), F.lit(False)).alias("overflow"))
 
 
 @query("rule_list_size", f"""

@@ -22,13 +22,11 @@ def words(spark, sf):
 
 
 @query("row_source", """
-WITH r AS (SELECT row_number() OVER () - 1 AS id FROM lineitem)
-SELECT CAST(id // 1000 AS BIGINT) AS batch, count(*) AS n_rows, min(id) AS first_id, max(id) AS last_id
-FROM r GROUP BY 1
+SELECT CAST(event_id // 1000 AS BIGINT) AS batch, count(*) AS n_rows, min(event_id) AS first_id, max(event_id) AS last_id
+FROM events GROUP BY 1
 """)
 def row_source(spark, sf):
-    n = read(spark, sf, "lineitem").count()
-    return lookups.batch_counts(lookups.row_source(spark, n))
+    return lookups.batch_counts(lookups.numbered_rows(read(spark, sf, "events"), "event_id"))
 
 
 @query("lookup_source", """

@@ -1,22 +1,33 @@
-"""Bindings T-1..T-3: the events table as a file stream, run to completion with an
-``availableNow`` trigger into a parquet sink in the shared checkpoint folder, then
-read back as a batch table."""
+"""Bindings T-1..T-3: the events table as a file stream of several micro-batches (written
+in time order to files of the shared folder first), run to completion with an
+``availableNow`` trigger and read back as a batch table."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
 from tabsmith.functions import timecols
+from tabsmith.plans.bind_keyed import day_block
 from tabsmith.plans.registry import query
 from tabsmith.session import scratch_path
 from tabsmith.sources.tables import read
 from tabsmith.streaming import keyed_state
 
+MICRO_BATCHES = 3
+
 
 def events_stream(spark, sf):
-    schema = read(spark, sf, "events").schema
-    return (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
-            .option("maxFilesPerTrigger", 1).parquet(sf))
+    """Events in ``MICRO_BATCHES`` slices by time, one slice per micro-batch (a folder
+    listing in write order; rows without a time come last)."""
+    ev, path = read(spark, sf, "events"), scratch_path(spark, "events-stream")
+    at = timecols.micros("ts")
+    bounds = ev.agg(F.percentile_approx(at, [k / MICRO_BATCHES for k in range(1, MICRO_BATCHES)], 1000)).first()[0] or []
+    slot = sum([(at > b).cast("int") for b in bounds], F.lit(0))
+    sliced = ev.withColumn("_slot", F.coalesce(slot, F.lit(len(bounds))))
+    for k in range(len(bounds) + 1):
+        sliced.where(F.col("_slot") == k).drop("_slot").write.parquet(f"{path}/slice={k}")
+    files = (spark.readStream.schema(ev.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 1))
+    return files.parquet(path)
 
 
 def _run_to_table(spark, stream_df, name: str, mode: str = "append"):
@@ -27,27 +38,31 @@ def _run_to_table(spark, stream_df, name: str, mode: str = "append"):
     return spark.read.schema(stream_df.schema).parquet(out)
 
 
-def _run_updates(spark, stream_df, name: str, keys):
-    """Update-mode aggregation: every micro-batch appends its updated rows with the
-    batch id; the result keeps the latest row per key."""
-    out, ckpt = scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
+def run_updates(spark, stream_df, name: str, keys, out: str | None = None):
+    """Update-mode aggregation: every micro-batch writes its updated rows to a folder of
+    its own (overwritten when replayed); the result keeps the latest row per key."""
+    out, ckpt = out or scratch_path(spark, f"{name}-out"), scratch_path(spark, f"{name}-ckpt")
 
     def sink(batch_df, batch_id):
-        batch_df.withColumn("_batch", F.lit(batch_id)).write.mode("append").parquet(out)
+        batch_df.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     q = (stream_df.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt)
          .outputMode("update").trigger(availableNow=True).start())
     q.awaitTermination()
     res = spark.read.parquet(out)
-    latest = res.groupBy(*keys).agg(F.max("_batch").alias("_batch"))
-    return res.join(latest, [*keys, "_batch"]).drop("_batch")
+    values = [c for c in res.columns if c not in (*keys, "batch")]
+    latest = res.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_v"))
+    return latest.select(*keys, "_v.*")
 
 
 @query("stream_usage_cap", """
 SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS use_no FROM events
 """)
 def stream_usage_cap(spark, sf):
-    return _run_to_table(spark, keyed_state.stream_usage_cap(events_stream(spark, sf)), "t1")
+    out, counts, ckpt = (scratch_path(spark, f"t1-{x}") for x in ("out", "counts", "ckpt"))
+    stream = events_stream(spark, sf).select("event_id", "ts", "user_id")
+    keyed_state.run_usage_cap(stream, out, counts, ckpt, "user_id", ["ts", "event_id"], day_block()).awaitTermination()
+    return spark.read.parquet(out).select("event_id", "user_id", "use_no")
 
 
 @query("stream_first_seen", "SELECT DISTINCT user_id FROM events")
@@ -62,5 +77,5 @@ SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS window_start, count(*) AS n_r
 def stream_progress(spark, sf):
     s = events_stream(spark, sf).withColumn("ets", F.timestamp_micros(timecols.micros("ts")))
     agg = keyed_state.stream_progress(s, "ets")
-    res = _run_updates(spark, agg, "t3", ["window_start"])
+    res = run_updates(spark, agg, "t3", ["window_start"])
     return res.select(timecols.from_micros(F.unix_micros("window_start")).alias("window_start"), "n_rows")

@@ -32,11 +32,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written tables.
 
     Reads ``spark.checkpoint.dir`` from the session (on a cluster this names a shared
-    file system). Only when it is unset, as in local tests, a folder is created and set.
+    file system). When it is unset a folder is created for a local master only, as in
+    tests; on a cluster a machine-local folder would not be shared, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
         current = tempfile.mkdtemp(prefix="tabsmith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():

@@ -12,10 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tabsmith.functions.draws import u
+from tabsmith.operators.joins import checked_broadcast
 from tabsmith.operators.prefix import dense_index
 
-# bound on the smaller side of a dictionary product (S-3); above it the product is refused
-CROSS_SMALL_SIDE_MAX = 100_000
+# entries of the second list of a dictionary product (S-3) that meet a word at once
+CROSS_CHUNK = 10_000
 
 
 # ---- S-1 row source ----------------------------------------------------------------
@@ -24,7 +25,12 @@ def row_source(spark: SparkSession, n: int, batch_size: int = 1000, partitions:
     """n generated rows (id 0..n-1) with their batch number ``id div batch_size``.
     ``spark.range`` splits the ids over partitions; no data passes through the driver."""
     df = spark.range(0, n, 1, partitions) if partitions else spark.range(0, n)
-    return df.withColumn("batch", F.floor(F.col("id") / F.lit(batch_size)).cast("bigint"))
+    return numbered_rows(df, "id", batch_size)
+
+
+def numbered_rows(df: DataFrame, id_col: str, batch_size: int = 1000) -> DataFrame:
+    """The rows of a table as a row source: id and batch number ``id div batch_size``."""
+    return df.select(F.col(id_col).alias("id"), F.call_function("div", F.col(id_col), F.lit(batch_size)).alias("batch"))
 
 
 def batch_counts(rows: DataFrame, batch_col: str = "batch") -> DataFrame:
@@ -93,18 +99,17 @@ def tier_table(spark: SparkSession, tiers: Sequence[tuple[int, int, int]]) -> tu
 # ---- S-3 .. S-7 dictionary building ------------------------------------------------
 
 def dict_cross(a: DataFrame, a_col: str, b: DataFrame, b_col: str, sep: str = " ", out_col: str = "phrase",
-               b_rows: int | None = None) -> DataFrame:
+               chunk: int = CROSS_CHUNK) -> DataFrame:
     """Phrases a + sep + b for every pair of two word lists.
 
-    The product is the feature, so its size is |a| x |b|. The smaller list ``b`` is
-    size-checked, becomes one array (a scalar subquery) and is exploded next to each
-    ``a`` row; ``a`` stays distributed."""
+    The product is the feature, so its size is |a| x |b|. The second list is cut into
+    chunks of about ``chunk`` entries (one array each); every word of ``a`` meets every
+    chunk by its number, so no list is refused and no array grows with it."""
     bd = b.select(F.col(b_col).alias("_b")).distinct()
-    n = b_rows if b_rows is not None else bd.count()
-    if n > CROSS_SMALL_SIDE_MAX:
-        raise ValueError(f"dict_cross: second list has {n} entries (> {CROSS_SMALL_SIDE_MAX})")
-    words = bd.agg(F.array_sort(F.collect_set("_b"))).scalar()
-    pairs = a.select(F.col(a_col).alias("_a")).distinct().select("_a", F.explode(words).alias("_b"))
+    n = F.greatest(F.lit(1), F.ceil(bd.agg(F.count(F.lit(1))).scalar() / F.lit(chunk))).cast("int")
+    chunks = bd.withColumn("_c", F.pmod(F.xxhash64("_b"), n).cast("int")).groupBy("_c").agg(F.collect_list("_b").alias("_bs"))
+    words = a.select(F.col(a_col).alias("_a")).distinct().withColumn("_c", F.explode(F.sequence(F.lit(0), n - 1)))
+    pairs = words.join(chunks, "_c").select("_a", F.explode("_bs").alias("_b"))
     return pairs.select(F.concat_ws(sep, "_a", "_b").alias(out_col))
 
 
@@ -144,7 +149,7 @@ def dict_topup(tranches: DataFrame, threshold: int, tranche_col: str = "tranche"
     kept = per_t.withColumn("_before", F.coalesce(F.sum("_new").over(w), F.lit(0))).where(
         F.col("_before") < threshold).select(tranche_col)
     # one row per tranche: a handful of rows, safe to broadcast
-    return first.join(F.broadcast(kept), tranche_col, "left_semi")
+    return first.join(checked_broadcast(kept), tranche_col, "left_semi")
 
 
 def tokens(col: str | Column, pattern: str = r"\s+") -> Column:
@@ -153,6 +158,6 @@ def tokens(col: str | Column, pattern: str = r"\s+") -> Column:
 
 
 __all__ = [
-    "row_source", "batch_counts", "dictionary", "weights_table", "weighted_case", "sql_weighted_case",
+    "row_source", "numbered_rows", "batch_counts", "dictionary", "weights_table", "weighted_case", "sql_weighted_case",
     "tier_table", "dict_cross", "dict_flatten", "dict_variants", "dict_union_distinct", "dict_topup", "tokens", "u",
 ]

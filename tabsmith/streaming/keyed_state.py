@@ -1,61 +1,62 @@
 """Keyed state across micro-batches.
 
-T-1 ``stream_usage_cap``: the n-th use per key carried across micro-batches with
-``applyInPandasWithState`` (state = uses so far, never expires, as in the reference
-tracker). Inside a micro-batch the key's rows are numbered in (ts, id) order; across
-micro-batches arrival order decides, so a row that arrives late gets a later number.
-A key's rows per call are bounded by the micro-batch size (maxFilesPerTrigger /
-maxBytesPerTrigger), not by the table.
+T-1 ``run_usage_cap``: the n-th use per key carried across micro-batches. Inside a
+micro-batch the rows are numbered natively (per key and time block, so a hot key is not
+one task's work); the state is one count per key and batch, in a table of its own. Every
+batch overwrites its own folders, so a replayed batch changes nothing. Across
+micro-batches arrival order decides: a row that arrives late gets a later number.
 
 T-2 ``stream_first_seen``: first value per key (``dropDuplicates`` keeps state per key;
-``dropDuplicatesWithinWatermark`` when state must expire).
+with a watermark column, ``dropDuplicatesWithinWatermark``, whose state expires).
 
-T-3 ``stream_progress``: tumbling-window counts with a watermark (event-time
-progress of the stream), update mode, so state for closed windows is dropped.
+T-3 ``stream_progress``: tumbling-window counts in update mode. Every row counts; only a
+caller who asks for a watermark gives up rows that come later than it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-
-def _use_numbers(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    seen = int(state.get[0]) if state.exists else 0
-    frames = [p for p in pdfs]
-    if not frames:
-        return
-    pdf = pd.concat(frames, ignore_index=True).sort_values(["ts", "event_id"], kind="mergesort")
-    pdf = pdf.assign(use_no=range(seen + 1, seen + 1 + len(pdf)))
-    state.update((seen + len(pdf),))
-    yield pdf[["event_id", "user_id", "use_no"]].astype({"use_no": "int64"})
-
-
-def stream_usage_cap(stream: DataFrame, key_col: str = "user_id") -> DataFrame:
-    """T-1: (event_id, key, use_no) with use numbers continuing across micro-batches."""
-    src = stream.select("event_id", "ts", F.col(key_col).alias("user_id"))
-    return src.groupBy("user_id").applyInPandasWithState(
-        _use_numbers,
-        outputStructType="event_id long, user_id long, use_no long",
-        stateStructType="seen long",
-        outputMode="append",
-        timeoutConf=GroupStateTimeout.NoTimeout,
-    )
-
-
-def stream_first_seen(stream: DataFrame, key_col: str) -> DataFrame:
-    """T-2: one row per key, the first one the stream delivers."""
-    return stream.dropDuplicates([key_col])
-
-
-def stream_progress(stream: DataFrame, ts_col: str, window: str = "1 day", delay: str = "1 day") -> DataFrame:
-    """T-3: rows per tumbling event-time window with a watermark. ``ts_col`` is a
-    TIMESTAMP; for naive wall-clock input build it with ``timestamp_micros`` of the
-    naive microseconds so windows align to wall-clock days in any session zone."""
-    s = stream.withWatermark(ts_col, delay)
+from pyspark.sql.streaming import StreamingQuery
+
+from tabsmith.operators.prefix import keyed_row_number
+
+
+def run_usage_cap(stream: DataFrame, out: str, counts: str, checkpoint: str, key_col: str, order_cols: Sequence[str],
+                  block: Column) -> StreamingQuery:
+    """T-1: writes (columns of the stream, use_no) under ``out``/batch=k, use numbers
+    continuing across micro-batches; ``counts``/batch=k holds the batch's uses per key."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, cols = batch.sparkSession, batch.columns
+        numbered = keyed_row_number(batch, [key_col], order_cols, block, "use_no")
+        if batch_id > 0:
+            before = (spark.read.parquet(counts).where(F.col("batch") < batch_id).groupBy(F.col(key_col).alias("_key"))
+                      .agg(F.sum("n").alias("_before")))
+            numbered = (numbered.join(before, F.col(key_col).eqNullSafe(F.col("_key")), "left")
+                        .withColumn("use_no", F.col("use_no") + F.coalesce("_before", F.lit(0))))
+        numbered.select(*cols, "use_no").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+        (spark.read.parquet(f"{out}/batch={batch_id}").groupBy(key_col).agg(F.count(F.lit(1)).alias("n"))
+         .write.mode("overwrite").parquet(f"{counts}/batch={batch_id}"))
+
+    return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def stream_first_seen(stream: DataFrame, key_col: str, ts_col: str | None = None, delay: str = "1 day") -> DataFrame:
+    """T-2: one row per key, the first one the stream delivers. With ``ts_col`` the state
+    of a key expires ``delay`` after it was seen (a later repeat comes through again)."""
+    if ts_col is None:
+        return stream.dropDuplicates([key_col])
+    return stream.withWatermark(ts_col, delay).dropDuplicatesWithinWatermark([key_col])
+
+
+def stream_progress(stream: DataFrame, ts_col: str, window: str = "1 day", delay: str | None = None) -> DataFrame:
+    """T-3: rows per tumbling event-time window. ``ts_col`` is a TIMESTAMP; for naive
+    wall-clock input build it with ``timestamp_micros`` of the naive microseconds so
+    windows align to wall-clock days in any session zone. Rows without a time belong to no
+    window. ``delay``: drop state of windows older than this, and rows that come later."""
+    s = stream if delay is None else stream.withWatermark(ts_col, delay)
     return s.groupBy(F.window(ts_col, window).alias("w")).agg(F.count(F.lit(1)).alias("n_rows")) \
         .select(F.col("w.start").alias("window_start"), "n_rows")
