@@ -52,7 +52,7 @@ def prefix_sum(
                       .otherwise(F.call_function("div", key + 1, F.lit(block_size)) - 1))
     for v_name, (v, _) in zip(vs, vals):
         d = d.withColumn(v_name, v.cast("bigint"))
-    totals = d.groupBy(blk).agg(*[F.sum(v).alias(t) for v, t in zip(vs, ts)])
+    totals = d.where(F.col(blk).isNotNull()).groupBy(blk).agg(*[F.sum(v).alias(t) for v, t in zip(vs, ts)])
     if levels > 1:
         offsets = prefix_sum(totals, blk, list(zip(ts, os_)), block_size, inclusive=False, levels=levels - 1)
         offsets = offsets.select(blk, *os_)
