@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import decontaminate, langid, language_model, mixing, neardup, pages, sharding, substrings, topk
+from tabsmith.llm import decontaminate, langid, language_model, mixing, neardup, pages, quality, sharding, substrings, topk
 from tabsmith.llm.registry import ORACLES, QUERIES, query
 from tabsmith.sources.tables import read
 
@@ -38,6 +38,11 @@ def op3(spark, sf):
     return pages.extract_pages(read(spark, sf, "pages"))
 
 
+@query("op4_quality")
+def op4(spark, sf):
+    return quality.grade_texts(read(spark, sf, "documents"), read(spark, sf, "labels"))
+
+
 @query("op5_lm_scoring")
 def op5(spark, sf):
     return language_model.score_texts(read(spark, sf, "documents"))
