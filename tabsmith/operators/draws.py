@@ -9,7 +9,7 @@ so a group holding a third of all rows sends at most k rows per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -131,22 +131,32 @@ def item_lists(own: DataFrame, group_col: str, item_col: str) -> DataFrame:
     return own.groupBy(group_col).agg(F.collect_set(item_col).alias("_own"))
 
 
-def fallback_fill(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, general: DataFrame,
-                  item_col: str, k: Column, k_max: int, stream: str) -> DataFrame:
-    """D-9: k items from the group's own list; if it is shorter than k, all of it plus
-    a sample of the general list minus what was already chosen.
+def fallback_lists(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, general: DataFrame,
+                   item_col: str, k: Column, k_max: int, stream: str, out_col: str) -> DataFrame:
+    """D-9 with the picks as an array column ``out_col`` of the rows: k items from the
+    group's own list; if it is shorter than k, all of it plus a sample of the general list
+    minus what was already chosen.
 
     ``own``: (group, item); ``general``: (item); both are dictionaries and travel as arrays
     (the general list as a scalar subquery). Each row orders its candidates by (own before
     general, draw) inside a projection: no row per candidate, no window, no join back."""
     lists = checked_broadcast(item_lists(own, group_col, item_col))
     gen_items = general.agg(F.array_sort(F.collect_set(item_col))).scalar()
-    d = rows.select(*row_keys, group_col).withColumn("_k", k).join(lists, group_col, "left")
-    mine = F.coalesce(F.col("_own"), F.array().cast("array<string>"))
-    d = d.withColumn("_own", mine).withColumn("_gen", gen_items)
-    extra = F.when(F.size("_own") < F.col("_k"), F.array_except("_gen", "_own")).otherwise(F.array().cast("array<string>"))
+    empty = F.array().cast("array<string>")
+    d = rows.join(lists, group_col, "left").withColumn("_own", F.coalesce(F.col("_own"), empty)).withColumn("_k", k)
+    d = d.withColumn("_gen", F.when(F.size("_own") < F.col("_k"), gen_items).otherwise(empty))
+    extra = F.array_except("_gen", "_own")
     cands = F.concat(_drawn(F.col("_own"), 0, stream, row_keys), _drawn(extra, 1, stream, row_keys))
-    return _ranked(d, row_keys, cands, F.least(F.col("_k"), F.lit(k_max)), item_col)
+    picked = F.slice(F.array_sort(cands), F.lit(1), F.least(F.col("_k"), F.lit(k_max)).cast("int"))
+    return d.withColumn(out_col, F.transform(picked, lambda c: c["item"])).drop("_own", "_gen", "_k")
+
+
+def fallback_fill(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, general: DataFrame,
+                  item_col: str, k: Column, k_max: int, stream: str) -> DataFrame:
+    """D-9 as rows: one row per pick (row keys, item, rank from 1)."""
+    d = fallback_lists(rows.select(*row_keys, group_col), row_keys, group_col, own, general, item_col, k, k_max, stream, "_picks")
+    return d.select(*row_keys, F.posexplode("_picks").alias("_r", item_col)).select(
+        *row_keys, item_col, (F.col("_r") + 1).cast("bigint").alias("rank"))
 
 
 def candidates_merge(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, common: Sequence[str],
@@ -166,24 +176,29 @@ def candidates_merge(rows: DataFrame, row_keys: Sequence[str], group_col: str, o
     return _ranked(d, row_keys, _drawn(F.col("_all"), 0, stream, row_keys), F.least(F.col("_k"), F.lit(k_max)), item_col)
 
 
-def unique_batch(rows: DataFrame, key_col: str, stream: str, out_col: str, spread: int = 16, max_rounds: int = 64) -> DataFrame:
-    """D-11: a value of its own for every row, from a space of ``spread`` x rows values.
-
-    In each round the rows not yet placed draw a value; a value goes to its first claimant
-    (smallest key) unless an earlier round gave it away. About 1 / spread of the rows stay
-    for the next round, so a few rounds place all; each is written, and only keys of
-    unplaced rows go on."""
-    left = materialize(rows.select(key_col).distinct(), "unplaced")
-    space = left.count() * spread
-    placed = None
+def unique_codes(rows: DataFrame, key_col: str, code: Callable[[int], Column], out_col: str, max_rounds: int = 64) -> DataFrame:
+    """A code of its own for every row (K-6 refuses codes already given): (key, attempt,
+    out_col). In round r the rows not yet placed draw ``code(r)``; a code goes to its
+    first claimant (smallest key) unless an earlier round gave it away. Each round is
+    written, and only unplaced rows go on."""
+    left, placed = rows, None
     for attempt in range(1, max_rounds + 1):
-        cand = left.withColumn(out_col, pick_index(space, stream, key_col, F.lit(attempt)))
+        cand = left.withColumn(out_col, code(attempt))
         won = cand.groupBy(out_col).agg(F.min(key_col).alias(key_col)).withColumn("attempt", F.lit(attempt).cast("bigint"))
         if placed is not None:
             won = won.join(placed.select(out_col), out_col, "left_anti")
         won = materialize(won.select(key_col, "attempt", out_col), "placed")
         placed = won if placed is None else placed.union(won)
-        left = materialize(left.join(won, key_col, "left_anti"), "unplaced")
+        left = materialize(left.join(won.select(key_col), key_col, "left_anti"), "unplaced")
         if left.isEmpty():
-            return rows.join(placed, key_col, "left")
-    raise RuntimeError(f"unique_batch: {left.count()} rows are not placed after {max_rounds} rounds; raise spread")
+            return placed
+    raise RuntimeError(f"{left.count()} rows have no code after {max_rounds} rounds: the space of codes is too small")
+
+
+def unique_batch(rows: DataFrame, key_col: str, stream: str, out_col: str, spread: int = 16, max_rounds: int = 64) -> DataFrame:
+    """D-11: a value of its own for every row, from a space of ``spread`` x rows values
+    (about 1 / spread of the rows stay for the next round)."""
+    keys = materialize(rows.select(key_col).distinct(), "unplaced")
+    space = keys.count() * spread
+    placed = unique_codes(keys, key_col, lambda r: pick_index(space, stream, key_col, F.lit(r)), out_col, max_rounds)
+    return rows.join(placed, key_col, "left")

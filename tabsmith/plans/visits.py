@@ -1,24 +1,27 @@
-"""K-7 ``assemble_visits``: the full visit table as one lazy plan.
+"""K-7 ``assemble_visits``: the full visit table.
 
 Rows come from a driver table (one visit per row, ordered by a unique long key);
-dictionaries come from the catalogue table. Every draw is keyed by the visit number,
-the client number or the card number, so the table is the same under any number of
-partitions. Stage boundaries (shuffles) are the prefix sums of the client and card
-pools, the per-card use numbering, the joins to the client dimension and the per-visit
-list aggregation; everything else is a projection or a join to a bounded lookup.
+dictionaries come from the whole catalogue table, grown by products and variants (S-3,
+S-5) to more than 5,000 symptoms, 50 doctors and 250 analyses. Every draw is keyed by
+the visit number, the client number or the card number, so the table is the same under
+any number of partitions. The builder writes stages that several branches reuse (rows,
+clients, cards and the rounds of unique codes) before it returns the final plan.
+Shuffles are the prefix sums of the client and card pools, the per-card use numbering
+and the joins to clients and cards; lists are arrays chosen inside projections.
 
 Pieces (SURVEY §2): K-5 client pool, F-2 names, D-2 country, F-6/F-7 passport,
-F-8/F-9 dates, F-3 SNILS, K-1 one passport per name, D-5 path, D-8 doctor by gender,
-D-9 symptoms with fallback, F-20 doctor by symptoms, F-13 gender swap, F-10 visit
-time, D-9 analyses, F-11 result time, F-15/F-16 cost, K-4 card pool, F-4 card,
-F-12/F-17/F-18 text forms; ``visit_errors`` applies the row rules (V-17).
+F-8/F-9 dates, F-3 SNILS, K-6 no passport, SNILS or card number twice, K-1 one passport
+per name, D-5 path, D-8 doctor by gender, D-9 symptoms with fallback, F-20 doctor by
+symptoms, F-13 gender swap, F-10 visit time, D-9 analyses, F-11 result time, F-15/F-16
+cost, K-4 card pool, F-4 card, F-12/F-17/F-18 text forms; ``visit_errors`` applies the
+row rules (V-17).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith.functions import codecs, timecols
@@ -40,11 +43,17 @@ class VisitParams:
     p_reuse: float = fixed.CARD_REUSE_PROBABILITY
     card_cap: int = fixed.CARD_REUSE_LIMIT
     p_gender_path: float = fixed.PATH_BY_GENDER_PROBABILITY
-    default_specialist: str = "Brand#1"
-    swaps: tuple = (("M", "Brand#1", "Brand#2"), ("M", "Brand#3", "Brand#2"),
-                    ("F", "Brand#4", "Brand#5"), ("F", "Brand#6", "Brand#5"))
-    general_analyses: tuple = ("red widget", "blue bolt")
-    exact_prices: tuple = (("red widget", 800), ("blue bolt", 1500), ("old anvil", 600), ("hot plate", 2000))
+    grades: tuple = ("faint", "mild", "light", "brief", "dull", "sharp", "severe", "acute", "chronic", "morning", "evening",
+                     "sudden", "steady", "rare")             # symptom = grade + part name + type
+    kinds: tuple = ("total", "free", "rapid", "paired", "fasting")   # analysis = kind + part name
+    own_symptoms: float = 0.01               # shares of a doctor's own lists and of the allow-lists
+    own_analyses: float = 0.05
+    allowed: float = 0.6
+    default_specialist: str = "Brand#1 ECONOMY"
+    swaps: tuple = (("M", "Brand#1 ECONOMY", "Brand#2 ECONOMY"), ("M", "Brand#3 PROMO", "Brand#2 PROMO"),
+                    ("F", "Brand#4 SMALL", "Brand#5 SMALL"), ("F", "Brand#6 LARGE", "Brand#5 LARGE"))
+    general_analyses: tuple = ("blood count", "urine test")
+    exact_prices: tuple = (("blood count", 800), ("urine test", 600), ("total red widget", 1500), ("free blue bolt", 2000))
     keywords: tuple = ((("gear", "gizmo"), "mech"), (("ring",), "ring"), (("rod", "bolt"), "fastener"),
                        (("plate",), "plate"), (("anvil",), "heavy"))
     ranges: dict = field(default_factory=lambda: {"mech": (300, 3000), "ring": (400, 1500), "fastener": (800, 2500),
@@ -53,36 +62,40 @@ class VisitParams:
 
 
 class Dictionaries:
-    """Clinic dictionaries derived from the catalogue table (part):
-    specialities = brands; speciality -> symptom words = words of its small parts;
-    speciality -> analyses = names of its parts; gender allow-lists by part type."""
+    """Clinic dictionaries derived from the whole catalogue table (part). All are bounded
+    by its vocabulary (words, names, types, brands), not by its rows."""
 
     def __init__(self, spark: SparkSession, part: DataFrame, p: VisitParams):
-        self.spark = spark
-        words = part.select("p_brand", "p_name", "p_type", "p_size", F.explode(lookups.tokens("p_name")).alias("word"))
-        self.specs = part.select(F.col("p_brand").alias("spec")).distinct()
-        self.symptom_map = words.where(F.col("p_size") <= 2).select(F.col("p_brand").alias("doctor"), "word").distinct()
-        self.general_symptoms = part.select(F.lower("p_type").alias("word")).distinct()
-        self.analysis_map = part.where(F.col("p_size") <= 3).select(F.col("p_brand").alias("doctor"),
-                                                                    F.col("p_name").alias("item")).distinct()
+        vocabulary = materialize(part.select("p_name", "p_type", "p_brand").distinct(), "visits-vocabulary")
+        names = vocabulary.select("p_name").distinct()
+        types = vocabulary.select(F.lower("p_type").alias("t")).distinct()
+        words = names.select(F.explode(lookups.tokens("p_name")).alias("w")).distinct()
+        brand_word = vocabulary.select(F.lower(F.replace("p_brand", F.lit("#"), F.lit(""))).alias("b")).distinct()
+        joined = names.select(F.replace("p_name", F.lit(" "), F.lit("")).alias("n")).distinct()
+
+        doctors = lookups.dict_cross(vocabulary, "p_brand", vocabulary, "p_type", out_col="doctor")
+        self.doctors = lookups.dictionary(doctors, "doctor")
+        phrases = lookups.dict_cross(names, "p_name", types, "t", out_col="phrase")
+        self.symptoms = materialize(lookups.dict_variants(phrases, "phrase", p.grades, out_col="word").select("word"), "visits-symptoms")
+        self.analyses = materialize(lookups.dict_variants(names, "p_name", p.kinds, out_col="item").select("item"), "visits-analyses")
+        self.own_symptoms = materialize(self._own(doctors, self.symptoms, "word", "k7:own_s", p.own_symptoms), "visits-own-symptoms")
+        self.own_analyses = materialize(self._own(doctors, self.analyses, "item", "k7:own_a", p.own_analyses), "visits-own-analyses")
         self.general_analyses = spark.createDataFrame([(x,) for x in p.general_analyses], "item string")
-        m_types = F.col("p_type").isin("ECONOMY", "STANDARD", "SMALL")
-        self.allowed = part.where(F.col("p_size") <= 5).select(
-            F.when(m_types, "M").otherwise("F").alias("gender"), F.col("p_brand").alias("doctor")).distinct()
-        self.surnames = lookups.dictionary(part.select(F.element_at(lookups.tokens("p_name"), 1).alias("w")), "w")
-        self.patronymics = lookups.dictionary(part.select(F.lower("p_type").alias("w")), "w")
-        self.names = part.select(F.when(F.col("p_size") % 2 == 0, "M").otherwise("F").alias("g"),
-                                 F.element_at(lookups.tokens("p_name"), 2).alias("w"))
+        self.allowed = doctors.select(F.explode(F.array(F.lit("M"), F.lit("F"))).alias("gender"), "doctor").where(
+            u("k7:allow", "gender", "doctor") < F.lit(p.allowed))
+        self.surnames = lookups.dictionary(lookups.dict_cross(joined, "n", types, "t", "", "w"), "w")
+        self.patronymics = lookups.dictionary(lookups.dict_cross(types, "t", words, "w", "", "v"), "v")
+        given = lookups.dict_cross(words, "w", brand_word, "b", "", "w")
+        self.names = given.select(F.when(u("k7:name_g", "w") < F.lit(0.5), "M").otherwise("F").alias("g"), "w")
         self.swaps = spark.createDataFrame(list(p.swaps), "gender string, doctor string, new_value string")
-        self.exact = spark.createDataFrame(list(p.exact_prices), "name string, price bigint")
         rows = [(f"{b}/{s}", x) for b, ss in fixed.BANK_BINS.items() for s, xs in ss.items() for x in xs]
         self.bins = spark.createDataFrame(rows, "grp string, bin string")
-        self.spec_index = lookups.dictionary(self.specs.select(F.col("spec").alias("v")), "v")
-        # each dictionary is bounded by the catalogue vocabulary, not by the catalogue:
-        # keep one computed copy per run instead of re-deriving it in every stage
-        for name in ("specs", "symptom_map", "general_symptoms", "analysis_map", "allowed", "surnames",
-                     "patronymics", "names", "spec_index"):
-            setattr(self, name, getattr(self, name).persist())
+
+    @staticmethod
+    def _own(doctors: DataFrame, items: DataFrame, item_col: str, stream: str, share: float) -> DataFrame:
+        """Each doctor's own list: the items that a draw on (doctor, item) gives them."""
+        every = items.agg(F.collect_set(item_col)).scalar()
+        return doctors.withColumn(item_col, F.explode(every)).where(u(stream, "doctor", item_col) < F.lit(share))
 
 
 def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
@@ -102,33 +115,49 @@ def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: Visit
     c = c.withColumn("issue_date", derive.issue_date(F.col("birth_date"), F.col("visit_ts"), "k7:issue", "client_no"))
     c = c.withColumn("region", lookups.weighted_case(u("k7:region", "client_no"),
                                                      [(code, w) for code, _, w in fixed.RU_REGIONS], fixed.RU_REGION_DEFAULT))
-    rp = derive.ru_passport(F.col("region"), F.col("issue_date"), "k7:ru", "client_no")
     ru = F.col("country") == "ru"
-    c = c.withColumn("passport", F.when(ru, rp["passport"]).otherwise(
-        derive.foreign_passport(F.col("country"), "k7:foreign", "client_no")))
-    c = c.withColumn("dept_code", F.when(ru, rp["dept_code"]))
-    c = c.withColumn("issue_date", F.when(ru, F.col("issue_date")))
-    c = c.withColumn("snils", derive.snils_for("k7:snils", "client_no"))
-    c = materialize(c, "visits-client-draws")   # read three times by the first-wins step below
+    unit = derive.ru_passport(F.col("region"), F.col("issue_date"), "k7:dept", "client_no")["dept_code"]
+    c = c.select("client_no", "gender", "full_name", "country", "region", "issue_date", F.when(ru, unit).alias("dept_code"))
+    c = materialize(c, "visits-client-draws")
+    # K-6: no passport and no SNILS twice
+    passports = draws.unique_codes(c.select("client_no", "country", "region", "issue_date"), "client_no", lambda r: F.when(
+        ru, derive.ru_passport(F.col("region"), F.col("issue_date"), f"k7:ru:{r}", "client_no")["passport"]).otherwise(
+        derive.foreign_passport(F.col("country"), f"k7:foreign:{r}", "client_no")), "passport")
+    snils = draws.unique_codes(c.select("client_no"), "client_no", lambda r: derive.snils_for(f"k7:snils:{r}", "client_no"), "snils")
+    c = c.join(passports.drop("attempt"), "client_no").join(snils.drop("attempt"), "client_no")
     # K-1: one passport per name, first client wins; a later client with the same name
     # takes the first client's passport and SNILS (country from the passport format)
-    first = keyed.first_wins(c, ["full_name"], "client_no", ["client_no"], "_first")
-    firsts = c.select(F.col("client_no").alias("_first"), F.col("passport").alias("_fp"), F.col("snils").alias("_fs"))
-    c = c.join(first, "full_name").join(firsts, "_first")
-    reused = F.col("_first") != F.col("client_no")
+    first = c.groupBy("full_name").agg(F.min_by(F.struct("client_no", "passport", "snils"), "client_no").alias("_f"))
+    c = c.join(first, "full_name")
+    reused = F.col("_f.client_no") != F.col("client_no")
     return c.select(
-        "client_no", "full_name", "gender",
-        F.when(reused, F.col("_fp")).otherwise(F.col("passport")).alias("passport"),
-        F.when(reused, derive.infer_country(F.col("_fp"))).otherwise(F.col("country")).alias("passport_country"),
-        F.when(reused, F.lit(None).cast("date")).otherwise(F.col("issue_date")).alias("passport_issue_date"),
-        F.when(reused, F.lit(None).cast("string")).otherwise(F.col("dept_code")).alias("dept_code"),
-        F.when(reused, F.col("_fs")).otherwise(F.col("snils")).alias("snils"),
+        "client_no", "full_name", "gender", F.col("_f.passport").alias("passport"),
+        F.when(reused, derive.infer_country(F.col("_f.passport"))).otherwise(F.col("country")).alias("passport_country"),
+        F.when(~reused & ru, F.col("issue_date")).alias("passport_issue_date"),
+        F.when(~reused, F.col("dept_code")).alias("dept_code"), F.col("_f.snils").alias("snils"),
     )
 
 
-def _items_text(picked: DataFrame, item_col: str, out_col: str) -> DataFrame:
-    """Per visit: the picked items (k <= a handful) as one ', ' text in rank order."""
-    return derive.list_text(picked, ["visit_id"], ["rank"], item_col, out_col)
+def _cards(v: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
+    """(visit_id, card_id, use_no, card): the card pool, and one number per card, no
+    number twice (K-6)."""
+    uses = materialize(keyed.pool_reuse(v, "visit_id", "k7:card", p.p_reuse, p.card_cap), "visits-card-uses")
+    cards = uses.where("new_card").select("card_id")
+    bank = lookups.weighted_case(u("k7:bank", "card_id"), fixed.BANK_WEIGHTS, fixed.BANK_DEFAULT)
+    system = lookups.weighted_case(u("k7:system", "card_id"), fixed.SYSTEM_WEIGHTS, fixed.SYSTEM_DEFAULT)
+    cards = draws.pick_grouped(cards.withColumn("_grp", F.concat_ws("/", bank, system)), "_grp", d.bins, "grp", "bin", "k7:bin", ["card_id"], "bin")
+    numbers = draws.unique_codes(cards.select("card_id", "bin"), "card_id",
+                                 lambda r: derive.card_number(F.col("bin"), f"k7:card_digits:{r}", "card_id"), "number")
+    return uses.join(numbers, "card_id", "left").select("visit_id", "card_id", "use_no", codecs.group4(F.col("number")).alias("card"))
+
+
+def _price(name: Column, p: VisitParams) -> Column:
+    """F-15 as an expression: the price list as a CASE ladder, else the keyword rule."""
+    by_rule = derive.keyword_price(name, p.keywords, p.ranges, fixed.PRICE_DEFAULT)
+    exact = F.lit(None).cast("bigint")
+    for item, price in p.exact_prices:
+        exact = F.when(name == item, F.lit(price).cast("bigint")).otherwise(exact)
+    return F.coalesce(exact, by_rule)
 
 
 def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str, part: DataFrame,
@@ -143,57 +172,34 @@ def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str,
     clients = materialize(_clients(spark, rows.where("is_new"), d, p), "visits-clients")
     v = rows.join(clients, "client_no", "left")
 
-    # doctor: by gender (p) or by symptoms of a speciality drawn at random (1 - p)
+    # doctor: by gender (p) or by symptoms of a doctor drawn at random (1 - p)
     v = v.withColumn("path_gender", u("k7:path", "visit_id") < F.lit(p.p_gender_path))
     v = draws.pick_grouped(v, "gender", d.allowed, "gender", "doctor", "k7:doc_g", ["visit_id"], "doc_g")
-    v = draws.pick_uniform(v, d.spec_index, "k7:doc_t", ["visit_id"], "doc_t")
+    v = draws.pick_uniform(v, d.doctors, "k7:doc_t", ["visit_id"], "doc_t")
     v = v.withColumn("symptom_doctor", F.when(F.col("path_gender"), F.col("doc_g")).otherwise(F.col("doc_t")))
-    v = materialize(v, "visits-doctor-draws")
     k_s = rand_int(p.symptoms[0], p.symptoms[1], "k7:k_symptoms", "visit_id")
-    sym = draws.fallback_fill(v.select("visit_id", "symptom_doctor"), ["visit_id"], "symptom_doctor",
-                              d.symptom_map.withColumnRenamed("doctor", "symptom_doctor"), d.general_symptoms,
-                              "word", k_s, p.symptoms[1], "k7:symptoms")
-    sym = materialize(sym, "visits-symptoms")
-    by_sym_rows = v.where(~F.col("path_gender")).select("visit_id")
-    terms = sym.join(by_sym_rows, "visit_id").select("visit_id", F.col("word").alias("term"))
-    spec_words = d.symptom_map.select(F.col("doctor").alias("spec"), "word")
-    scores = derive.specialist_scores(terms, "visit_id", spec_words, "spec")
-    chosen = derive.choose_specialist(by_sym_rows, "visit_id", scores, "spec", d.specs, p.default_specialist,
-                                      "k7:doc_s", out_col="doc_s").drop("score")
+    v = draws.fallback_lists(v, ["visit_id"], "symptom_doctor", d.own_symptoms.withColumnRenamed("doctor", "symptom_doctor"), d.symptoms,
+                             "word", k_s, p.symptoms[1], "k7:symptoms", "symptom_list")
+    v = materialize(v, "visits-symptom-draws")
+    by_sym = v.where(~F.col("path_gender"))
+    terms = by_sym.select("visit_id", F.explode("symptom_list").alias("term"))
+    scores = derive.specialist_scores(terms, "visit_id", d.own_symptoms.withColumnRenamed("doctor", "spec"), "spec")
+    chosen = derive.choose_specialist(by_sym.select("visit_id"), "visit_id", scores, "spec", d.doctors.select(F.col("value").alias("spec")),
+                                      p.default_specialist, "k7:doc_s", out_col="doc_s").drop("score")
     v = v.join(chosen, "visit_id", "left")
-    v = v.withColumn("doctor0", F.when(F.col("path_gender"), F.col("doc_g")).otherwise(F.col("doc_s")))
-    v = derive.reassign(v.withColumnRenamed("doctor0", "doctor"), "gender", "doctor",
-                        d.allowed, d.swaps, "doctor_final")
-    v = materialize(v.drop("doctor").withColumnRenamed("doctor_final", "doctor"), "visits-doctor")
+    v = v.withColumn("doctor", F.when(F.col("path_gender"), F.col("doc_g")).otherwise(F.col("doc_s")))
+    v = derive.reassign(v, "gender", "doctor", d.allowed, d.swaps, "doctor_final").drop("doctor").withColumnRenamed("doctor_final", "doctor")
 
     # analyses of the doctor, their prices and the total
     k_a = rand_int(p.analyses[0], p.analyses[1], "k7:k_analyses", "visit_id")
-    ana = draws.fallback_fill(v.select("visit_id", "doctor"), ["visit_id"], "doctor", d.analysis_map, d.general_analyses,
-                              "item", k_a, p.analyses[1], "k7:analyses")
-    ana = materialize(derive.price_rule(ana, "item", d.exact, p.keywords, p.ranges, fixed.PRICE_DEFAULT), "visits-analyses")
-    cost = derive.price_sum(ana, "visit_id", "price", "cost")
-
-    # times
-    v = v.withColumn("result_ts", timecols.result_snap(F.col("visit_ts"),
-                                                       rand_int(24, 72, "k7:result_hours", "visit_id")))
-    # card pool and card number (a pure function of the card id)
-    cards = keyed.pool_reuse(v.select("visit_id"), "visit_id", "k7:card", p.p_reuse, p.card_cap)
-    cards = cards.withColumn("bank", lookups.weighted_case(u("k7:bank", "card_id"), fixed.BANK_WEIGHTS, fixed.BANK_DEFAULT))
-    cards = cards.withColumn("system", lookups.weighted_case(u("k7:system", "card_id"), fixed.SYSTEM_WEIGHTS,
-                                                             fixed.SYSTEM_DEFAULT))
-    cards = cards.withColumn("_grp", F.concat_ws("/", "bank", "system"))
-    cards = draws.pick_grouped(cards, "_grp", d.bins, "grp", "bin", "k7:bin", ["card_id"], "bin")
-    cards = cards.select("visit_id", "card_id", "use_no",
-                         codecs.group4(derive.card_number(F.col("bin"), "k7:card_digits", "card_id")).alias("card"))
-
-    out = (v.join(_items_text(sym, "word", "symptoms"), "visit_id", "left")
-           .join(_items_text(ana, "item", "analyses"), "visit_id", "left")
-           .join(cost, "visit_id", "left")
-           .join(cards, "visit_id", "left"))
+    v = draws.fallback_lists(v, ["visit_id"], "doctor", d.own_analyses, d.general_analyses, "item", k_a, p.analyses[1], "k7:analyses", "analysis_list")
+    cost = F.aggregate(F.transform("analysis_list", lambda x: _price(x, p)), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    v = v.withColumn("cost", cost).withColumn("result_ts", timecols.result_snap(F.col("visit_ts"), rand_int(24, 72, "k7:result_hours", "visit_id")))
+    out = v.join(_cards(rows.select("visit_id"), d, p), "visit_id", "left")
     return out.select(
         "visit_id", F.col("client_no").alias("client_id"), "full_name", "gender", "passport", "passport_country",
-        "passport_issue_date", "dept_code", "snils", "symptoms", "doctor", "visit_ts", "analyses", "result_ts",
-        F.col("cost").cast("bigint").alias("cost"), "card_id", F.col("use_no").alias("card_use"), "card", "is_new",
+        "passport_issue_date", "dept_code", "snils", F.array_join("symptom_list", ", ").alias("symptoms"), "doctor", "visit_ts",
+        F.array_join("analysis_list", ", ").alias("analyses"), "result_ts", "cost", "card_id", F.col("use_no").alias("card_use"), "card", "is_new",
     )
 
 
@@ -218,9 +224,12 @@ def visit_rules(p: VisitParams | None = None) -> list[quality.Rule]:
 
 
 def visit_errors(visits: DataFrame) -> DataFrame:
-    """Visits with their error codes (V-17 over ``visit_rules``), rows kept."""
+    """Visits with their error codes (V-17 over ``visit_rules``) and, in passport_errors,
+    every fault of a Russian passport; rows kept."""
     out = quality.row_errors(visits, visit_rules())
-    return out.withColumn("errors", F.array_join("errors", ";"))
+    ru = quality.ru_passport_errors(F.col("passport"), F.col("passport_issue_date").cast("string"), F.col("dept_code"), F.col("visit_ts"))
+    detail = F.when(F.col("passport_country") == "ru", F.array_join(ru, ";")).otherwise("")
+    return out.withColumn("errors", F.array_join("errors", ";")).withColumn("passport_errors", detail)
 
 
 def visits_from(spark: SparkSession, sf_dir: str, p: VisitParams | None = None) -> DataFrame:
