@@ -180,8 +180,8 @@ def unique_codes(rows: DataFrame, key_col: str, code: Callable[[int], Column], o
     """A code of its own for every row (K-6 refuses codes already given): (key, attempt,
     out_col). In round r the rows not yet placed draw ``code(r)``; a code goes to its
     first claimant (smallest key) unless an earlier round gave it away. Each round is
-    written, and only unplaced rows go on."""
-    left, placed = rows, None
+    written, and only unplaced rows go on. Keys are distinct and not null."""
+    left, placed, open_ = rows, None, rows.count()
     for attempt in range(1, max_rounds + 1):
         cand = left.withColumn(out_col, code(attempt))
         won = cand.groupBy(out_col).agg(F.min(key_col).alias(key_col)).withColumn("attempt", F.lit(attempt).cast("bigint"))
@@ -189,10 +189,11 @@ def unique_codes(rows: DataFrame, key_col: str, code: Callable[[int], Column], o
             won = won.join(placed.select(out_col), out_col, "left_anti")
         won = materialize(won.select(key_col, "attempt", out_col), "placed")
         placed = won if placed is None else placed.union(won)
-        left = materialize(left.join(won.select(key_col), key_col, "left_anti"), "unplaced")
-        if left.isEmpty():
+        open_ -= won.count()
+        if not open_:
             return placed
-    raise RuntimeError(f"{left.count()} rows have no code after {max_rounds} rounds: the space of codes is too small")
+        left = materialize(left.join(won.select(key_col), key_col, "left_anti"), "unplaced")
+    raise RuntimeError(f"{open_} rows have no code after {max_rounds} rounds: the space of codes is too small")
 
 
 def unique_batch(rows: DataFrame, key_col: str, stream: str, out_col: str, spread: int = 16, max_rounds: int = 64) -> DataFrame:
