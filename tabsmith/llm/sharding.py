@@ -180,6 +180,12 @@ def sharded_documents(docs: DataFrame, n_shards: int = 24, text_col: str = "text
     return keyed.join(placed, key).select(*docs.columns, name)
 
 
+def write_shards(docs: DataFrame, path: str, n_shards: int = 24, text_col: str = "text") -> None:
+    """Write the documents as Parquet, one folder per shard."""
+    out = sharded_documents(docs, n_shards, text_col)
+    out.write.partitionBy(out.columns[-1]).parquet(path)
+
+
 def place_groups(groups: DataFrame, runs: list[tuple[int, int, int]]) -> DataFrame:
     """(key, shard): the i-th group of a size goes where that size's runs say. Groups of
     one size are numbered in ``SPREAD`` parts of their key."""

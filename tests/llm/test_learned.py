@@ -24,6 +24,8 @@ PAGES = {
     "<div class=cookie-notice>We use cookies.</div><div class='post-content'><p>Alpha beta gamma delta, epsilon.</p><p>Zeta.</p></div><form><p>Mail</p></form>":
         "Alpha beta gamma delta, epsilon.\nZeta.",
     "<script>var a='<p>no</p>'</script><style>p{}</style><p>only</p><!-- <p>gone</p> -->": "only",
+    "<article><h2><a href='/x'>Linked title</a></h2><p>Words of the story.</p><ul><li><a>Other</a></li><li><a>Pages</a></li></ul></article>":
+        "Linked title\nWords of the story.",
     "plain text": "plain text",
     "<p>a<p>b &#233; &lt;c&gt;": "a\nb é <c>",
     "": "", None: "", "<html><body></body></html>": "", "<p>unclosed <b>bold <a href=": "unclosed bold <a href=",
@@ -170,7 +172,7 @@ def test_mixing_equals_brute_force(spark, entropy, repeats):
             assert sum(r["n_tokens"] for r in by_pass[(s, n)]) == t                      # whole passes
     for rows in by_pass.values():                                                        # starts are running sums
         at = 0
-        for r in sorted(rows, key=lambda r: (r["start"], r["n_tokens"])):
+        for r in sorted((r for r in rows if r["n_tokens"]), key=lambda r: r["start"]):      # rows without tokens take no place
             assert r["start"] == at
             at += r["n_tokens"]
     assert {r["doc_id"] for r in got} >= {901, 902}
