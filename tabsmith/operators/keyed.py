@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tabsmith.functions.draws import u
 from tabsmith.operators.prefix import DEFAULT_BLOCK, keyed_row_number, prefix_sum
+from tabsmith.session import materialize
 from tabsmith.sources import fixed
 
 
@@ -69,7 +70,7 @@ def repeat_assign(rows: DataFrame, order_col: str, stream: str = "client",
     client_no of a new row = number of new rows before it; a repeat row picks
     floor(draw * clients_before). Exact and deterministic, no sequential loop."""
     bound = _first_rows_bound(rows, order_col, pool_min)
-    first = F.lit(False) if bound is None else (F.col(order_col) <= F.lit(bound))
+    first = F.lit(False) if bound is None else F.coalesce(F.col(order_col) <= F.lit(bound), F.lit(False))
     d = rows.withColumn("is_new", first | (u(stream + ":repeat", order_col) >= F.lit(p_repeat)))
     d = prefix_sum(d, order_col, [(F.col("is_new").cast("bigint"), "clients_before")], block_size)
     pick = F.floor(u(stream + ":pick", order_col) * F.col("clients_before")).cast("bigint")
@@ -86,14 +87,16 @@ def pool_reuse(rows: DataFrame, order_col: str, stream: str = "card",
     card in row order; a use beyond ``cap`` opens a new card instead, so no card is
     used more than ``cap`` times and only earlier cards are reused."""
     bound = _first_rows_bound(rows, order_col, 1)
-    first = F.lit(False) if bound is None else (F.col(order_col) <= F.lit(bound))
+    first = F.lit(False) if bound is None else F.coalesce(F.col(order_col) <= F.lit(bound), F.lit(False))
     d = rows.withColumn("_new", first | (u(stream + ":reuse", order_col) >= F.lit(p_reuse)))
     d = prefix_sum(d, order_col, [(F.col("_new").cast("bigint"), "_before")], block_size)
+    # the numbered pool is read three times (cards, new rows, reuses): written once. Only
+    # reuses are joined, so the new rows don't meet on one null key.
+    d = materialize(d, "pool")
     cards = d.where("_new").select(F.col("_before").alias("_cno"), F.col(order_col).alias("_cid"))
-    d = d.withColumn("_pick", F.when(~F.col("_new"),
-                                     F.floor(u(stream + ":pick", order_col) * F.col("_before")).cast("bigint")))
-    d = d.join(cards, d["_pick"] == cards["_cno"], "left")
-    d = d.withColumn("_card", F.when(F.col("_new"), F.col(order_col)).otherwise(F.col("_cid")))
+    old = d.where(~F.col("_new")).withColumn("_pick", F.floor(u(stream + ":pick", order_col) * F.col("_before")).cast("bigint"))
+    old = old.join(cards, old["_pick"] == cards["_cno"], "left").withColumn("_card", F.col("_cid"))
+    d = d.where("_new").withColumn("_card", F.col(order_col)).unionByName(old.select(*d.columns, "_card"))
     blk = F.floor(F.col(order_col) / F.lit(block_size)).cast("bigint")
     d = keyed_row_number(d, ["_card"], [order_col], blk, "_use")
     over = F.col("_use") > F.lit(cap)
