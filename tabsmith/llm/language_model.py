@@ -13,8 +13,8 @@ of a unit by absolute discounting; the discounted mass goes to the unit's unseen
 which count as one type. The end of a text is a token with a class of its own, and it is
 the context of the first word.
 
-Counts of all words are a Spark aggregate. The most frequent ``LOOKUP`` words go to the
-tasks as a table of that fixed size; the tokens of all other words are joined with the
+Counts of all words are a Spark aggregate. The most frequent words, ``LOOKUP`` at most, go to
+the tasks as a table of that bounded size; the tokens of all other words are joined with the
 counts by word hash. Count matrices are units x classes, whatever the corpus.
 """
 
@@ -78,6 +78,21 @@ class Lookup:
         return np.where(ok, self.c[at], 0)[back], np.where(ok, self.rank[at], -1)[back]
 
 
+def most_frequent(counts: DataFrame, most: int) -> Lookup:
+    """The words above the lowest count that at most ``most`` words exceed. The counts'
+    histogram has at most sqrt(2 * tokens) rows."""
+    above, cut = 0, 0
+    for c, n in sorted(((r["c"], r["n"]) for r in counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).collect()), reverse=True):
+        if above + n > most:
+            cut = c
+            break
+        above += n
+    top = counts.where(F.col("c") > cut).select("word", "c").toArrow()
+    word, c = top.column("word").to_numpy(), top.column("c").to_numpy()
+    order = np.lexsort((word, -c))
+    return Lookup(word[order], c[order])
+
+
 def encode(docs: DataFrame, lookup) -> DataFrame:
     """(row, doc_id, held_out, units, n_words, seen, base, emit, rest): the units of each
     whole text (16-bit numbers), sums over its looked-up words, and the other words."""
@@ -199,8 +214,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     sc = src.sparkSession.sparkContext
     counts = materialize(word_counts(src.where(~held_out())), "words")
     n_docs = src.where(~held_out()).count()
-    top = counts.orderBy(F.col("c").desc(), "word").limit(LOOKUP).select("word", "c").toPandas()
-    lookup = Lookup(top["word"].to_numpy(np.int64), top["c"].to_numpy(np.int64))
+    lookup = most_frequent(counts, LOOKUP)
     encoded = materialize(encode(src, sc.broadcast(lookup)), "encoded")
     classes, before, after = cluster(encoded)
 
