@@ -58,42 +58,7 @@ BANK_BINS = {
     },
 }
 
-# fixed values: exact analysis prices (rubles)
-EXACT_PRICES = [
-    ("общий анализ крови", 800),
-    ("биохимический анализ крови", 1500),
-    ("общий анализ мочи", 600),
-    ("мазок на ковид", 2000),
-    ("рентген грудной клетки", 2500),
-    ("эко кг", 3000),
-    ("узи брюшной полости", 2800),
-    ("флюорография", 1200),
-    ("анализ на сахар", 400),
-    ("анализ на холестерин", 500),
-]
-
-# fixed values: price ranges by analysis class (lo, hi)
-COST_RANGES = {
-    "кровь": (300, 3000),
-    "моча": (400, 1500),
-    "мазок": (800, 2500),
-    "рентген": (1500, 4000),
-    "узи": (2000, 5000),
-    "эндоскопия": (3000, 8000),
-    "мрт": (8000, 15000),
-    "кт": (6000, 12000),
-}
-
-# fixed values: keyword -> class, first match wins, substring of the lower-cased name
-PRICE_KEYWORDS = [
-    (("кровь", "крови"), "кровь"),
-    (("моча", "мочи"), "моча"),
-    (("мазок",), "мазок"),
-    (("рентген", "рентгена"), "рентген"),
-    (("узи",), "узи"),
-    (("мрт", "томография"), "мрт"),
-    (("кт",), "кт"),
-]
+# fixed values: price of an analysis that no rule names
 PRICE_DEFAULT = 1750
 
 # fixed values: passport formats by country
@@ -155,26 +120,6 @@ FEMALE_SURNAME_RULES = [
     ("юк", 0, ""),
 ]
 
-# fixed values: speciality swaps when a speciality does not see the client's gender
-GENDER_SWAPS = [
-    ("M", "гинеколог", "уролог"),
-    ("M", "маммолог", "уролог"),
-    ("M", "косметолог", "дерматолог"),
-    ("F", "андролог", "гинеколог"),
-    ("F", "сексолог", "гинеколог"),
-]
-DEFAULT_SPECIALIST = "терапевт"
-
-# fixed values: general fill lists used when a speciality's own list is too short
-GENERAL_SYMPTOMS = [
-    "общая слабость",
-    "головная боль",
-    "незначительное повышение температуры",
-    "легкая тошнота",
-    "общее недомогание",
-]
-GENERAL_ANALYSES = ["общий анализ крови", "общий анализ мочи"]
-
 # fixed values: probabilities, limits and sizes
 CLIENT_REPEAT_PROBABILITY = 0.75
 CLIENT_POOL_MIN = 50
@@ -185,9 +130,7 @@ SPECIALIST_ONE_MATCH_PROBABILITY = 0.70
 DEFAULT_ON_NO_MATCH_PROBABILITY = 0.80
 SYMPTOMS_PER_VISIT = (1, 3)
 ANALYSES_PER_VISIT = (1, 2)
-SYMPTOMS_MAX = 10
 ANALYSES_MAX = 5
-BATCH_SIZE = 1000
 DATASET_MIN_ROWS = 50_000
 DICT_MIN_SYMPTOMS = 5000
 DICT_MIN_DOCTORS = 50
