@@ -14,8 +14,8 @@ from above. What passes is decided by intersecting the sorted shingle arrays.
 
 Equal sets are one class and are joined once. A group of near copies is not compared all
 against all: in each round a tile compares its members with one pivot (the smallest by a
-seeded hash, so tiles of one group mostly agree on it), links are closed to components,
-and only members of different components go on. The last round compares all of these
+seeded hash, so tiles of one group mostly agree on it), and only members not yet known to
+be connected go on. The last round compares all of these
 with each other, tested by bitmap in the tile, so no link between different components
 is lost.
 """
@@ -65,7 +65,7 @@ class ShingleSets:
         return mix(a ^ mix(b + self.n.astype(np.uint64))).view(np.int64)
 
     def bitmaps(self) -> list[bytes]:
-        """Parity bitmaps: as many bits as shingles, rounded up to a power of two."""
+        """Parity bitmaps of a power of two bits, four to eight a shingle."""
         bits = bitmap_bits(self.n)
         base = np.concatenate([[0], np.cumsum(bits)])
         slot = base[self.doc] + (mix(self.g ^ np.uint64(0xA0761D6478BD642F)) & (bits[self.doc] - 1).astype(np.uint64)).astype(np.int64)
@@ -101,7 +101,8 @@ class ShingleSets:
 
 
 def bitmap_bits(n: np.ndarray) -> np.ndarray:
-    return np.maximum(64, 1 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
+    """Four to eight bits a shingle: few differences cancel, so the bound stays tight."""
+    return np.maximum(64, 4 << np.ceil(np.log2(np.maximum(n, 1))).astype(np.int64))
 
 
 def band_edges(percent: int, largest: int) -> np.ndarray:
@@ -287,6 +288,13 @@ def linked_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle:
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(rows, schema(*PAIR))
 
 
+def star_labels(links: DataFrame) -> DataFrame:
+    """(id, comp): the smallest id among a node and its direct links. Nodes of one label
+    are connected; connected nodes may have several labels."""
+    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    return materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("comp")), "labels")
+
+
 def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, n_shingles, class_id (smallest doc_id with an equal
     set), component_id (smallest doc_id reachable by links, itself included).
@@ -306,9 +314,11 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_c
     # rows of one doc_id with different texts belong together
     one_id = usable.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a <> z")
     links = materialize(usable.join(one_id.select("doc_id", "a"), "doc_id").select("a", F.col("cid").alias("b")).where("a <> b").distinct(), "links")
-    tested = None
-    comp = components(links) if not links.isEmpty() else None
+    tested, comp = None, None
     for seed in (*SEEDS, None):
+        if not links.isEmpty():
+            # before the last round true components; before a pivot round a cheap refinement
+            comp = star_labels(links) if seed is not None else components(links)
         if comp is None:
             now = tiles.withColumn("comp", F.col("cid"))
         else:
@@ -327,7 +337,8 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_c
         new = materialize(linked_pairs(found, named, classes, shingle, percent), "links")
         tested = found if tested is None else tested.union(found)
         links = links.union(new)
-        comp = components(links)
+        if seed is None and not new.isEmpty():
+            comp = components(links)
 
     # back to documents: the smallest doc_id of each component
     comp = comp if comp is not None else links.select(F.col("a").alias("id"), F.col("b").alias("comp"))
