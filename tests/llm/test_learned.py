@@ -46,6 +46,26 @@ def test_very_long_page_is_whole():
     assert pages.main_text(f"<nav><a>x</a></nav><article>{body}</article>").count("\n") == 19999
 
 
+LONG = "".join(f"<p>Paragraph {i} of the story, with many words in it, and some more of them, so that it is long.</p>" * 3 for i in range(6))
+
+
+@pytest.mark.parametrize("before,inner", [
+    ("<h1>Title</h1><p class=lead>Lead.</p>", f"<div class=content>{LONG}</div>"),
+    ("<section class=intro><h2>Title</h2><p>Lead.</p></section>", f"<section class=rest>{LONG}</section>"),
+    ("<h1>Title</h1><p>Lead.</p>", "<ul>" + LONG.replace("<p>", "<li>").replace("</p>", "</li>") + "</ul>"),
+    ("<h1>Title</h1><p>Lead.</p>", "<table>" + LONG.replace("<p>", "<tr><td>").replace("</p>", "</td></tr>") + "</table>"),
+])
+@pytest.mark.parametrize("wrap", ["<article>{}</article>", "<body><div id=x>{}</div></body>", "<body><main>{}</main></body>"])
+def test_title_and_lead_beside_the_long_container_stay(before, inner, wrap):
+    got = pages.main_text(wrap.format(before + inner)).split("\n")
+    assert got[:2] == ["Title", "Lead."] and len(got) == 20
+
+
+def test_short_article_beside_a_long_one_stays():
+    got = pages.main_text(f"<div>Site</div><article><p>Short one.</p></article><article>{LONG}</article>").split("\n")
+    assert got[0] == "Short one." and len(got) == 19
+
+
 def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
