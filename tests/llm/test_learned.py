@@ -66,6 +66,23 @@ def test_short_article_beside_a_long_one_stays():
     assert got[0] == "Short one." and len(got) == 19
 
 
+@pytest.mark.parametrize("tag", ["div class='content has-sidebar'", "div class='overflow-hidden'", "div class='with-comments'", "div class='md:hidden no-nav'",
+                                 "div class='sidebar'", "div id=popup", "form action='/x.aspx' method=post", "section title=\"the hidden truth\"",
+                                 "section data-x='class=ad' title='id=menu'"])
+@pytest.mark.parametrize("outer", ["<body>{}</body>", "<body><form id=aspnet>{}</form></body>", "<body><div class='page has-nav'>{}</div></body>"])
+def test_one_name_does_not_empty_a_page(tag, outer):
+    end = tag.split()[0]
+    inside = f"<h1>Title</h1><p title=\"the hidden truth\">Lead.</p>{LONG}<div class='comments'><p>Nice.</p></div><p hidden>Gone.</p>"
+    page = outer.format(f"<nav>Menu</nav><div class=cookie-notice>We use cookies.</div><{tag}>{inside}</{end}><footer>End</footer>")
+    assert pages.main_text(page).split("\n") == ["Title", "Lead."] + pages.main_text(LONG).split("\n")
+
+
+def test_names_count_beside_an_article():
+    comments = "".join(f"<p>Comment {i}.</p>" for i in range(20))
+    assert pages.main_text(f"<article><header class=entry-header><h1>T</h1></header>{LONG}</article><div class=article-comments>{comments}</div>"
+                           "<form><p>Mail us.</p></form><div class='x hidden'>Not shown.</div>") == "T\n" + pages.main_text(LONG)
+
+
 def test_language_id_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     out = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").toPandas()
