@@ -137,6 +137,22 @@ def test_language_model_beats_base_on_held_out_texts(spark):
     assert np.allclose(out.perplexity, 10 ** (-out.score / out.n_tokens))
 
 
+@pytest.mark.parametrize("most", [language_model.LOOKUP, 9000, 0])
+def test_words_past_the_frequent_ones_have_classes_of_their_own(spark, most):
+    rng = np.random.default_rng(1)
+    rare = [[f"{k}{zlib.crc32(f'{k}{i}'.encode()):x}" for i in range(400)] for k in "ab"]
+    texts = [" ".join(f"f{j}" for j in rng.permutation(8800)) for _ in range(6)]        # fill the frequent ranks
+    texts += [f"{x} {w} {y}" for words, x, y in ((rare[0], "x", "xx"), (rare[1], "y", "yy")) for w in words for _ in range(4)]
+    asked = [(x, w, y) for i in range(400) for w in (rare[0][i], rare[1][i]) for x, y in (("x", "xx"), ("y", "yy"))]
+    free = [i for i in range(100000) if zlib.crc32(str(i).encode()) % 7 == 2][: len(asked)]                 # held out: not learned from
+    learn = [i for i in range(100000, 200000) if zlib.crc32(str(i).encode()) % 7 != 2][: len(texts)]
+    rows = list(zip(learn, texts)) + [(i, " ".join(a)) for i, a in zip(free, asked)]
+    got = {r["doc_id"]: r["score"] for r in language_model.score_texts(spark.createDataFrame(rows, "doc_id long, text string"), most=most).collect()}
+    score = {a: got[i] for i, a in zip(free, asked)}
+    right = [score[x, w, y] > score[u, w, v] for words, (x, y), (u, v) in ((rare[0], ("x", "xx"), ("y", "yy")), (rare[1], ("y", "yy"), ("x", "xx"))) for w in words]
+    assert np.mean(right) > 0.99
+
+
 def test_quality_on_held_out_labels(spark):
     d = "/root/testdata/sf0.1"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
