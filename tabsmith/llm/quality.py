@@ -6,8 +6,8 @@ all grades; K ordered thresholds cut its score:
     P(grade >= k | x) = sigmoid(w . x - threshold_k)
 
 Features are the presence of lower-cased words and of word shapes (case, digits, the
-punctuation behind a word), hashed to ``BITS`` bits; features of few
-training texts (``MIN_DOCS``, ``MIN_SHARE``) are left out. The model is fitted by proximal AdaGrad (an L1
+punctuation behind a word), hashed to ``BITS`` bits; features of fewer
+than ``MIN_DOCS`` training texts, however many there are, are left out. The model is fitted by proximal AdaGrad (an L1
 term keeps weights of uninformative words at zero) on at most ``per_grade`` labelled rows
 of each grade; the grades' shares among all labelled rows weight them. The expected grade
 is the sum of the tail probabilities.
@@ -24,7 +24,7 @@ from tabsmith.llm.common import pick, schema
 from tabsmith.llm.words import LETTERS_DIGITS, Words, mix, pieces
 
 BITS = 18
-MIN_DOCS, MIN_SHARE = 4, 0.004      # of the training texts
+MIN_DOCS = 4            # training texts a feature occurs in
 EPOCHS, BATCH, RATE, L1 = 20, 64, 0.4, 7e-4
 
 
@@ -72,7 +72,7 @@ class OrdinalModel:
 
     def fit(self, idx: np.ndarray, first: np.ndarray, y: np.ndarray, weight: np.ndarray, seed: int = 3) -> "OrdinalModel":
         df = np.bincount(idx, minlength=len(self.w))
-        use = df >= max(MIN_DOCS, MIN_SHARE * len(y))
+        use = df >= MIN_DOCS
         grade = np.arange(1, len(self.thresholds) + 1)
         share = np.array([np.average(y >= k, weights=weight) for k in grade]).clip(1e-3, 1 - 1e-3)
         self.thresholds = np.log((1 - share) / share)
@@ -121,9 +121,9 @@ def train(docs: DataFrame, grades: DataFrame, n_grades: int = 3, per_grade: int
     that are not held out."""
     labelled = docs.join(grades, "doc_id").where(~held_out() & F.col("text").isNotNull() & F.col("grade").between(0, n_grades - 1))
     w = Window.partitionBy("grade").orderBy(F.xxhash64("doc_id"), "doc_id")
-    count = F.count(F.lit(1)).over(Window.partitionBy("grade"))
-    chosen = (labelled.select("doc_id", "grade").withColumn("n", count).withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= per_grade)
-              .withColumnRenamed("doc_id", "chosen"))
+    count = labelled.groupBy("grade").agg(F.count(F.lit(1)).alias("n"))
+    chosen = (labelled.select("doc_id", "grade").withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= per_grade)
+              .join(F.broadcast(count), "grade").withColumnRenamed("doc_id", "chosen"))
     # tasks reduce the chosen texts to feature numbers
     src = docs.join(chosen, F.col("doc_id") == F.col("chosen")).select("doc_id", "grade", "n", "rn", "text")
 

@@ -181,6 +181,27 @@ def test_quality_catches_planted_words(spark):
     assert (out.keep == (out.doc_id % 6 != 0)).mean() > 0.97
 
 
+def test_quality_learns_words_of_few_texts_from_a_large_sample():
+    rng = np.random.default_rng(2)
+    n, vocabulary = 12000, [f"v{i:04d}" for i in range(2000)]          # all words of one shape
+    texts = [" ".join(rng.choice(vocabulary, 30)) for _ in range(n)]
+    y = np.arange(n) % 3
+    for k, i in enumerate(np.flatnonzero(y == 0)):
+        texts[i] += f" x{k // 40:04d}"                       # each in 40 toxic texts and in no other
+    for i in np.flatnonzero(y == 2):
+        texts[i] += " f0000"
+
+    def features(texts):
+        raw = [t.encode() for t in texts]
+        return quality.Features(np.frombuffer(b"".join(raw), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in raw])]))
+
+    f = features(texts)
+    model = quality.OrdinalModel(3).fit(f.idx, f.first, y, np.ones(n))
+    plain = texts[1::3][:200]
+    assert (model.tails(features([f"{t} x{k % 100:04d}" for k, t in enumerate(plain)]))[:, 0] < 0.65).mean() > 0.97
+    assert (model.tails(features(plain))[:, 0] >= 0.65).mean() > 0.97
+
+
 def test_quality_of_awkward_rows(spark, awkward, no_docs):
     labels = spark.createDataFrame([(0, 1, 0), (3, 0, 1), (3, 1, 0), (5, None, 1), (None, 1, 0), (77777, 1, 1), (9, 0, 0)], "doc_id long, quality int, toxic int")
     assert {tuple(r) for r in quality.graded(labels).collect()} == {(0, 2), (3, 0), (77777, 0), (9, 1)}
