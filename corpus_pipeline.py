@@ -16,7 +16,7 @@ from tabsmith.sources.tables import read
 
 
 def with_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without any letter (``und``) go."""
+    """Texts without any letter (``und``) go. Without labelled rows the texts with a letter stay; the score isn't used."""
     return langid.in_known_language(docs, langid.trained(docs))
 
 

@@ -239,10 +239,15 @@ def predict(docs: DataFrame, model) -> DataFrame:
 
 
 def in_known_language(docs: DataFrame, model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` whose text gets a language; all columns as they are."""
+    """The rows of ``docs`` whose text has a letter, so that it gets a language; all columns
+    as they are. The label and its score decide nothing. Without a model (no learnable row
+    is labelled) the rows with a letter stay too."""
     def rows(batches):
         for batch in batches:
             for piece, buf, offs in pieces(batch, text_col):
+                if model.value is None:
+                    yield piece.filter(pa.array(has_letter(buf, offs)))
+                    continue
                 names, _ = label_texts(model.value, buf, offs)
                 yield piece.filter(pa.array([x != UNKNOWN for x in names], pa.bool_()))
 

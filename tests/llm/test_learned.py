@@ -104,6 +104,11 @@ def test_language_id_of_awkward_rows(awkward, no_docs):
     assert {r["lang_pred"] for r in langid.identify(unlabelled).collect()} == {"und"}
 
 
+def test_unlabelled_texts_with_a_letter_stay(spark):
+    docs = spark.createDataFrame([(1, "Some text.", None), (2, "12 !?", None), (3, None, None)], "doc_id long, text string, lang string")
+    assert [r["doc_id"] for r in langid.in_known_language(docs, langid.trained(docs)).collect()] == [1]
+
+
 def test_gru_gradients_match_differences():
     m = langid.ByteLabeller(["a", "b"], seed=1)
     x, y = np.random.default_rng(0).integers(0, 256, (6, 3)).astype(np.uint8), np.array([0, 1, 1])
