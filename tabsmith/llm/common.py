@@ -36,7 +36,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     Alternates large-star and small-star: every node links its larger neighbours, then
     its smaller ones, to the smallest one it sees. Each round is written to the shared
     folder; the number of rounds grows with the logarithm of the component size. No
-    neighbour list is collected: a node's minimum is an aggregate."""
+    neighbour list is collected: a node's minimum is an aggregate. Raises when ``max_rounds``
+    rounds are not enough."""
     e = materialize(edges.where(F.col("a") != F.col("b"))
                     .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     for _ in range(max_rounds):
@@ -54,6 +55,8 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if (e.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty()
                 and e.select(F.col("b").alias("c")).join(e, F.col("c") == F.col("a"), "left_semi").isEmpty()):
             break
+    else:
+        raise RuntimeError(f"connected components have not converged after {max_rounds} rounds")
     # each node has one edge now, to the smallest id of its component
     return e.select(F.col("a").alias("id"), F.col("b").alias("comp")).union(
         e.select(F.col("b").alias("id"), F.col("b").alias("comp"))).distinct()

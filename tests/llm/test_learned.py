@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabsmith.llm import decontaminate, langid, language_model, mixing, pages, quality, sharding
+from tabsmith.llm.common import components
 from tabsmith.llm.queries import ORACLES, QUERIES
 from tabsmith.session import materialize
 from tests.llm.conftest import SF
@@ -216,6 +217,13 @@ def test_quality_of_awkward_rows(spark, awkward, no_docs):
     assert quality.grade_texts(no_docs, labels).count() == 0
 
 
+def test_components_say_when_rounds_are_not_enough(spark):
+    path = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError):
+        components(path, max_rounds=1)
+    assert {r["comp"] for r in components(path).collect()} == {0}
+
+
 def mix_input(spark):
     rows = [(i, "hot" if i < 400 else f"s{i % 6}", " ".join(["t"] * (1 + i % 17))) for i in range(700)]
     return spark.createDataFrame(rows + [(900, None, "a b c"), (901, "void", ""), (902, "hot", None)], "doc_id long, source string, text string")
