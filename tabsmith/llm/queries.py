@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tabsmith.llm import decontaminate, langid, language_model, mixing, neardup, pages, quality, sharding, substrings, topk
+from tabsmith.llm import centroids, decontaminate, langid, language_model, mixing, neardup, negatives, pages, quality, sharding, substrings, token_counts, topk
 from tabsmith.llm.registry import ORACLES, QUERIES, query
 from tabsmith.sources.tables import read
 
@@ -130,4 +130,61 @@ def op10(spark, sf):
     return decontaminate.hit_report(read(spark, sf, "documents"), read(spark, sf, "benchmark"), n=10)
 
 
+@query("op11_token_counts")
+def op11(spark, sf):
+    import public_tokenizers
+
+    return token_counts.count_tokens(read(spark, sf, "documents"), public_tokenizers.path("piece_bpe_32k.model"), limit=4096)
+
+
+def op12_sql(rounds: int = 3, k: int = 16) -> str:
+    """The rounds unrolled: r0 holds the first centroids, a<i> the assignments to r<i>."""
+    dist = "list_sum(list_transform(list_zip(v, cv), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT"
+    out = f"""
+WITH x AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, v FROM (
+    SELECT vec_id, list_transform(embedding, lambda c: floor(64 * c::DOUBLE)::BIGINT) v FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)),
+r0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v cv FROM (
+  SELECT v, sha256('1:' || vec_id) h FROM x WHERE vec_id IS NOT NULL ORDER BY h, v LIMIT {k}))"""
+    for i in range(rounds + 1):
+        out += f""",
+a{i} AS MATERIALIZED (SELECT r, min(struct_pack(d := d, c := c)) b FROM (SELECT r, c, {dist} d FROM x, r{i}) GROUP BY r)"""
+        if i < rounds:
+            out += f""",
+r{i + 1} AS MATERIALIZED (SELECT c, coalesce(m, cv) cv FROM r{i} LEFT JOIN (
+  SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY j) m FROM (
+    SELECT b.c c, j, sum(v[j])::BIGINT s, count(*) n FROM a{i} JOIN x USING (r), range(1, 65) t(j) GROUP BY ALL) GROUP BY c) USING (c))"""
+    return out + f"""
+SELECT vec_id, b.c::INT AS cluster, b.d AS distance, sum(b.d) OVER (PARTITION BY b.c)::BIGINT cluster_inertia, sum(b.d) OVER ()::BIGINT inertia,
+       sha256(array_to_string(cv, ',')) centroid_sha256
+FROM a{rounds} JOIN x USING (r) JOIN r{rounds} ON r{rounds}.c = b.c
+"""
+
+
+@query("op12_centroid_clustering", op12_sql())
+def op12(spark, sf):
+    return centroids.cluster(read(spark, sf, "embeddings"), k=16, rounds=3, seed=1, dims=64, scale=64)
+
+
+OP13_SQL = """
+WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) v FROM embeddings
+           WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.vec_id anchor_id, c.vec_id vec_id, a.label = c.label same, list_dot_product(a.v::DOUBLE[], c.v::DOUBLE[])::BIGINT score
+      FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id),
+p AS (SELECT anchor_id, vec_id positive_id, score positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+n AS (SELECT anchor_id, positive_id, positive_score, vec_id negative_id, score negative_score,
+             row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INT AS rank
+      FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 10
+"""
+
+
+@query("op13_hard_negatives", OP13_SQL)
+def op13(spark, sf):
+    return negatives.hard_negatives(read(spark, sf, "embeddings"))
+
+
 __all__ = ["QUERIES", "ORACLES"]
