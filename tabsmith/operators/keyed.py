@@ -14,6 +14,7 @@ is a set-based job over the whole table:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,9 +35,14 @@ def first_wins(df: DataFrame, key_cols: Sequence[str], value_col: str, order_col
 def apply_first_wins(df: DataFrame, key_cols: Sequence[str], value_col: str, order_cols: Sequence[str],
                      out_col: str) -> DataFrame:
     """K-1/K-2 joined back: every row gets its key's first value (a pair lookup when
-    ``key_cols`` has two columns)."""
-    fw = first_wins(df, key_cols, value_col, order_cols, out_col)
-    return df.join(fw, list(key_cols), "left")
+    ``key_cols`` has two columns). A row whose key has a null part has no entry: it stays,
+    with null. Such rows don't go through the join, where they would meet in one task."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in key_cols])
+    keyed_rows = df.where(whole)
+    fw = first_wins(keyed_rows, key_cols, value_col, order_cols, out_col)
+    kind = fw.schema[out_col].dataType
+    out = keyed_rows.join(fw, list(key_cols), "left").select(*df.columns, out_col)
+    return out.unionByName(df.where(~whole).withColumn(out_col, F.lit(None).cast(kind)))
 
 
 def usage_number(df: DataFrame, key_cols: Sequence[str], order_cols: Sequence[str], block: Column,

@@ -82,7 +82,7 @@ def keyed_row_number(
     split = {}
     for i, k in enumerate([*keys, "__kb"]):
         split[f"__kf{i}"] = F.col(k).isNull()
-        split[f"__kv{i}"] = F.coalesce(F.col(k), _filler(d.schema[k].dataType))
+        split[f"__kv{i}"] = F.coalesce(F.col(k), filler(d.schema[k].dataType))
     d = d.withColumns(split)
     parts = list(split)
     key_parts, block_parts = parts[:-2], parts[-2:]
@@ -95,7 +95,7 @@ def keyed_row_number(
     return out.select(*df.columns, out_col)
 
 
-def _filler(kind: T.DataType) -> Column:
+def filler(kind: T.DataType) -> Column:
     """Any value of a type, to stand for null."""
     if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return F.lit("1970-01-01").cast(kind)

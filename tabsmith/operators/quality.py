@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabsmith.functions import codecs, timecols
-from tabsmith.operators.prefix import keyed_row_number
+from tabsmith.operators.prefix import filler, keyed_row_number
 from tabsmith.sources import fixed
 
 
@@ -179,9 +179,21 @@ def gap_broken(visit, result, lo: float = timecols.RESULT_MIN_HOURS, hi: float =
     return (g < lo) | (g > hi)
 
 
-def gap_message(visit, result) -> Column:
+def gap_message(visit, result, lo: float = timecols.RESULT_MIN_HOURS, hi: float = timecols.GAP_MAX_HOURS) -> Column:
+    """The message of V-16: empty when the rule holds, else the bounds and the gap with one
+    decimal (tenths rounded half up from whole microseconds)."""
     g = gap_hours(visit, result)
-    return F.concat(F.lit("gap "), F.format_number(g, 1), F.lit(" h"))
+    tenths = F.floor(F.abs(g) * 10 + 0.5).cast("bigint")
+    one = F.concat(F.when(g < 0, "-").otherwise(""), F.call_function("div", tenths, F.lit(10)).cast("string"), F.lit("."), (tenths % 10).cast("string"))
+    text = F.concat(F.lit(f"results are due after {lo:g} to {hi:g} hours, got "), one)
+    return F.when(gap_broken(visit, result, lo, hi), text).otherwise("")
+
+
+def sql_gap_message(g: str, lo: float = timecols.RESULT_MIN_HOURS, hi: float = timecols.GAP_MAX_HOURS) -> str:
+    """``g``: a column with the gap in hours."""
+    tenths = f"CAST(floor(abs({g}) * 10 + 0.5) AS BIGINT)"
+    return (f"(CASE WHEN {g} < {lo} OR {g} > {hi} THEN 'results are due after {lo:g} to {hi:g} hours, got ' || "
+            f"CASE WHEN {g} < 0 THEN '-' ELSE '' END || ({tenths} // 10) || '.' || ({tenths} % 10) ELSE '' END)")
 
 
 # ---- table-wide checks -------------------------------------------------------------
@@ -207,11 +219,12 @@ def revisit_gaps(visits: DataFrame, client_col: str, visit_col: str, result_col:
 
     ``lag`` without a whole-client window: visits are numbered per (client, block)
     with offsets, then joined to their predecessor on (client, n - 1), which hash
-    partitions on the number too, so a very active client is spread over tasks."""
+    partitions on the number too, so a very active client is spread over tasks. Visits
+    without a client are one client's, as in the numbering and in ``lag``."""
     n = keyed_row_number(visits, [client_col], [visit_col, id_col], block, "_n")
-    prev = n.select(F.col(client_col).alias("_pc"), (F.col("_n") + 1).alias("_pn"),
-                    F.col(result_col).alias("prev_result"))
-    j = n.join(prev, (n[client_col] == prev["_pc"]) & (n["_n"] == prev["_pn"]), "left").drop("_pc", "_pn")
+    n = n.withColumns({"_c0": F.col(client_col).isNull(), "_c1": F.coalesce(F.col(client_col), filler(visits.schema[client_col].dataType))})
+    prev = n.select("_c0", "_c1", (F.col("_n") + 1).alias("_n"), F.col(result_col).alias("prev_result"))
+    j = n.join(prev, ["_c0", "_c1", "_n"], "left").select(*visits.columns, "_n", "prev_result")
     gap = timecols.hours_between(F.col("prev_result"), F.col(visit_col))
     return j.withColumn("gap_hours", gap).withColumn(
         "too_soon", F.coalesce(F.col("gap_hours") < F.lit(float(min_hours)), F.lit(False))).drop("_n")

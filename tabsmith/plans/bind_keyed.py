@@ -28,7 +28,7 @@ def first_wins_fd(spark, sf):
 
 @query("pair_lookup", """
 SELECT e.event_id, f.v AS pair_value FROM events e
-JOIN (SELECT user_id, event_type, first(value ORDER BY ts, event_id) AS v FROM events GROUP BY user_id, event_type) f
+LEFT JOIN (SELECT user_id, event_type, first(value ORDER BY ts, event_id) AS v FROM events GROUP BY user_id, event_type) f
   ON f.user_id = e.user_id AND f.event_type = e.event_type
 """)
 def pair_lookup(spark, sf):

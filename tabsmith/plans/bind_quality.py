@@ -241,14 +241,14 @@ def rule_parse(spark, sf):
 
 
 @query("rule_gap_range", f"""
-SELECT event_id, g AS gap_hours, (g < 24 OR g > 168) AS broken FROM (
+SELECT event_id, g AS gap_hours, (g < 24 OR g > 168) AS broken, {quality.sql_gap_message('g')} AS message FROM (
   SELECT event_id, {timecols.sql_hours_between('ts', 'r')} AS g FROM (
     SELECT event_id, ts, {bd.SQL_RESULT} AS r FROM events) x) y
 """)
 def rule_gap_range(spark, sf):
     r = bd.results(spark, sf)
     return r.select("event_id", quality.gap_hours("ts", "result_ts").alias("gap_hours"),
-                    quality.gap_broken("ts", "result_ts").alias("broken"))
+                    quality.gap_broken("ts", "result_ts").alias("broken"), quality.gap_message("ts", "result_ts").alias("message"))
 
 
 def doc_rules():

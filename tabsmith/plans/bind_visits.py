@@ -77,14 +77,14 @@ def _card(r: int) -> str:
 
 
 _TIERS, _TIERS_TOTAL = sql_tiers("k7:age", "client_no")
-_REGION = lookups.sql_weighted_case(sql_u("k7:region", "client_no"), [(code, w) for code, _, w in fixed.RU_REGIONS], fixed.RU_REGION_DEFAULT)
+_REGION = lookups.sql_weighted_case(sql_u("k7:region", "client_no"), fixed.RU_REGIONS, fixed.RU_REGION_DEFAULT)
 _COUNTRY = lookups.sql_weighted_case(sql_u("k7:country", "client_no"), fixed.COUNTRY_WEIGHTS, fixed.COUNTRY_DEFAULT)
 _AGE = sql_pick_index(_TIERS_TOTAL, "k7:age", "c.client_no")
 _BANK = lookups.sql_weighted_case(sql_u("k7:bank", "card_id"), fixed.BANK_WEIGHTS, fixed.BANK_DEFAULT)
 _SYSTEM = lookups.sql_weighted_case(sql_u("k7:system", "card_id"), fixed.SYSTEM_WEIGHTS, fixed.SYSTEM_DEFAULT)
 _INFER = "CASE " + " ".join(f"WHEN regexp_full_match(passport, '{p}') THEN '{c}'" for c, p in bd._PAT) + " ELSE 'ru' END"
-_EXACT = "CASE " + " ".join(f"WHEN item = '{n}' THEN {x}" for n, x in P.exact_prices) + " END"
-_PRICE = f"coalesce({_EXACT}, {derive.sql_keyword_price('item', P.keywords, P.ranges, fixed.PRICE_DEFAULT)})"
+_EXACT = "CASE " + " ".join(f"WHEN item = '{n}' THEN {x}" for n, x in fixed.ANALYSIS_PRICES) + " END"
+_PRICE = f"coalesce({_EXACT}, {derive.sql_keyword_price('item', fixed.PRICE_KEYWORDS, fixed.PRICE_RANGES, fixed.PRICE_DEFAULT)})"
 _SWAPS = ", ".join(f"('{g}', '{a}', '{b}')" for g, a, b in P.swaps)
 _ONE, _NONE = fixed.SPECIALIST_ONE_MATCH_PROBABILITY, fixed.DEFAULT_ON_NO_MATCH_PROBABILITY
 

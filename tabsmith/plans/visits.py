@@ -19,7 +19,7 @@ row rules (V-17).
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions import codecs, timecols
 from tabsmith.functions.draws import rand_int, u
 from tabsmith.operators import derive, draws, keyed, quality
+from tabsmith.plans import vocab
 from tabsmith.sources import fixed, lookups
 from tabsmith.session import materialize
 from tabsmith.sources.tables import read
@@ -45,20 +46,15 @@ class VisitParams:
     p_gender_path: float = fixed.PATH_BY_GENDER_PROBABILITY
     grades: tuple = ("faint", "mild", "light", "brief", "dull", "sharp", "severe", "acute", "chronic", "morning", "evening",
                      "sudden", "steady", "rare")             # symptom = grade + part name + type
-    kinds: tuple = ("total", "free", "rapid", "paired", "fasting")   # analysis = kind + part name
+    kinds: tuple = ("анализ крови", "анализ мочи", "мазок", "узи", "проба")   # analysis = kind + part name
     own_symptoms: float = 0.01               # shares of a doctor's own lists and of the allow-lists
     own_analyses: float = 0.05
     allowed: float = 0.6
     default_specialist: str = "Brand#1 ECONOMY"
     swaps: tuple = (("M", "Brand#1 ECONOMY", "Brand#2 ECONOMY"), ("M", "Brand#3 PROMO", "Brand#2 PROMO"),
                     ("F", "Brand#4 SMALL", "Brand#5 SMALL"), ("F", "Brand#6 LARGE", "Brand#5 LARGE"))
-    general_analyses: tuple = ("blood count", "urine test")
-    exact_prices: tuple = (("blood count", 800), ("urine test", 600), ("total red widget", 1500), ("free blue bolt", 2000))
-    keywords: tuple = ((("gear", "gizmo"), "mech"), (("ring",), "ring"), (("rod", "bolt"), "fastener"),
-                       (("plate",), "plate"), (("anvil",), "heavy"))
-    ranges: dict = field(default_factory=lambda: {"mech": (300, 3000), "ring": (400, 1500), "fastener": (800, 2500),
-                                                  "plate": (1500, 4000), "heavy": (8000, 15000)})
-    name_rules: tuple = (("get", 3, "gette"), ("et", 0, ""), ("od", 0, "s"), ("t", 1, "te"), ("ng", 2, "nga"))
+    general_analyses: tuple = ("общий анализ крови", "общий анализ мочи")
+    name_rules: tuple = vocab.ENGLISH_RULES
 
 
 class Dictionaries:
@@ -114,7 +110,7 @@ def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: Visit
     c = c.withColumn("birth_date", derive.birth_date(F.col("visit_ts"), F.col("age"), "k7:birth", "client_no"))
     c = c.withColumn("issue_date", derive.issue_date(F.col("birth_date"), F.col("visit_ts"), "k7:issue", "client_no"))
     c = c.withColumn("region", lookups.weighted_case(u("k7:region", "client_no"),
-                                                     [(code, w) for code, _, w in fixed.RU_REGIONS], fixed.RU_REGION_DEFAULT))
+                                                     fixed.RU_REGIONS, fixed.RU_REGION_DEFAULT))
     ru = F.col("country") == "ru"
     unit = derive.ru_passport(F.col("region"), F.col("issue_date"), "k7:dept", "client_no")["dept_code"]
     c = c.select("client_no", "gender", "full_name", "country", "region", "issue_date", F.when(ru, unit).alias("dept_code"))
@@ -151,11 +147,11 @@ def _cards(v: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
     return uses.join(numbers, "card_id", "left").select("visit_id", "card_id", "use_no", codecs.group4(F.col("number")).alias("card"))
 
 
-def _price(name: Column, p: VisitParams) -> Column:
+def _price(name: Column) -> Column:
     """F-15 as an expression: the price list as a CASE ladder, else the keyword rule."""
-    by_rule = derive.keyword_price(name, p.keywords, p.ranges, fixed.PRICE_DEFAULT)
+    by_rule = derive.keyword_price(name, fixed.PRICE_KEYWORDS, fixed.PRICE_RANGES, fixed.PRICE_DEFAULT)
     exact = F.lit(None).cast("bigint")
-    for item, price in p.exact_prices:
+    for item, price in fixed.ANALYSIS_PRICES:
         exact = F.when(name == item, F.lit(price).cast("bigint")).otherwise(exact)
     return F.coalesce(exact, by_rule)
 
@@ -193,7 +189,7 @@ def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str,
     # analyses of the doctor, their prices and the total
     k_a = rand_int(p.analyses[0], p.analyses[1], "k7:k_analyses", "visit_id")
     v = draws.fallback_lists(v, ["visit_id"], "doctor", d.own_analyses, d.general_analyses, "item", k_a, p.analyses[1], "k7:analyses", "analysis_list")
-    cost = F.aggregate(F.transform("analysis_list", lambda x: _price(x, p)), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    cost = F.aggregate(F.transform("analysis_list", _price), F.lit(0).cast("bigint"), lambda a, x: a + x)
     v = v.withColumn("cost", cost).withColumn("result_ts", timecols.result_snap(F.col("visit_ts"), rand_int(24, 72, "k7:result_hours", "visit_id")))
     out = v.join(_cards(rows.select("visit_id"), d, p), "visit_id", "left")
     return out.select(

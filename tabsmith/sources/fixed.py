@@ -58,6 +58,42 @@ BANK_BINS = {
     },
 }
 
+# fixed values: price of an analysis by its exact name
+ANALYSIS_PRICES = [
+    ("общий анализ крови", 800),
+    ("биохимический анализ крови", 1500),
+    ("общий анализ мочи", 600),
+    ("мазок на ковид", 2000),
+    ("рентген грудной клетки", 2500),
+    ("эко кг", 3000),
+    ("узи брюшной полости", 2800),
+    ("флюорография", 1200),
+    ("анализ на сахар", 400),
+    ("анализ на холестерин", 500),
+]
+
+# fixed values: other analyses by a word inside the name (words, class), first match wins
+PRICE_KEYWORDS = [
+    (("кровь", "крови"), "кровь"),
+    (("моча", "мочи"), "моча"),
+    (("мазок",), "мазок"),
+    (("рентген", "рентгена"), "рентген"),
+    (("узи",), "узи"),
+    (("мрт", "томография"), "мрт"),
+    (("кт",), "кт"),
+]
+
+# fixed values: price ranges of the classes; the middle of the range is the price
+PRICE_RANGES = {
+    "кровь": (300, 3000),
+    "моча": (400, 1500),
+    "мазок": (800, 2500),
+    "рентген": (1500, 4000),
+    "узи": (2000, 5000),
+    "мрт": (8000, 15000),
+    "кт": (6000, 12000),
+}
+
 # fixed values: price of an analysis that no rule names
 PRICE_DEFAULT = 1750
 
@@ -72,37 +108,37 @@ KZ_PREFIX = "N"
 RU_NEW_FORM_DATE = "1997-10-01"
 DEPT_CODE_PATTERN = r"^[0-9]{3}-[0-9]{3}$"
 
-# fixed values: passport regions (code, name, weight), ordered; weights sum to 1.04
+# fixed values: passport regions (code, weight), ordered; weights sum to 1.04
 RU_REGIONS = [
-    (77, "Москва", 0.15),
-    (50, "Московская область", 0.08),
-    (78, "Санкт-Петербург", 0.08),
-    (47, "Ленинградская область", 0.04),
-    (23, "Краснодарский край", 0.06),
-    (61, "Ростовская область", 0.05),
-    (66, "Свердловская область", 0.05),
-    (54, "Новосибирская область", 0.04),
-    (2, "Республика Башкортостан", 0.04),
-    (16, "Республика Татарстан", 0.04),
-    (52, "Нижегородская область", 0.04),
-    (74, "Челябинская область", 0.04),
-    (63, "Самарская область", 0.04),
-    (59, "Пермский край", 0.03),
-    (38, "Иркутская область", 0.03),
-    (72, "Тюменская область", 0.03),
-    (36, "Воронежская область", 0.03),
-    (34, "Волгоградская область", 0.03),
-    (42, "Кемеровская область", 0.03),
-    (39, "Калининградская область", 0.02),
-    (1, "Республика Адыгея", 0.01),
-    (3, "Республика Бурятия", 0.01),
-    (4, "Республика Алтай", 0.01),
-    (5, "Республика Дагестан", 0.01),
-    (6, "Республика Ингушетия", 0.01),
-    (7, "Кабардино-Балкарская Республика", 0.01),
-    (8, "Республика Калмыкия", 0.01),
-    (9, "Карачаево-Черкесская Республика", 0.01),
-    (10, "Республика Карелия", 0.01),
+    (77, 0.15),
+    (50, 0.08),
+    (78, 0.08),
+    (47, 0.04),
+    (23, 0.06),
+    (61, 0.05),
+    (66, 0.05),
+    (54, 0.04),
+    (2, 0.04),
+    (16, 0.04),
+    (52, 0.04),
+    (74, 0.04),
+    (63, 0.04),
+    (59, 0.03),
+    (38, 0.03),
+    (72, 0.03),
+    (36, 0.03),
+    (34, 0.03),
+    (42, 0.03),
+    (39, 0.02),
+    (1, 0.01),
+    (3, 0.01),
+    (4, 0.01),
+    (5, 0.01),
+    (6, 0.01),
+    (7, 0.01),
+    (8, 0.01),
+    (9, 0.01),
+    (10, 0.01),
 ]
 RU_REGION_DEFAULT = 77
 
