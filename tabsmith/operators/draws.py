@@ -2,9 +2,11 @@
 
 Dictionaries are joined on an integer index computed from the draw, so picking is an
 equi-join (hash join, broadcast when the counted dictionary is small) rather than a
-scan. k-of-n sampling is a ``row_number`` over draws with a literal upper bound, which
-lets Spark insert a partial per-group limit before the shuffle (WindowGroupLimit),
-so a group holding a third of all rows sends at most k rows per map task.
+scan. k of a dictionary's list are the first k places of a keyed permutation, in constant
+time each (``functions.draws.shuffled``). k of a group's rows is a ``row_number`` over
+draws with a literal upper bound, which lets Spark insert a partial per-group limit before
+the shuffle (WindowGroupLimit), so a group holding a third of all rows sends at most k rows
+per map task.
 """
 
 from __future__ import annotations
@@ -14,9 +16,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.functions.draws import pick_index, rand_int, u
+from tabsmith.functions.draws import pick_index, rand_int, shuffled, u
 from tabsmith.operators.joins import checked_broadcast
-from tabsmith.operators.prefix import keyed_row_number
+from tabsmith.operators.prefix import DEFAULT_BLOCK, dense_index, keyed_row_number, levels_for, prefix_sum
 from tabsmith.session import materialize
 
 
@@ -36,14 +38,38 @@ def pick_uniform(df: DataFrame, dictionary: DataFrame, stream: str, keys: Sequen
     return d.join(lk, "_pick", "left").drop("_pick")
 
 
-def pick_weighted_table(df: DataFrame, weights: DataFrame, stream: str, keys: Sequence, out_col: str,
-                        default) -> DataFrame:
-    """D-2 with the distribution as data (ord, key, weight, lo, hi): range join of the
-    draw against the [lo, hi) slices; the broadcast side is the distribution."""
-    d = df.withColumn("_u", u(stream, *keys))
-    lk = checked_broadcast(weights.select(F.col("key").alias("_k"), "lo", "hi"))
-    j = d.join(lk, (d["_u"] >= lk["lo"]) & (d["_u"] < lk["hi"]), "left")
-    return j.withColumn(out_col, F.coalesce(F.col("_k"), F.lit(default))).drop("_u", "_k", "lo", "hi")
+def weighted_slices(weights: DataFrame, order_col: str, value_col: str, weight_col: str) -> DataFrame:
+    """(value, lo, hi): the slice of [0, total) that each whole weight takes, in key order.
+    The running sum is a blocked prefix sum, so the table may be of any size; weights of 0
+    or less, or null, and rows without a key have no slice."""
+    w = weights.select(F.col(order_col).alias("_o"), F.col(value_col).alias("value"), F.col(weight_col).cast("bigint").alias("_w"))
+    w = w.where((F.col("_w") > 0) & F.col("_o").isNotNull())
+    w = prefix_sum(w, "_o", [("_w", "lo")], levels=levels_for(w, "_o"))
+    return w.select("value", "lo", (F.col("lo") + F.col("_w")).alias("hi"))
+
+
+def pick_weighted_table(df: DataFrame, slices: DataFrame, stream: str, keys: Sequence, out_col: str) -> DataFrame:
+    """D-2 with the distribution as data, a table (value, lo, hi) of any size whose slices
+    fill [0, total): each row draws t = floor(u * total) and takes the value of its slice.
+
+    [0, total) is cut into about as many cells of equal width as there are slices. A slice
+    is listed in every cell it meets, a row looks into the cell of its draw (an equi-join),
+    and the exact comparison decides. A draw meets 2 slices on average, whatever their
+    sizes; the cells hold at most twice as many entries as there are slices, and draws
+    spread evenly over cells. The grid is broadcast only behind the byte check. No slices:
+    null."""
+    slices = materialize(slices, "weight-slices")
+    n, total = slices.agg(F.count(F.lit(1)), F.max("hi")).first()
+    if not n:
+        return df.withColumn(out_col, F.lit(None).cast(slices.schema["value"].dataType))
+    width = max(1, -(-total // n))
+    cell = lambda c: F.call_function("div", c, F.lit(width).cast("bigint"))
+    grid = slices.withColumn("_cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))))
+    grid = checked_broadcast(grid.select("_cell", "lo", "hi", F.col("value").alias(out_col)))
+    d = df.withColumn("_t", pick_index(total, stream, *keys))
+    d = d.withColumn("_cell", cell(F.col("_t")))
+    j = d.join(grid, (d["_cell"] == grid["_cell"]) & (d["_t"] >= grid["lo"]) & (d["_t"] < grid["hi"]), "left")
+    return j.select(*df.columns, out_col)
 
 
 def pick_tiered(df: DataFrame, tiers: DataFrame, total, stream: str, keys: Sequence,
@@ -115,65 +141,107 @@ def pick_grouped(df: DataFrame, group_col: str, lookup: DataFrame, lookup_group:
     return j.withColumnRenamed("_nv", out_col).drop("_idx", "_n", "_ng", "_nidx")
 
 
-def _ranked(rows: DataFrame, row_keys: Sequence[str], cands: Column, k: Column, item_col: str) -> DataFrame:
-    """The first k of each row's candidate array (structs, last field the item), one row
-    per pick with its rank from 1."""
-    picked = rows.select(*row_keys, F.posexplode(F.slice(F.array_sort(cands), F.lit(1), k.cast("int"))).alias("_r", "_c"))
-    return picked.select(*row_keys, F.col("_c.item").alias(item_col), (F.col("_r") + 1).cast("bigint").alias("rank"))
+def item_lists(own: DataFrame, group_col: str, item_col: str, common: Sequence[str] = ()) -> DataFrame:
+    """(group, _own): each group's distinct items, and the ``common`` ones, as one sorted
+    array (a dictionary's list). Groups without items of their own are not listed."""
+    items = F.collect_set(item_col)
+    if common:
+        items = F.array_union(items, F.array(*[F.lit(w) for w in common]))
+    return own.groupBy(group_col).agg(F.array_sort(items).alias("_own"))
 
 
-def _drawn(items: Column, prio: int, stream: str, row_keys: Sequence[str]) -> Column:
-    return F.transform(items, lambda w: F.struct(F.lit(prio).alias("prio"), u(stream, *row_keys, w).alias("draw"), w.alias("item")))
+def _by_index(df: DataFrame, dictionary: DataFrame, idx: dict[str, Column]) -> DataFrame:
+    """Columns out -> value of the (idx, value) dictionary at an index column, null where
+    the index is null. A null looks for an index that no entry has, a different one for
+    different rows, so that such rows don't meet in one task."""
+    entries = checked_broadcast(dictionary.select(F.col("idx").alias("_di"), F.col("value").alias("_dv")))
+    for out, i in idx.items():
+        nowhere = -1 - F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns[:1]]), F.lit(1 << 20))
+        df = df.withColumn("_at", F.coalesce(i, nowhere))
+        df = df.join(entries.withColumnRenamed("_dv", out), F.col("_at") == F.col("_di"), "left").drop("_at", "_di")
+    return df
 
 
-def item_lists(own: DataFrame, group_col: str, item_col: str) -> DataFrame:
-    """(group, _own): each group's distinct items as one array (a dictionary's list)."""
-    return own.groupBy(group_col).agg(F.collect_set(item_col).alias("_own"))
+def _first_places(items: Column, n_picked: Column, places: Sequence[str]) -> Column:
+    """The items at the first ``n_picked`` of the place columns, in that order."""
+    return F.slice(F.array(*[F.get(items, F.col(c).cast("int")) for c in places]), F.lit(1), n_picked)
 
 
 def fallback_lists(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, general: DataFrame,
                    item_col: str, k: Column, k_max: int, stream: str, out_col: str) -> DataFrame:
-    """D-9 with the picks as an array column ``out_col`` of the rows: k items from the
-    group's own list; if it is shorter than k, all of it plus a sample of the general list
-    minus what was already chosen.
-
-    ``own``: (group, item); ``general``: (item); both are dictionaries and travel as arrays
-    (the general list as a scalar subquery). Each row orders its candidates by (own before
-    general, draw) inside a projection: no row per candidate, no window, no join back."""
+    """D-9 with the picks as an array column ``out_col`` of the rows: k items (``k_max`` at
+    most) from the group's own list; if it is shorter than k, all of it plus picks from the
+    general list that are not in it.
+
+    ``own``: (group, item) and ``general``: (item) are dictionaries. A row's i-th own pick is
+    the i-th place of a permutation keyed by the row (``shuffled``), so a pick costs the same
+    for a list of any length; the general list is never carried by a row but joined on the
+    index of a pick. Among the first k places of the general list at most as many are in the
+    own list as that has items, so k places always suffice."""
     lists = checked_broadcast(item_lists(own, group_col, item_col))
-    gen_items = general.agg(F.array_sort(F.collect_set(item_col))).scalar()
-    empty = F.array().cast("array<string>")
-    d = rows.join(lists, group_col, "left").withColumn("_own", F.coalesce(F.col("_own"), empty)).withColumn("_k", k)
-    d = d.withColumn("_gen", F.when(F.size("_own") < F.col("_k"), gen_items).otherwise(empty))
-    extra = F.array_except("_gen", "_own")
-    cands = F.concat(_drawn(F.col("_own"), 0, stream, row_keys), _drawn(extra, 1, stream, row_keys))
-    picked = F.slice(F.array_sort(cands), F.lit(1), F.least(F.col("_k"), F.lit(k_max)).cast("int"))
-    return d.withColumn(out_col, F.transform(picked, lambda c: c["item"])).drop("_own", "_gen", "_k")
+    numbered = dense_index(general, item_col).withColumnRenamed(item_col, "value")
+    n_general = numbered.agg(F.count(F.lit(1))).scalar()
+    d = rows.join(lists, group_col, "left").withColumn("_own", F.coalesce(F.col("_own"), F.array().cast("array<string>")))
+    d = d.withColumn("_k", F.least(k, F.lit(k_max)).cast("int")).withColumn("_n", F.least(F.size("_own"), F.col("_k")))
+    at, extra = [f"_p{i}" for i in range(k_max)], [f"_g{i}" for i in range(k_max)]
+    d = shuffled(d, F.size("_own"), {c: i for i, c in enumerate(at)}, stream, *row_keys)
+    d = shuffled(d, n_general, {c: i for i, c in enumerate(extra)}, stream + ":general", *row_keys)
+    short = F.col("_n") < F.col("_k")
+    d = _by_index(d, numbered, {f"_w{i}": F.when(short & (i < F.col("_k")), F.col(c)) for i, c in enumerate(extra)})
+    more = F.filter(F.array(*[F.col(f"_w{i}") for i in range(k_max)]), lambda w: w.isNotNull() & ~F.array_contains("_own", w))
+    picks = F.concat(_first_places(F.col("_own"), F.col("_n"), at), F.slice(more, F.lit(1), F.col("_k") - F.col("_n")))
+    return d.select(*rows.columns, picks.alias(out_col))
+
+
+def _as_rows(d: DataFrame, row_keys: Sequence[str], list_col: str, item_col: str) -> DataFrame:
+    """One row per pick with its rank from 1. The outer form: an inner one makes Spark infer
+    a filter on the list's size, in which all that the list is made of appears anew."""
+    rows = d.select(*row_keys, F.posexplode_outer(list_col).alias("_r", item_col)).where(F.col("_r").isNotNull())
+    return rows.select(*row_keys, item_col, (F.col("_r") + 1).cast("bigint").alias("rank"))
 
 
 def fallback_fill(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, general: DataFrame,
                   item_col: str, k: Column, k_max: int, stream: str) -> DataFrame:
     """D-9 as rows: one row per pick (row keys, item, rank from 1)."""
     d = fallback_lists(rows.select(*row_keys, group_col), row_keys, group_col, own, general, item_col, k, k_max, stream, "_picks")
-    return d.select(*row_keys, F.posexplode("_picks").alias("_r", item_col)).select(
-        *row_keys, item_col, (F.col("_r") + 1).cast("bigint").alias("rank"))
+    return _as_rows(d, row_keys, "_picks", item_col)
 
 
 def candidates_merge(rows: DataFrame, row_keys: Sequence[str], group_col: str, own: DataFrame, common: Sequence[str],
                      dictionary: DataFrame, item_col: str, k: Column, k_max: int, stream: str) -> DataFrame:
-    """D-10: k items from the group's own list plus ``common`` words; when these are fewer
-    than k, the missing number is drawn from the whole dictionary (idx, value), with
-    replacement, first. Picks are ordered by draw; duplicates count once."""
-    lists = checked_broadcast(item_lists(own, group_col, item_col))
-    words = dictionary.agg(F.transform(F.array_sort(F.collect_list(F.struct("idx", "value"))), lambda x: x["value"])).scalar()
-    d = rows.select(*row_keys, group_col).withColumn("_k", k).join(lists, group_col, "left")
-    base = F.array_distinct(F.concat(F.coalesce(F.col("_own"), F.array().cast("array<string>")), F.array(*[F.lit(w) for w in common])))
-    d = d.withColumn("_base", base).withColumn("_words", words)
+    """D-10: k items (``k_max`` at most) from the group's own list plus ``common`` words; when
+    these are fewer than k, the missing number is drawn from the whole dictionary (idx,
+    value), with replacement, first. Duplicates count once; the order of the picks is a
+    permutation keyed by the row.
+
+    A drawn word is joined on its index, so no row carries the dictionary, and no list is
+    sorted per row: a group's list is sorted once."""
+    lists = checked_broadcast(item_lists(own, group_col, item_col, common))
+    alone = F.array(*[F.lit(w) for w in sorted(set(common))]) if common else F.array().cast("array<string>")
+    n_words = dictionary.agg(F.count(F.lit(1))).scalar()
+    d = rows.select(*row_keys, group_col).join(lists, group_col, "left").withColumn("_base", F.coalesce(F.col("_own"), alone))
+    d = d.withColumn("_k", F.least(k, F.lit(k_max)).cast("int"))
     missing = F.col("_k") - F.size("_base")
-    slots = F.when(missing > 0, F.sequence(F.lit(1).cast("bigint"), missing)).otherwise(F.array().cast("array<bigint>"))
-    drawn = F.transform(slots, lambda i: F.element_at("_words", (F.floor(u(stream + ":extra", *row_keys, i) * F.size("_words")) + 1).cast("int")))
-    d = d.withColumn("_all", F.array_distinct(F.concat("_base", drawn)))
-    return _ranked(d, row_keys, _drawn(F.col("_all"), 0, stream, row_keys), F.least(F.col("_k"), F.lit(k_max)), item_col)
+    d = _by_index(d, dictionary, {f"_w{i}": F.when(i <= missing, pick_index(n_words, stream + ":extra", *row_keys, F.lit(i)))
+                                  for i in range(1, k_max + 1)})
+    drawn = F.filter(F.array(*[F.col(f"_w{i}") for i in range(1, k_max + 1)]), lambda w: w.isNotNull())
+    d = d.withColumn("_all", F.when(missing > 0, F.array_union("_base", drawn)).otherwise(F.col("_base")))
+    at = [f"_p{i}" for i in range(k_max)]
+    d = shuffled(d, F.size("_all"), {c: i for i, c in enumerate(at)}, stream, *row_keys)
+    return _as_rows(d.withColumn("_picks", _first_places(F.col("_all"), F.least(F.col("_k"), F.size("_all")), at)), row_keys, "_picks", item_col)
+
+
+def ranked_codes(rows: DataFrame, key_col: str, group: Column, space: Column | int, stream: str, out_col: str,
+                 block_size: int = DEFAULT_BLOCK) -> DataFrame:
+    """A place of its own for every row in the code space of its group, without rounds or a
+    register: rows are numbered within the group by a unique long key and the number is
+    sent through a permutation of 0..space-1 keyed by the group. Adds ``out_col``; fails
+    when a group has more rows than its space. Large groups are numbered in pieces."""
+    d = rows.withColumn("_grp", group).withColumn("_space", (space if isinstance(space, Column) else F.lit(space)).cast("bigint"))
+    d = keyed_row_number(d, ["_grp"], [key_col], F.floor(F.col(key_col) / F.lit(block_size)).cast("bigint"), "_no")
+    d = shuffled(d, F.col("_space"), {"_place": F.col("_no") - 1}, stream, F.col("_grp"))
+    full = F.raise_error(F.concat(F.lit("more rows than codes in the space of "), F.col("_grp"))).cast("bigint")
+    return d.select(*rows.columns, F.coalesce(F.col("_place"), full).alias(out_col))
 
 
 def unique_codes(rows: DataFrame, key_col: str, code: Callable[[int], Column], out_col: str, max_rounds: int = 64) -> DataFrame:

@@ -23,6 +23,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabsmith.operators.joins import checked_broadcast
+from tabsmith.session import materialize
+
 DEFAULT_BLOCK = 65536
 
 
@@ -30,6 +33,16 @@ def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def levels_for(df: DataFrame, order_col: str, block_size: int = DEFAULT_BLOCK) -> int:
+    """How many levels of blocks leave at most about ``block_size`` rows for the top window,
+    from the smallest and largest key (one aggregate over one column)."""
+    lo, hi = df.agg(F.min(F.col(order_col).cast("bigint")), F.max(F.col(order_col).cast("bigint"))).first()
+    levels, span = 1, 0 if lo is None else (hi - lo) // block_size
+    while span > block_size:
+        levels, span = levels + 1, span // block_size
+    return levels
+
+
 def prefix_sum(
     df: DataFrame,
     order_col: str,
@@ -44,6 +57,16 @@ def prefix_sum(
 
     Block totals are themselves summed in blocks: with ``levels`` = 3 the unpartitioned
     window has one row per occupied block of block_size^3 keys."""
+    return _prefix(df, order_col, sums, block_size, inclusive, levels, F.sum, lambda a, b: a + b, 0)
+
+
+def prefix_max(df: DataFrame, order_col: str, values: Sequence[tuple[str | Column, str]], least: int, block_size: int = DEFAULT_BLOCK,
+               inclusive: bool = False, levels: int = 3) -> DataFrame:
+    """As ``prefix_sum``, with the largest value so far, ``least`` when there is none."""
+    return _prefix(df, order_col, values, block_size, inclusive, levels, F.max, F.greatest, least)
+
+
+def _prefix(df, order_col, sums, block_size, inclusive, levels, fold, join, empty) -> DataFrame:
     vals = [(F.col(v) if isinstance(v, str) else v, out) for v, out in sums]
     blk, vs = f"_blk{levels}", [f"_v{levels}_{i}" for i in range(len(vals))]
     ts, os_ = [f"_t{levels}_{i}" for i in range(len(vals))], [f"_o{levels}_{i}" for i in range(len(vals))]
@@ -52,18 +75,18 @@ def prefix_sum(
                       .otherwise(F.call_function("div", key + 1, F.lit(block_size)) - 1))
     for v_name, (v, _) in zip(vs, vals):
         d = d.withColumn(v_name, v.cast("bigint"))
-    totals = d.where(F.col(blk).isNotNull()).groupBy(blk).agg(*[F.sum(v).alias(t) for v, t in zip(vs, ts)])
+    totals = d.where(F.col(blk).isNotNull()).groupBy(blk).agg(*[fold(v).alias(t) for v, t in zip(vs, ts)])
     if levels > 1:
-        offsets = prefix_sum(totals, blk, list(zip(ts, os_)), block_size, inclusive=False, levels=levels - 1)
+        offsets = _prefix(totals, blk, list(zip(ts, os_)), block_size, False, levels - 1, fold, join, empty)
         offsets = offsets.select(blk, *os_)
     else:
         w_blocks = Window.orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-        offsets = totals.select(blk, *[F.coalesce(F.sum(t).over(w_blocks), F.lit(0)).alias(o) for t, o in zip(ts, os_)])
+        offsets = totals.select(blk, *[F.coalesce(fold(t).over(w_blocks), F.lit(empty)).alias(o) for t, o in zip(ts, os_)])
     end = 0 if inclusive else -1
     w_in = Window.partitionBy(blk).orderBy(order_col).rowsBetween(Window.unboundedPreceding, end)
     out = d.join(offsets, blk, "left")
     for v_name, o, (_, name) in zip(vs, os_, vals):
-        out = out.withColumn(name, (F.col(o) + F.coalesce(F.sum(v_name).over(w_in), F.lit(0))).cast("bigint"))
+        out = out.withColumn(name, join(F.col(o), F.coalesce(fold(v_name).over(w_in), F.lit(empty))).cast("bigint"))
     return out.drop(blk, *vs, *os_)
 
 
@@ -103,10 +126,17 @@ def filler(kind: T.DataType) -> Column:
 
 
 def dense_index(df: DataFrame, value_col: str, idx_col: str = "idx") -> DataFrame:
-    """Dictionary (idx, value): distinct values numbered 0.. in value order.
+    """Dictionary (idx, value): distinct values numbered 0.. in value order, of any size.
 
-    Meant for dictionaries (distinct values of a column, bounded by the vocabulary,
-    not by the fact table); the window runs over the distinct rows only."""
+    Values are dealt to ranges (``repartitionByRange``) and written once with their range;
+    a range's offset is the count of the ranges before it (one row per range), and values
+    are numbered inside their range. No window goes over all values."""
     dist = df.select(value_col).where(F.col(value_col).isNotNull()).distinct()
-    w = Window.orderBy(value_col)
-    return dist.select((F.row_number().over(w) - 1).cast("bigint").alias(idx_col), F.col(value_col))
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = materialize(dist.repartitionByRange(parts, value_col).withColumn("__range", F.spark_partition_id()), "dictionary")
+    sizes = dealt.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy(value_col)) - 1
+    numbered = dealt.withColumn("__in", inside).join(checked_broadcast(offsets), "__range")
+    return numbered.select((F.col("__off") + F.col("__in")).cast("bigint").alias(idx_col), F.col(value_col))

@@ -8,7 +8,7 @@ from tabsmith.functions.draws import rand_int, u
 from tabsmith.operators import draws
 from tabsmith.plans.bind_sources import brands, words
 from tabsmith.plans.registry import query
-from tabsmith.plans.sqlbits import BRANDS, WORDS, sql_pick_index, sql_rand_int, sql_u, tokens
+from tabsmith.plans.sqlbits import BRANDS, WORDS, sql_pick_index, sql_rand_int, sql_shuffled, sql_u, tokens
 from tabsmith.sources import fixed, lookups
 from tabsmith.sources.tables import read
 
@@ -76,17 +76,25 @@ LEFT JOIN t ON CAST(floor(""" + sql_u("d2:data", "cu.c_custkey") + """ * tot.tot
  AND CAST(floor(""" + sql_u("d2:data", "cu.c_custkey") + """ * tot.total) AS BIGINT) < t.cum_hi
 """)
 def pick_weighted_data(spark, sf):
-    """D-2 with the distribution as data: nation weights (region + 1, integers) ordered
-    by key, cumulative slices by a window over the weights table (a dictionary), the
-    total as a scalar subquery, and a broadcast range join of each row's draw."""
-    from pyspark.sql import Window
-    nat = read(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("value"),
-                                           (F.col("n_regionkey") + 1).cast("bigint").alias("weight"))
-    w = Window.orderBy("n_nationkey").rowsBetween(Window.unboundedPreceding, 0)
-    tiers = nat.withColumn("cum_hi", F.sum("weight").over(w)).withColumn("cum_lo", F.col("cum_hi") - F.col("weight"))
-    total = nat.agg(F.sum("weight")).scalar()
+    """D-2 with the distribution as data: nation weights (region + 1) in key order."""
+    nat = read(spark, sf, "nation").select("n_nationkey", "n_name", (F.col("n_regionkey") + 1).alias("weight"))
     cust = read(spark, sf, "customer").select("c_custkey")
-    return draws.pick_tiered(cust, tiers, total, "d2:data", ["c_custkey"], "nation")
+    return draws.pick_weighted_table(cust, draws.weighted_slices(nat, "n_nationkey", "n_name", "weight"), "d2:data", ["c_custkey"], "nation")
+
+
+@query("pick_weighted_orders", """
+WITH w AS (SELECT o_orderkey, CAST(floor(o_totalprice) AS BIGINT) % 1000 * (CASE WHEN o_orderkey % 50 = 0 THEN 1000 ELSE 1 END) AS weight FROM orders),
+c AS (SELECT o_orderkey, weight, sum(weight) OVER (ORDER BY o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS hi FROM w WHERE weight > 0),
+tot AS (SELECT max(hi) AS total FROM c),
+d AS (SELECT event_id, CAST(floor(""" + sql_u("d2:orders", "event_id") + """ * tot.total) AS BIGINT) AS t FROM events, tot)
+SELECT d.event_id, c.o_orderkey FROM d ASOF JOIN (SELECT o_orderkey, CAST(hi - weight AS BIGINT) AS lo FROM c) c ON d.t >= c.lo
+""")
+def pick_weighted_orders(spark, sf):
+    """D-2 from a large weights table: an order per event, weighted by its price, orders with
+    a key divisible by 50 a thousand times as much (so slices are of very unequal width)."""
+    o = read(spark, sf, "orders").select("o_orderkey", (F.floor("o_totalprice").cast("bigint") % 1000 * F.when(F.col("o_orderkey") % 50 == 0, 1000).otherwise(1)).alias("weight"))
+    ev = read(spark, sf, "events").select("event_id")
+    return draws.pick_weighted_table(ev, draws.weighted_slices(o, "o_orderkey", "o_orderkey", "weight"), "d2:orders", ["event_id"], "o_orderkey")
 
 
 @query("rand_int", f"SELECT event_id, {sql_rand_int(24, 72, 'd4', 'event_id')} AS hours FROM events")
@@ -165,22 +173,25 @@ def own_small(spark, sf):
     return pairs.where(u("own", "brand", "word") < F.lit(OWN_SHARE))
 
 
+def sql_fallback(name: str, rows: str, key: str, group: str, own: str, own_group: str, general: str, item: str, k: str, k_max: int, stream: str) -> str:
+    """CTEs up to ``name`` (key, item, rank) of ``fallback_lists``: places of a permutation of
+    the own list, then places of one of the general list that are not in the own list."""
+    return f"""{name}_o AS (SELECT {own_group} AS g, {item}, row_number() OVER (PARTITION BY {own_group} ORDER BY {item}) - 1 AS idx FROM (SELECT DISTINCT {own_group}, {item} FROM {own})),
+{name}_g AS (SELECT {item}, row_number() OVER (ORDER BY {item}) - 1 AS idx FROM (SELECT DISTINCT {item} FROM {general} WHERE {item} IS NOT NULL)),
+{name}_k AS (SELECT r.{key}, r.{group} AS g, least({k}, {k_max}) AS k, coalesce(s.n, 0) AS n, (SELECT count(*) FROM {name}_g) AS n_g FROM {rows} r
+  LEFT JOIN (SELECT g, count(*) AS n FROM {name}_o GROUP BY g) s ON s.g = r.{group}),
+{name}_p AS (SELECT *, {sql_shuffled('n', 'i', stream, key)} AS at, CASE WHEN n < k THEN {sql_shuffled('n_g', 'i', stream + ':general', key)} END AS at_g
+  FROM (SELECT *, unnest(range(k)) AS i FROM {name}_k)),
+{name}_m AS (SELECT p.{key}, o.{item}, 0 AS part, p.i, p.k FROM {name}_p p JOIN {name}_o o ON o.g = p.g AND o.idx = p.at
+  UNION ALL SELECT p.{key}, q.{item}, 1, p.i, p.k FROM {name}_p p JOIN {name}_g q ON q.idx = p.at_g
+  WHERE NOT EXISTS (SELECT 1 FROM {name}_o o WHERE o.g = p.g AND o.{item} = q.{item})),
+{name} AS (SELECT {key}, {item}, rank FROM (SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY part, i) AS rank FROM {name}_m) WHERE rank <= k)"""
+
+
 @query("fallback_fill", f"""
-WITH {SQL_CUST_BRAND}, {SQL_OWN_SMALL},
-gen AS (SELECT DISTINCT lower(p_type) AS word FROM part),
-sizes AS (SELECT brand, count(*) AS own_n FROM own GROUP BY brand),
-rk AS (SELECT cb.c_custkey, cb.brand, {sql_rand_int(1, 3, 'd9:k', 'cb.c_custkey')} AS k,
-              coalesce(s.own_n, 0) AS own_n
-       FROM cust_brand cb LEFT JOIN sizes s ON s.brand = cb.brand),
-cands AS (
-  SELECT rk.c_custkey, o.word, 0 AS prio, rk.k FROM rk JOIN own o ON o.brand = rk.brand
-  UNION ALL
-  SELECT rk.c_custkey, g.word, 1 AS prio, rk.k FROM rk CROSS JOIN gen g
-  WHERE rk.own_n < rk.k AND NOT EXISTS (SELECT 1 FROM own o WHERE o.brand = rk.brand AND o.word = g.word))
-SELECT c_custkey, word, rank FROM (
-  SELECT c_custkey, word, k, row_number() OVER (PARTITION BY c_custkey ORDER BY prio,
-         {sql_u('d9', 'c_custkey', 'word')}, word) AS rank FROM cands) x
-WHERE rank <= 3 AND rank <= k
+WITH {SQL_CUST_BRAND}, {SQL_OWN_SMALL}, gen AS (SELECT DISTINCT lower(p_type) AS word FROM part),
+{sql_fallback('f', 'cust_brand', 'c_custkey', 'brand', 'own', 'brand', 'gen', 'word', sql_rand_int(1, 3, 'd9:k', 'r.c_custkey'), 3, 'd9')}
+SELECT c_custkey, word, rank FROM f
 """)
 def fallback_fill(spark, sf):
     gen = read(spark, sf, "part").select(F.lower("p_type").alias("word"))
@@ -196,20 +207,19 @@ COMMON_WORDS = ["anvil", "gear"]
 @query("candidates_merge", f"""
 WITH {SQL_CUST_BRAND}, {SQL_OWN_SMALL}, d AS {WORDS}, n AS (SELECT count(*) AS n FROM d),
 rk AS (SELECT c_custkey, brand, {sql_rand_int(1, 5, 'd10:k', 'c_custkey')} AS k FROM cust_brand),
-base AS (SELECT DISTINCT c_custkey, word FROM (
+base AS (SELECT c_custkey, word, row_number() OVER (PARTITION BY c_custkey ORDER BY word) - 1 AS ord FROM (SELECT DISTINCT c_custkey, word FROM (
    SELECT rk.c_custkey, o.word FROM rk JOIN own o ON o.brand = rk.brand
-   UNION ALL SELECT rk.c_custkey, c.word FROM rk, (VALUES ('anvil'), ('gear')) c(word))),
+   UNION ALL SELECT rk.c_custkey, c.word FROM rk, (VALUES ('anvil'), ('gear')) c(word)))),
 cnt AS (SELECT c_custkey, count(*) AS n_c FROM base GROUP BY c_custkey),
-extra AS (SELECT rk.c_custkey, d.value AS word FROM rk JOIN cnt ON cnt.c_custkey = rk.c_custkey CROSS JOIN n,
+extra AS (SELECT rk.c_custkey, d.value AS word, cnt.n_c + s.slot AS ord FROM rk JOIN cnt ON cnt.c_custkey = rk.c_custkey CROSS JOIN n,
    LATERAL (SELECT unnest(range(1, rk.k - cnt.n_c + 1)) AS slot) s
-   LEFT JOIN d ON d.idx = {sql_pick_index('n.n', 'd10:extra', 'rk.c_custkey', 's.slot')}
+   JOIN d ON d.idx = {sql_pick_index('n.n', 'd10:extra', 'rk.c_custkey', 's.slot')}
    WHERE cnt.n_c < rk.k),
-allc AS (SELECT DISTINCT c_custkey, word FROM (SELECT * FROM base UNION ALL SELECT * FROM extra))
-SELECT c_custkey, word, rank FROM (
-  SELECT a.c_custkey, a.word, rk.k, row_number() OVER (PARTITION BY a.c_custkey ORDER BY
-         {sql_u('d10', 'a.c_custkey', 'a.word')}, a.word) AS rank
-  FROM allc a JOIN rk ON rk.c_custkey = a.c_custkey) x
-WHERE rank <= 5 AND rank <= k
+allc AS (SELECT c_custkey, word, row_number() OVER (PARTITION BY c_custkey ORDER BY ord) - 1 AS idx, count(*) OVER (PARTITION BY c_custkey) AS n_all FROM (
+   SELECT c_custkey, word, min(ord) AS ord FROM (SELECT * FROM base UNION ALL SELECT * FROM extra) GROUP BY ALL)),
+sizes AS (SELECT DISTINCT rk.c_custkey, k, n_all FROM rk JOIN allc USING (c_custkey)),
+places AS (SELECT c_custkey, i, {sql_shuffled('n_all', 'i', 'd10', 'c_custkey')} AS at FROM (SELECT *, unnest(range(least(k, n_all))) AS i FROM sizes))
+SELECT p.c_custkey, a.word, p.i + 1 AS rank FROM places p JOIN allc a ON a.c_custkey = p.c_custkey AND a.idx = p.at
 """)
 def candidates_merge(spark, sf):
     out = draws.candidates_merge(cust_brand(spark, sf), ["c_custkey"], "brand", own_small(spark, sf), COMMON_WORDS,

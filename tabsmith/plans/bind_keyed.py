@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions import timecols
 from tabsmith.operators import keyed
 from tabsmith.plans.registry import query
-from tabsmith.plans.sqlbits import sql_u
+from tabsmith.plans.sqlbits import sql_shuffled, sql_u
 from tabsmith.sources import fixed
 from tabsmith.sources.tables import read
 
@@ -51,20 +51,27 @@ def usage_cap(spark, sf):
     return uses(spark, sf).select("event_id", "user_id", "use_no", "allowed")
 
 
-SQL_CARDS = f"""
-kb AS (SELECT event_id, row_number() OVER (ORDER BY event_id) - 1 AS rn FROM events),
-kf AS (SELECT event_id, (rn = 0 OR {sql_u('card:reuse', 'event_id')} >= {fixed.CARD_REUSE_PROBABILITY}) AS is_new FROM kb),
-kc AS (SELECT event_id, is_new, coalesce(sum(CASE WHEN is_new THEN 1 ELSE 0 END) OVER (
-         ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM kf),
-kcards AS (SELECT before AS card_no, event_id AS card FROM kc WHERE is_new),
-ka AS (SELECT kc.event_id, kc.is_new, CASE WHEN kc.is_new THEN kc.event_id ELSE kcards.card END AS card
-       FROM kc LEFT JOIN kcards ON NOT kc.is_new
-        AND kcards.card_no = CAST(floor({sql_u('card:pick', 'kc.event_id')} * kc.before) AS BIGINT)),
-ku AS (SELECT event_id, is_new, card, row_number() OVER (PARTITION BY card ORDER BY event_id) AS use_no FROM ka),
-cards AS (SELECT event_id,
-    CASE WHEN use_no > {fixed.CARD_REUSE_LIMIT} THEN event_id ELSE card END AS card_id,
-    CASE WHEN use_no > {fixed.CARD_REUSE_LIMIT} THEN 1 ELSE use_no END AS use_no,
-    (is_new OR use_no > {fixed.CARD_REUSE_LIMIT}) AS new_card FROM ku)"""
+def sql_cards(rows: str, key: str, stream: str, p_reuse: float, cap: int, name: str = "cards") -> str:
+    """CTEs up to ``name`` (key, card_id, card_no, use_no, new_card) of ``pool_reuse`` over the
+    table ``rows``: the rounds of deferred acceptance as a recursion over whole rounds."""
+    return f"""
+{name}_w AS (SELECT {key}, row_number() OVER (ORDER BY {key}) - 1 AS i, CASE WHEN {sql_u(stream + ':reuse', key)} >= {p_reuse} THEN 1 ELSE 0 END AS wants FROM {rows}),
+{name}_n AS (SELECT *, coalesce(sum(wants) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n FROM {name}_w),
+{name}_b AS (SELECT *, CAST(n + greatest(0, coalesce(max(i // {cap} + 1 - n - wants) OVER (ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS BIGINT) AS before FROM {name}_n),
+{name}_o AS (SELECT {key}, before, wants = 1 OR before < i // {cap} + 1 AS opens FROM {name}_b),
+{name}_a AS (
+  SELECT 0 AS round, {key} AS k, before AS n, 0 AS try, {sql_shuffled('before', '0', stream + ':pick', key)} AS card FROM {name}_o WHERE NOT opens
+  UNION ALL
+  SELECT round + 1, k, n, try + bump, CASE WHEN bump = 0 THEN card ELSE {sql_shuffled('n', 'try + 1', stream + ':pick', 'k')} END
+  FROM (SELECT *, max(bump) OVER () AS more FROM (
+    SELECT *, CASE WHEN row_number() OVER (PARTITION BY card ORDER BY k) >= {cap} THEN 1 ELSE 0 END AS bump FROM {name}_a)) WHERE more = 1),
+{name}_u AS (SELECT {key}, before AS card FROM {name}_o WHERE opens
+  UNION ALL SELECT k, card FROM {name}_a WHERE round = (SELECT max(round) FROM {name}_a)),
+{name} AS (SELECT {key}, min({key}) OVER (PARTITION BY card) AS card_id, card AS card_no,
+  row_number() OVER (PARTITION BY card ORDER BY {key}) AS use_no, {key} = min({key}) OVER (PARTITION BY card) AS new_card FROM {name}_u)"""
+
+
+SQL_CARDS = sql_cards("events", "event_id", "card", fixed.CARD_REUSE_PROBABILITY, fixed.CARD_REUSE_LIMIT)
 
 
 def cards(spark, sf):
@@ -72,7 +79,7 @@ def cards(spark, sf):
     return keyed.pool_reuse(ev, "event_id")
 
 
-@query("pool_reuse", f"WITH {SQL_CARDS} SELECT event_id, card_id, use_no, new_card FROM cards")
+@query("pool_reuse", f"WITH RECURSIVE {SQL_CARDS} SELECT event_id, card_id, card_no, use_no, new_card FROM cards")
 def pool_reuse(spark, sf):
     return cards(spark, sf)
 

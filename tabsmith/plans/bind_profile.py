@@ -13,7 +13,7 @@ from tabsmith.sources.tables import read
 
 
 @query("key_stats", f"""
-WITH {bk.SQL_CARDS}, {bk.SQL_CLIENTS}
+WITH RECURSIVE {bk.SQL_CARDS}, {bk.SQL_CLIENTS}
 SELECT count(DISTINCT e.user_id) AS unique_passports, count(DISTINCT cl.client_no) AS unique_clients,
        count(DISTINCT ca.card_id) AS cards_in_use, count(ca.card_id) AS total_card_usage
 FROM events e JOIN cards ca ON ca.event_id = e.event_id JOIN clients cl ON cl.event_id = e.event_id

@@ -1,6 +1,6 @@
 """Binding K-7: the assembled visit table (one visit per events row, dictionaries from
 part), its row-rule check, and the report over it, each with its DuckDB form restated
-step by step (rounds of unique codes are unrolled)."""
+step by step."""
 
 from __future__ import annotations
 
@@ -11,9 +11,10 @@ from tabsmith.operators import derive, profile, quality
 from tabsmith.plans import bind_derive as bd
 from tabsmith.plans import bind_quality as bq
 from tabsmith.plans import visits
-from tabsmith.plans.bind_draws import sql_tiers
+from tabsmith.plans.bind_draws import sql_fallback, sql_tiers
+from tabsmith.plans.bind_keyed import sql_cards
 from tabsmith.plans.registry import query
-from tabsmith.plans.sqlbits import sql_pick_index, sql_rand_int, sql_u, tokens
+from tabsmith.plans.sqlbits import sql_pick_index, sql_rand_int, sql_shuffled, sql_u, tokens
 from tabsmith.session import materialize
 from tabsmith.sources import fixed, lookups
 
@@ -36,44 +37,17 @@ def _grouped(name: str, source: str) -> str:
             f"n_{name} AS (SELECT g, count(*) AS n FROM {name} GROUP BY g)")
 
 
-def _unique(name: str, source: str, key: str, code, rounds: int = 3) -> str:
-    """Rounds of unique codes: ``code(r)`` is the SQL of round r over the columns of source."""
-    ctes, won = [], []
-    for r in range(1, rounds + 1):
-        left = f"SELECT * FROM {source}" if r == 1 else f"SELECT {name}_l{r - 1}.* FROM {name}_l{r - 1} ANTI JOIN {name}_w{r - 1} USING ({key})"
-        taken = "".join(f" AND code NOT IN (SELECT code FROM {name}_w{k})" for k in range(1, r))
-        ctes += [f"{name}_l{r} AS ({left})",
-                 f"{name}_w{r} AS (SELECT min({key}) AS {key}, code FROM (SELECT {key}, {code(r)} AS code FROM {name}_l{r}) WHERE true{taken} GROUP BY code)"]
-        won.append(f"SELECT * FROM {name}_w{r}")
-    return ",\n".join([*ctes, f"{name} AS ({' UNION ALL '.join(won)})"])
-
-
-def _fallback(name: str, rows: str, group: str, own: str, general: str, item: str, k: str, k_max: int, stream: str) -> str:
-    """(visit_id, item, rank): own items first, general ones when there are too few."""
-    return f"""{name}_k AS (SELECT r.visit_id, r.{group}, {k} AS k, coalesce(s.n, 0) AS own_n FROM {rows} r
-  LEFT JOIN (SELECT doctor, count(*) AS n FROM {own} GROUP BY doctor) s ON s.doctor = r.{group}),
-{name}_c AS (SELECT r.visit_id, o.{item}, 0 AS prio, r.k FROM {name}_k r JOIN {own} o ON o.doctor = r.{group}
-  UNION ALL SELECT r.visit_id, g.{item}, 1, r.k FROM {name}_k r CROSS JOIN {general} g
-  WHERE r.own_n < r.k AND NOT EXISTS (SELECT 1 FROM {own} o WHERE o.doctor = r.{group} AND o.{item} = g.{item})),
-{name} AS (SELECT visit_id, {item}, rank FROM (SELECT visit_id, {item}, k,
-    row_number() OVER (PARTITION BY visit_id ORDER BY prio, {sql_u(stream, 'visit_id', item)}, {item}) AS rank FROM {name}_c)
-  WHERE rank <= {k_max} AND rank <= k)"""
-
-
 def _lpad(x: str, n: int) -> str:
     return f"lpad(CAST({x} AS VARCHAR), {n}, '0')"
 
 
-def _passport(r: int) -> str:
-    ru = f"{_lpad('region', 2)} || strftime(issue_date, '%y') || ' ' || {_lpad(sql_rand_int(1, 999999, f'k7:ru:{r}:number', 'client_no'), 6)}"
-    by = f"{bd._BY_LIST}[{sql_pick_index(len(fixed.BY_PREFIXES), f'k7:foreign:{r}:prefix', 'client_no')} + 1] || CAST({sql_rand_int(1000000, 9999999, f'k7:foreign:{r}:by', 'client_no')} AS VARCHAR)"
-    kz = f"'{fixed.KZ_PREFIX}' || CAST({sql_rand_int(10000000, 99999999, f'k7:foreign:{r}:kz', 'client_no')} AS VARCHAR)"
-    return f"CASE WHEN country = 'ru' THEN {ru} WHEN country = 'by' THEN {by} ELSE {kz} END"
-
-
-def _card(r: int) -> str:
-    p15 = f"(bin || {_lpad(sql_pick_index(10 ** 9, f'k7:card_digits:{r}', 'card_id'), 9)})"
-    return f"{p15} || CAST({codecs.sql_luhn_check_digit(p15)} AS VARCHAR)"
+# a number in the code space of its group: Russian series, or the country
+_SERIES = f"CASE WHEN country = 'ru' THEN {_lpad('region', 2)} || strftime(issue_date, '%y') ELSE country END"
+_SPACE = f"CASE country WHEN 'ru' THEN 999999 WHEN 'by' THEN {9_000_000 * len(fixed.BY_PREFIXES)} ELSE 90000000 END"
+_PASSPORT = (f"CASE country WHEN 'ru' THEN grp || ' ' || {_lpad('place + 1', 6)} "
+             f"WHEN 'by' THEN {bd._BY_LIST}[place // 9000000 + 1] || CAST(1000000 + place % 9000000 AS VARCHAR) ELSE '{fixed.KZ_PREFIX}' || CAST(10000000 + place AS VARCHAR) END")
+_P15 = f"(bin || {_lpad(sql_shuffled('1000000000', 'card_no', 'k7:card_digits'), 9)})"
+_CARD = f"p15 || CAST({codecs.sql_luhn_check_digit('p15')} AS VARCHAR)"
 
 
 _TIERS, _TIERS_TOTAL = sql_tiers("k7:age", "client_no")
@@ -126,9 +100,9 @@ c1 AS (SELECT c.client_no, c.visit_ts, c.gender, concat_ws(' ',
        LEFT JOIN {_TIERS} t ON {_AGE} >= t.cum_lo AND {_AGE} < t.cum_hi),
 c2 AS (SELECT *, {bd._sql_issue('birth_date', 'visit_ts', 'k7:issue', 'client_no')} AS issue_date FROM c1),
 c3 AS (SELECT *, CASE WHEN country = 'ru' THEN {_lpad('region', 3)} || '-' || {_lpad(sql_rand_int(1, 999, 'k7:dept:unit', 'client_no'), 3)} END AS dept_code FROM c2),
-{_unique('pass', 'c3', 'client_no', _passport)},
-{_unique('snl', '(SELECT client_no FROM c3)', 'client_no', lambda r: codecs.sql_snils_format(_lpad(sql_pick_index(10 ** 9, f'k7:snils:{r}', 'client_no'), 9)))},
-c4 AS (SELECT c3.*, pass.code AS passport, snl.code AS snils FROM c3 JOIN pass USING (client_no) JOIN snl USING (client_no)),
+c3g AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY client_no) - 1 AS no, {_SPACE} AS space FROM (SELECT *, {_SERIES} AS grp FROM c3)),
+c3p AS (SELECT *, {sql_shuffled('space', 'no', 'k7:passport', 'grp')} AS place, {_lpad(sql_shuffled('1000000000', 'client_no', 'k7:snils'), 9)} AS nine FROM c3g),
+c4 AS (SELECT *, {_PASSPORT} AS passport, {codecs.sql_snils_format('nine')} AS snils FROM c3p),
 first AS (SELECT full_name, min(client_no) AS fc, arg_min(passport, client_no) AS passport, arg_min(snils, client_no) AS snils FROM c4 GROUP BY full_name),
 clients AS (SELECT c4.client_no, full_name, gender, f.passport, f.snils,
        CASE WHEN f.fc <> c4.client_no THEN {_INFER.replace('passport,', 'f.passport,')} ELSE country END AS passport_country,
@@ -140,7 +114,7 @@ v1 AS (SELECT r.visit_id, r.is_new, r.visit_ts, c.*, {sql_u('k7:path', 'r.visit_
        LEFT JOIN allowed a ON a.g = c.gender AND a.idx = CAST(floor({sql_u('k7:doc_g', 'r.visit_id')} * na.n) AS BIGINT)
        LEFT JOIN doc d ON d.idx = {sql_pick_index('n_doc.n', 'k7:doc_t', 'r.visit_id')}),
 v2 AS (SELECT *, CASE WHEN path_gender THEN doc_g ELSE doc_t END AS symptom_doctor FROM v1),
-{_fallback('sym', 'v2', 'symptom_doctor', 'own_s', 'symptoms', 'word', sql_rand_int(*P.symptoms, 'k7:k_symptoms', 'r.visit_id'), P.symptoms[1], 'k7:symptoms')},
+{sql_fallback('sym', 'v2', 'visit_id', 'symptom_doctor', 'own_s', 'doctor', 'symptoms', 'word', sql_rand_int(*P.symptoms, 'k7:k_symptoms', 'r.visit_id'), P.symptoms[1], 'k7:symptoms')},
 sym_text AS (SELECT visit_id, string_agg(word, ', ' ORDER BY rank) AS symptoms FROM sym GROUP BY visit_id),
 vocab AS (SELECT DISTINCT word AS term FROM sym JOIN v2 USING (visit_id) WHERE NOT path_gender),
 own_w AS (SELECT DISTINCT word FROM own_s),
@@ -157,26 +131,20 @@ v3 AS (SELECT v2.*, CASE WHEN path_gender THEN doc_g
        LEFT JOIN doc d ON d.idx = floor({sql_u('k7:doc_s:any', 'v2.visit_id')} * n_doc.n)),
 v4 AS (SELECT v3.*, CASE WHEN a.v IS NULL AND s.nv IS NOT NULL THEN s.nv ELSE doctor0 END AS doctor FROM v3
        LEFT JOIN allowed a ON a.g = gender AND a.v = doctor0 LEFT JOIN (VALUES {_SWAPS}) s(g, ov, nv) ON s.g = gender AND s.ov = doctor0),
-{_fallback('ana', 'v4', 'doctor', 'own_a', 'general_a', 'item', sql_rand_int(*P.analyses, 'k7:k_analyses', 'r.visit_id'), P.analyses[1], 'k7:analyses')},
+{sql_fallback('ana', 'v4', 'visit_id', 'doctor', 'own_a', 'doctor', 'general_a', 'item', sql_rand_int(*P.analyses, 'k7:k_analyses', 'r.visit_id'), P.analyses[1], 'k7:analyses')},
 ana_text AS (SELECT visit_id, string_agg(item, ', ' ORDER BY rank) AS analyses, CAST(sum({_PRICE}) AS BIGINT) AS cost FROM ana GROUP BY visit_id),
-kf AS (SELECT visit_id, rn = 0 OR {sql_u('k7:card:reuse', 'visit_id')} >= {P.p_reuse} AS is_new FROM (SELECT visit_id, row_number() OVER (ORDER BY visit_id) - 1 AS rn FROM vrows)),
-kc AS (SELECT visit_id, is_new, coalesce(sum(CASE WHEN is_new THEN 1 ELSE 0 END) OVER (ORDER BY visit_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM kf),
-ka AS (SELECT kc.visit_id, kc.is_new, CASE WHEN kc.is_new THEN kc.visit_id ELSE o.visit_id END AS card FROM kc
-       LEFT JOIN (SELECT before AS card_no, visit_id FROM kc WHERE is_new) o ON NOT kc.is_new AND o.card_no = CAST(floor({sql_u('k7:card:pick', 'kc.visit_id')} * kc.before) AS BIGINT)),
-ku AS (SELECT visit_id, is_new, card, row_number() OVER (PARTITION BY card ORDER BY visit_id) AS use_no FROM ka),
-uses AS (SELECT visit_id, CASE WHEN use_no > {P.card_cap} THEN visit_id ELSE card END AS card_id, CASE WHEN use_no > {P.card_cap} THEN 1 ELSE use_no END AS use_no,
-         is_new OR use_no > {P.card_cap} AS new_card FROM ku),
-k1 AS (SELECT card_id, {_BANK} || '/' || {_SYSTEM} AS grp FROM uses WHERE new_card),
-k2 AS (SELECT k1.card_id, b.v AS bin FROM k1 LEFT JOIN n_bins n ON n.g = k1.grp
+{sql_cards('vrows', 'visit_id', 'k7:card', P.p_reuse, P.card_cap, 'uses').lstrip()},
+k1 AS (SELECT card_id, card_no, {_BANK} || '/' || {_SYSTEM} AS grp FROM uses WHERE new_card),
+k2 AS (SELECT k1.card_id, k1.card_no, b.v AS bin FROM k1 LEFT JOIN n_bins n ON n.g = k1.grp
        LEFT JOIN bins b ON b.g = k1.grp AND b.idx = CAST(floor({sql_u('k7:bin', 'k1.card_id')} * n.n) AS BIGINT)),
-{_unique('num', 'k2', 'card_id', _card)},
+num AS (SELECT card_id, {_CARD} AS code FROM (SELECT card_id, {_P15} AS p15 FROM k2)),
 visits AS (SELECT v4.visit_id, v4.client_no AS client_id, full_name, gender, passport, passport_country, passport_issue_date, dept_code, snils,
        symptoms, doctor, visit_ts, analyses, {timecols.sql_result_snap('visit_ts', sql_rand_int(24, 72, 'k7:result_hours', 'v4.visit_id'))} AS result_ts,
        cost, u.card_id, CAST(u.use_no AS BIGINT) AS card_use, {codecs.sql_group4('num.code')} AS card, is_new
      FROM v4 JOIN sym_text USING (visit_id) JOIN ana_text USING (visit_id) JOIN uses u ON u.visit_id = v4.visit_id JOIN num ON num.card_id = u.card_id)"""
 
 
-@query("assemble_visits", f"WITH {SQL_VISITS} SELECT * FROM visits")
+@query("assemble_visits", f"WITH RECURSIVE {SQL_VISITS} SELECT * FROM visits")
 def assemble_visits(spark, sf):
     return visits.visits_from(spark, sf)
 
@@ -200,12 +168,12 @@ er AS (SELECT *, concat_ws(';',
 checked AS (SELECT *, errors = '' AS valid FROM er)"""
 
 
-@query("visit_errors", f"WITH {SQL_CHECKED} SELECT * FROM checked")
+@query("visit_errors", f"WITH RECURSIVE {SQL_CHECKED} SELECT * FROM checked")
 def visit_errors(spark, sf):
     return visits.visit_errors(visits.visits_from(spark, sf))
 
 
-SQL_REPORT = f"""WITH {SQL_CHECKED},
+SQL_REPORT = f"""WITH RECURSIVE {SQL_CHECKED},
 m AS (SELECT count(*) AS rows, count(DISTINCT client_id) AS clients, sum(CASE WHEN is_new THEN 1 ELSE 0 END) AS new_clients,
   count(DISTINCT passport) AS unique_passports, count(DISTINCT snils) AS unique_snils, count(DISTINCT card) AS cards,
   max(card_use) AS max_card_use, sum(len(string_split(errors, ';')) * CASE WHEN errors = '' THEN 0 ELSE 1 END) AS errors,
@@ -230,7 +198,7 @@ def visit_report(spark, sf):
     return profile.run_report(one.select(*order))
 
 
-@query("visit_text", f"""WITH {SQL_VISITS} SELECT visit_id, full_name, passport, passport_country, passport_issue_date, dept_code, coalesce(snils, '') AS snils,
+@query("visit_text", f"""WITH RECURSIVE {SQL_VISITS} SELECT visit_id, full_name, passport, passport_country, passport_issue_date, dept_code, coalesce(snils, '') AS snils,
   symptoms, doctor, {timecols.sql_iso_text('visit_ts')} AS visit_date, analyses, {timecols.sql_iso_text('result_ts')} AS analysis_date,
   CAST(cost AS VARCHAR) || '{fixed.COST_SUFFIX}' AS analysis_cost, card AS payment_card FROM visits""")
 def visit_text(spark, sf):

@@ -1,6 +1,6 @@
 """SQL fragments shared by the oracle texts (DuckDB dialect)."""
 
-from tabsmith.functions.draws import sql_pick_index, sql_rand_int, sql_u  # noqa: F401
+from tabsmith.functions.draws import sql_pick_index, sql_rand_int, sql_shuffled, sql_u  # noqa: F401
 
 BRANDS = ("(SELECT CAST(row_number() OVER (ORDER BY p_brand) - 1 AS BIGINT) AS idx, p_brand AS value "
           "FROM (SELECT DISTINCT p_brand FROM part WHERE p_brand IS NOT NULL))")

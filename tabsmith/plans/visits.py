@@ -5,7 +5,8 @@ dictionaries come from the whole catalogue table, grown by products and variants
 S-5) to more than 5,000 symptoms, 50 doctors and 250 analyses. Every draw is keyed by
 the visit number, the client number or the card number, so the table is the same under
 any number of partitions. The builder writes stages that several branches reuse (rows,
-clients, cards and the rounds of unique codes) before it returns the final plan.
+clients, cards) before it returns the final plan. Codes are places of keyed permutations
+of their spaces, unique without rounds or a register.
 Shuffles are the prefix sums of the client and card pools, the per-card use numbering
 and the joins to clients and cards; lists are arrays chosen inside projections.
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabsmith.functions import codecs, timecols
-from tabsmith.functions.draws import rand_int, u
+from tabsmith.functions.draws import rand_int, shuffled, u
 from tabsmith.operators import derive, draws, keyed, quality
 from tabsmith.plans import vocab
 from tabsmith.sources import fixed, lookups
@@ -115,12 +116,19 @@ def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: Visit
     unit = derive.ru_passport(F.col("region"), F.col("issue_date"), "k7:dept", "client_no")["dept_code"]
     c = c.select("client_no", "gender", "full_name", "country", "region", "issue_date", F.when(ru, unit).alias("dept_code"))
     c = materialize(c, "visits-client-draws")
-    # K-6: no passport and no SNILS twice
-    passports = draws.unique_codes(c.select("client_no", "country", "region", "issue_date"), "client_no", lambda r: F.when(
-        ru, derive.ru_passport(F.col("region"), F.col("issue_date"), f"k7:ru:{r}", "client_no")["passport"]).otherwise(
-        derive.foreign_passport(F.col("country"), f"k7:foreign:{r}", "client_no")), "passport")
-    snils = draws.unique_codes(c.select("client_no"), "client_no", lambda r: derive.snils_for(f"k7:snils:{r}", "client_no"), "snils")
-    c = c.join(passports.drop("attempt"), "client_no").join(snils.drop("attempt"), "client_no")
+    # K-6: no passport and no SNILS twice, by permutations of their code spaces
+    series = F.concat(F.lpad(F.col("region").cast("string"), 2, "0"), F.date_format("issue_date", "yy"))
+    prefixes = F.array(*[F.lit(x) for x in fixed.BY_PREFIXES])
+    space = F.when(ru, F.lit(999_999)).when(F.col("country") == "by", F.lit(9_000_000 * len(fixed.BY_PREFIXES))).otherwise(F.lit(90_000_000))
+    c = c.withColumn("_series", F.when(ru, series).otherwise(F.col("country")))
+    c = draws.ranked_codes(c, "client_no", F.col("_series"), space, "k7:passport", "_place")
+    place, digits = F.col("_place"), lambda x, n: F.lpad(x.cast("string"), n, "0")
+    by = F.concat(F.element_at(prefixes, (F.call_function("div", place, F.lit(9_000_000)) + 1).cast("int")), (F.lit(1_000_000) + place % 9_000_000).cast("string"))
+    kz = F.concat(F.lit(fixed.KZ_PREFIX), (F.lit(10_000_000) + place).cast("string"))
+    c = c.withColumn("passport", F.when(ru, F.concat("_series", F.lit(" "), digits(place + 1, 6))).when(F.col("country") == "by", by).otherwise(kz))
+    c = shuffled(c, 10 ** 9, {"_nine": F.col("client_no")}, "k7:snils")
+    full = F.raise_error(F.lit("more clients than SNILS numbers")).cast("bigint")
+    c = materialize(c.withColumn("snils", codecs.snils_format(digits(F.coalesce("_nine", full), 9))).drop("_series", "_place", "_nine"), "visits-client-codes")
     # K-1: one passport per name, first client wins; a later client with the same name
     # takes the first client's passport and SNILS (country from the passport format)
     first = c.groupBy("full_name").agg(F.min_by(F.struct("client_no", "passport", "snils"), "client_no").alias("_f"))
@@ -138,12 +146,14 @@ def _cards(v: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
     """(visit_id, card_id, use_no, card): the card pool, and one number per card, no
     number twice (K-6)."""
     uses = materialize(keyed.pool_reuse(v, "visit_id", "k7:card", p.p_reuse, p.card_cap), "visits-card-uses")
-    cards = uses.where("new_card").select("card_id")
+    cards = uses.where("new_card").select("card_id", "card_no")
     bank = lookups.weighted_case(u("k7:bank", "card_id"), fixed.BANK_WEIGHTS, fixed.BANK_DEFAULT)
     system = lookups.weighted_case(u("k7:system", "card_id"), fixed.SYSTEM_WEIGHTS, fixed.SYSTEM_DEFAULT)
     cards = draws.pick_grouped(cards.withColumn("_grp", F.concat_ws("/", bank, system)), "_grp", d.bins, "grp", "bin", "k7:bin", ["card_id"], "bin")
-    numbers = draws.unique_codes(cards.select("card_id", "bin"), "card_id",
-                                 lambda r: derive.card_number(F.col("bin"), f"k7:card_digits:{r}", "card_id"), "number")
+    cards = shuffled(cards, 10 ** 9, {"_nine": F.col("card_no")}, "k7:card_digits")
+    full = F.raise_error(F.lit("more cards than numbers")).cast("bigint")
+    cards = cards.withColumn("_p15", F.concat("bin", F.lpad(F.coalesce("_nine", full).cast("string"), 9, "0")))
+    numbers = cards.select("card_id", F.concat("_p15", codecs.luhn_check_digit(F.col("_p15")).cast("string")).alias("number"))
     return uses.join(numbers, "card_id", "left").select("visit_id", "card_id", "use_no", codecs.group4(F.col("number")).alias("card"))
 
 
