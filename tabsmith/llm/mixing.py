@@ -24,6 +24,7 @@ from tabsmith.session import materialize
 
 GRID = 4096             # exponents k / GRID
 BLOCKS = 256            # blocks of a source
+WEIGHTS = 1e9           # weights of sources are whole numbers of 1 / WEIGHTS
 
 
 def n_tokens(text: Column) -> Column:
@@ -36,7 +37,8 @@ def mix_measures(sources: DataFrame, exponent: float, budget: float) -> tuple[fl
     p = F.col("share") ** F.lit(float(exponent))
     r = sources.agg(F.sum(p).alias("z"), F.sum(p * F.log(p)).alias("plogp"), F.max(p / F.col("tokens")).alias("m"), F.count(F.lit(1)).alias("n")).first()
     entropy = math.log(r["z"]) - r["plogp"] / r["z"]
-    return (entropy / math.log(r["n"]) if r["n"] > 1 else 1.0), r["m"] / r["z"] * budget
+    # rounded: the order of a sum must not decide a comparison
+    return (round(entropy / math.log(r["n"]), 9) if r["n"] > 1 else 1.0), round(r["m"] / r["z"] * budget, 9)
 
 
 def choose_exponent(sources: DataFrame, entropy: float, max_repeats: float, budget: float) -> float:
@@ -74,10 +76,14 @@ def draw_mix(docs: DataFrame, entropy: float = 0.95, max_repeats: float = 4.0, b
     sources = materialize(sources.withColumn("share", F.col("tokens") / F.lit(float(max(1, total)))), "sources")
     whole = budget or total
     exponent = choose_exponent(sources, entropy, max_repeats, whole) if total else 1.0
-    p = F.col("share") ** F.lit(exponent)
-    z = sources.agg(F.sum(p)).first()[0] or 1.0
-    target = F.floor(p / F.lit(z) * F.lit(whole)).cast("bigint")
-    plan = sources.select("source", F.floor(target / F.col("tokens")).cast("int").alias("full"), F.pmod(target, F.col("tokens")).alias("rest"))
+    # budgets in whole numbers: weights on a fixed grid, so that no sum of floats and no
+    # order of tasks moves a token; at exponent 1 the weights are the tokens themselves
+    weight = F.col("tokens") if exponent == 1.0 else F.round((F.col("share") ** F.lit(exponent)) * F.lit(WEIGHTS), 0)
+    sources = sources.withColumn("weight", weight.cast("decimal(19,0)"))
+    z = int(sources.agg(F.sum("weight")).first()[0] or 1)
+    target = F.expr(f"CAST(weight * CAST({whole} AS DECIMAL(18,0)) div CAST({z} AS DECIMAL(20,0)) AS BIGINT)")
+    sources = sources.withColumn("target", target)
+    plan = sources.select("source", F.expr("CAST(target div tokens AS INT)").alias("full"), F.expr("target % tokens").alias("rest"))
 
     id_text, src = F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.col("u.source")
     uses = units.alias("u").join(plan.alias("p"), src.eqNullSafe(F.col("p.source")), "left").select(
@@ -100,7 +106,10 @@ def draw_mix(docs: DataFrame, entropy: float = 0.95, max_repeats: float = 4.0, b
 
 
 def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The rows of ``docs``, each as often as the mix uses its document; all columns."""
+    """The rows of ``docs``, each as often as the mix uses its document; all columns.
+
+    Rows with one doc_id and source go together; null ids and sources are matched as in
+    ``draw_mix``; texts without words are kept once; an empty table stays empty."""
     uses = draw_mix(docs, **kw).groupBy("doc_id", "source").agg(F.count(F.lit(1)).cast("int").alias("uses"))
     uses = uses.select(F.col("doc_id").alias("_mix_id"), F.col("source").alias("_mix_source"), F.col("uses").alias("_mix_uses"))
     id_col, source_col = kw.get("id_col", "doc_id"), kw.get("source_col", "source")

@@ -57,10 +57,11 @@ OP7_SQL = r"""
 WITH u AS (SELECT doc_id, source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT n_tokens FROM documents GROUP BY ALL),
 t AS (SELECT sum(n_tokens)::BIGINT total FROM u),
 s AS (SELECT source, sum(n_tokens)::BIGINT tokens, sum(n_tokens)::DOUBLE / any_value(total) share FROM u, t WHERE n_tokens > 0 GROUP BY source),
-g AS (SELECT k, sum(p) z, (ln(sum(p)) - sum(p * ln(p)) / sum(p)) / ln(count(*)) entropy, max(p / tokens) / sum(p) * any_value(total) repeats
+g AS (SELECT k, round((ln(sum(p)) - sum(p * ln(p)) / sum(p)) / ln(count(*)), 9) entropy, round(max(p / tokens) / sum(p) * any_value(total), 9) repeats
       FROM (SELECT k, tokens, share ** (k / 4096.0) p FROM s, range(4097) r(k)), t GROUP BY k),
-e AS (SELECT greatest((SELECT max(k) FROM g WHERE entropy >= 0.95), coalesce((SELECT min(k) FROM g WHERE repeats <= 4), 4096)) k),
-plan AS (SELECT source, tokens, floor(share ** (k / 4096.0) / z * total)::BIGINT target FROM s, t, e JOIN g USING (k)),
+e AS (SELECT greatest((SELECT max(k) FROM g WHERE entropy >= 0.999), coalesce((SELECT min(k) FROM g WHERE repeats <= 4), 4096)) k),
+y AS (SELECT source, tokens, CASE WHEN k = 4096 THEN tokens ELSE round(share ** (k / 4096.0) * 1e9) END::HUGEINT weight FROM s, e),
+plan AS (SELECT source, tokens, (weight * total // (SELECT sum(weight) FROM y))::BIGINT target FROM y, t),
 x AS (SELECT u.*, target // tokens full_passes, target % tokens rest,
              unnest(CASE WHEN n_tokens = 0 THEN [0] ELSE range(0, coalesce(target // tokens, 0) + 1) END)::INT pass
       FROM u LEFT JOIN plan p ON u.source IS NOT DISTINCT FROM p.source),
@@ -73,7 +74,9 @@ SELECT doc_id, source, n_tokens, pass, "start" FROM w WHERE n_tokens = 0 OR pass
 
 @query("op7_mixing", OP7_SQL)
 def op7(spark, sf):
-    return mixing.draw_mix(read(spark, sf, "documents"), entropy=0.95, max_repeats=4.0)
+    """A target above the entropy that the sources have, so that exponents below 1 and
+    second passes occur."""
+    return mixing.draw_mix(read(spark, sf, "documents"), entropy=0.999, max_repeats=4.0)
 
 
 OP8_SQL = """

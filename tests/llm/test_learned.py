@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tabsmith.llm import decontaminate, langid, language_model, mixing, pages, quality, sharding
+from tests.conftest import SF_CHECK
 from tabsmith.llm.common import components
 from tabsmith.llm.queries import ORACLES, QUERIES
 from tabsmith.session import materialize
@@ -252,7 +253,8 @@ def test_mixing_equals_brute_force(spark, entropy, repeats):
         by_pass[(r["source"], r["pass"])].append(r)
         assert sizes[(r["doc_id"], r["source"])] == r["n_tokens"]
     for s, t in tokens.items():
-        target = math.floor(p[s] / sum(p.values()) * total)
+        weight = {x: tokens[x] if k == 4096 else math.floor(y * 1e9 + 0.5) for x, y in p.items()}
+        target = weight[s] * total // sum(weight.values())
         assert target - 17 < used[s] <= target
         assert target / t <= repeats + 1e-6 or k == 4096
         for n in range(target // t):
@@ -265,6 +267,20 @@ def test_mixing_equals_brute_force(spark, entropy, repeats):
     assert {r["doc_id"] for r in got} >= {901, 902}
 
 
+@pytest.mark.parametrize("parts", [1, 8, 200])
+def test_mixing_at_exponent_one_returns_every_document(spark, parts):
+    docs = mix_input(spark).repartition(parts)
+    assert mixing.mixed_documents(docs, entropy=0.1).exceptAll(docs).count() == 0
+    assert mixing.mixed_documents(docs, entropy=0.1).count() == docs.count()
+
+
+def test_mixing_query_repeats_documents(spark):
+    got = QUERIES["op7_mixing"](spark, SF_CHECK)
+    assert got.where("pass > 0").count() > 0
+    ok, msg = compare(got, duck(SF_CHECK), ORACLES["op7_mixing"])
+    assert ok, msg
+
+
 def test_mixing_of_awkward_rows(awkward, no_docs):
     out = mixing.mixed_documents(awkward)
     assert out.columns == awkward.columns
