@@ -22,7 +22,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tabsmith.llm.common import pick, schema, whole_groups
@@ -132,8 +132,22 @@ def parse_blocks(segs: DataFrame) -> DataFrame:
 
 
 def duplicate_spans(docs: DataFrame, size: int = 50, hot: int = 2000) -> DataFrame:
-    """(doc_id, key, spans): windows (first, n) of each document that start elsewhere too.
-    ``docs`` has doc_id, key and text; (doc_id, key) names equal rows only."""
+    """(doc_id, key, spans): windows (first, n) of each document that start elsewhere too;
+    n = -1 stands for all of them. ``docs`` has doc_id, key and text; (doc_id, key) names
+    equal rows only. Rows that occur several times repeat each other as a whole, so one of
+    them stands for all against the others."""
+    copies = materialize(docs.groupBy("doc_id", "key").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("doc_id", "key"), "copies")
+    if copies.isEmpty():
+        return _spans(docs, size, hot)
+    c = copies.select(F.col("doc_id").alias("c_id"), F.col("key").alias("c_key"))
+    same = docs["doc_id"].eqNullSafe(c["c_id"]) & (docs["key"] == c["c_key"])
+    one = docs.join(c, same, "left_anti").union(docs.join(c, same, "left_semi").dropDuplicates(["doc_id", "key"]))
+    whole = copies.select("doc_id", "key", F.array(F.struct(F.lit(0).alias("first"), F.lit(-1).alias("n"))).alias("spans"))
+    both = _spans(one, size, hot).union(whole).groupBy("doc_id", "key").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+    return both
+
+
+def _spans(docs: DataFrame, size: int, hot: int) -> DataFrame:
     anchors = anchor_rows(docs, size)
     often = materialize(anchors.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "anchors")
     wanted = materialize(anchors.join(often, "anchor").select("anchor", "doc_id", "key", "first", "n", (F.col("c") > hot).alias("hot")), "places")
@@ -141,8 +155,14 @@ def duplicate_spans(docs: DataFrame, size: int = 50, hot: int = 2000) -> DataFra
     cold = parse_blocks(segs.where(~F.col("hot")).drop("hot"))
     many = segs.where("hot").withColumn("kind", F.xxhash64("windows"))
     kinds = materialize(many.groupBy("anchor", "kind").agg(F.count(F.lit(1)).alias("c"), F.first(F.struct("doc_id", "key", "first", "windows")).alias("one")), "kinds")
-    equal = (many.join(kinds.where("c > 1").select("anchor", "kind"), ["anchor", "kind"])
-             .select("doc_id", "key", "first", F.size("windows").alias("n")))
+    # a part of a kind with two members knows that both repeat; only what is alone in its
+    # part asks whether the kind has others, at most one row a part
+    parts = max(16, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8)
+    narrow = many.select("anchor", "kind", "doc_id", "key", "first", F.size("windows").alias("n")).withColumn(
+        "part", F.pmod(F.xxhash64("doc_id", "key", "first"), F.lit(parts)))
+    counted = materialize(narrow.withColumn("same", F.count(F.lit(1)).over(Window.partitionBy("anchor", "kind", "part"))), "equal")
+    alone = counted.where("same = 1").join(kinds.where("c > 1").select("anchor", "kind"), ["anchor", "kind"])
+    equal = counted.where("same > 1").select("doc_id", "key", "first", "n").union(alone.select("doc_id", "key", "first", "n"))
     windows = (kinds.select("c", "one.doc_id", "one.key", "one.first", F.posexplode("one.windows").alias("i", "win"))
                .select("c", "doc_id", "key", (F.col("first") + F.col("i")).alias("first"), "win"))
     twice = windows.groupBy("win").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("win")
@@ -158,7 +178,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     A word goes when a window of ``size`` words over it also starts anywhere else, the
     same document included; windows are judged on the input. Null and wordless texts
     have no words (kept: empty). Repeated rows count each: they repeat each other. Rows
-    without doc_id take part like others."""
+    without doc_id take part like others. An empty table gives no rows."""
     src = pick(docs, doc_id=id_col, text=text_col).withColumn("key", F.xxhash64("doc_id", "text"))
     spans = materialize(duplicate_spans(src, size, hot), "spans")
     a, b = src.alias("a"), spans.alias("b")
@@ -188,9 +208,12 @@ def covered(w: Words, spans: pa.ListArray, size: int) -> np.ndarray:
     flat_spans = spans.flatten()
     d = np.repeat(np.arange(len(spans)), np.nan_to_num(np.asarray(spans.value_lengths().fill_null(0))))
     first = np.asarray(flat_spans.field("first")).astype(np.int64) + w.first[d]
+    n = np.asarray(flat_spans.field("n")).astype(np.int64)
+    n = np.where(n < 0, w.n_words[d] - size + 1, n)         # all windows of the document
+    first, n = first[n > 0], n[n > 0]
     delta = np.zeros(len(w.start) + 1, np.int64)
     np.add.at(delta, first, 1)
-    np.add.at(delta, first + np.asarray(flat_spans.field("n")) + size - 1, -1)
+    np.add.at(delta, first + n + size - 1, -1)
     return np.cumsum(delta)[:-1] > 0
 
 

@@ -225,3 +225,22 @@ def test_language_model_counts(docs):
         want[(i, held(i), len(w) + 1, sum(c[x] > 0 for x in w) + (ends > 0), n, round(sum(base(c[x]) for x in w) + base(ends), 5))] += 1
     assert Counter((r["doc_id"], r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], round(r["base_score"], 5)) for r in out) == want
     assert all(r["score"] < 0 and math.isfinite(r["score"]) for r in out)
+
+
+@pytest.mark.parametrize("hot", [1, 2000])
+def test_segments_grow_in_proportion_to_repeated_rows(spark, monkeypatch, hot):
+    """Equal rows stand for each other: 400 copies need no more segments than 200."""
+    made, real = [], substrings.segments
+
+    def counted(*args):
+        out = real(*args)
+        made.append(out.count())
+        return out
+
+    monkeypatch.setattr(substrings, "segments", counted)
+    text = " ".join(f"w{i}" for i in range(60))
+    for n in (200, 400):
+        rows = [(None, text)] * n + [(1, "x " + text), (2, text)]
+        out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), size=35, hot=hot).collect()
+        assert sorted(r["n_removed"] for r in out) == [60] * (n + 2)
+    assert made[0] == made[1] < 30
