@@ -233,6 +233,16 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
     return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(rows, schema(*PAIR)).distinct()
 
 
+def half_bitmaps(classes: DataFrame) -> DataFrame:
+    """The classes with bitmaps of half the size."""
+    def rows(batches):
+        for b in batches:
+            maps = [folded(m, max(8, len(m) // 2)).tobytes() for m in b.column("bitmap").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("cid"), b.column("n"), pa.array(maps, pa.binary())], names=["cid", "n", "bitmap"])
+
+    return classes.select("cid", "n", "bitmap").mapInArrow(rows, schema(("cid", "bigint"), ("n", "bigint"), ("bitmap", "binary")))
+
+
 def bitmap_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """The pairs that sizes and bitmaps allow."""
     side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"m_{c}"))
@@ -326,7 +336,8 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_c
             open_ = now.groupBy("tile").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("tile")
             now = now.join(open_, "tile")
         if seed is None:
-            found = tile_pairs(now.join(bounds, "cid"), percent)
+            # tiles carry half of each bitmap; the pairs they leave meet the whole ones once
+            found = bitmap_filter(tile_pairs(now.join(half_bitmaps(bounds), "cid"), percent), bounds, percent)
         else:
             found = bitmap_filter(pivot_pairs(now.select("tile", "cid", "comp"), seed), bounds, percent)
         if tested is not None:
