@@ -2,8 +2,8 @@
 
 Per-row derivations are column expressions (no shuffle). Table-level ones use joins:
 exact prices through a broadcast lookup, per-visit totals through a partial
-aggregation, and the specialist score through a theta join between the *distinct*
-term vocabulary and a bounded dictionary, so the substring test runs once per
+aggregation, and the specialist score through a substring index of the *distinct* term
+vocabulary and the dictionary, so the substring test is an equi-join that runs once per
 distinct term, not once per row.
 """
 
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tabsmith.functions import codecs
 from tabsmith.functions.draws import pick_index, rand_int, u
 from tabsmith.operators.joins import checked_broadcast
+from tabsmith.session import materialize
 from tabsmith.sources import fixed
 
 
@@ -219,6 +220,7 @@ def null_default(col, default) -> Column:
 # ---- F-20 specialist by matching terms ----------------------------------------------
 
 TERM_SPLIT = r"[^\p{L}\p{N}]+"
+PIECE = 256             # characters of a text whose substrings one row holds
 
 
 def row_terms(df: DataFrame, key: str, text_col: str, out_col: str = "term") -> DataFrame:
@@ -227,14 +229,35 @@ def row_terms(df: DataFrame, key: str, text_col: str, out_col: str = "term") ->
     return df.select(key, F.explode(arr).alias(out_col)).where(F.length(out_col) > 0)
 
 
+def contained(needles: DataFrame, needle_col: str, haystack: DataFrame, hay_col: str) -> DataFrame:
+    """(needle, hay) pairs where the needle occurs in the hay: an equi-join of the needles
+    with the substrings of the hays that have a needle's length. Both frames have distinct
+    values; nothing is compared pair by pair.
+
+    A hay is cut into overlapping pieces, so a row's array of substrings is bounded by
+    PIECE x the number of lengths; pieces carry the hay's number, not its text."""
+    hays = materialize(haystack.select(F.col(hay_col).alias("hay")).where(F.length(hay_col) > 0).withColumn("_id", F.monotonically_increasing_id()), "hays")
+    longest = hays.agg(F.max(F.length("hay"))).first()[0] or 0
+    size = F.length(needle_col)
+    lengths = sorted(r[0] for r in needles.where((size > 0) & (size <= longest)).select(size).distinct().collect())
+    if not lengths:
+        return hays.select(F.col("hay").alias("needle"), "hay").limit(0)
+    pieces = hays.withColumn("_at", F.explode(F.expr(f"sequence(0, (length(hay) - 1) div {PIECE})"))).select(
+        "_id", F.expr(f"substring(hay, _at * {PIECE} + 1, {PIECE + lengths[-1] - 1})").alias("_p"))
+    inside = F.expr(f"""array_distinct(flatten(transform(filter(array({', '.join(map(str, lengths))}), n -> n <= length(_p)),
+        n -> transform(sequence(1, least({PIECE}, length(_p) - n + 1)), s -> substring(_p, s, n)))))""")
+    found = pieces.select("_id", F.explode(inside).alias("needle")).join(needles.select(F.col(needle_col).alias("needle")), "needle").distinct()
+    return found.join(hays, "_id").select("needle", "hay")
+
+
 def term_matches(terms: DataFrame, words: DataFrame, term_col: str = "term", word_col: str = "word") -> DataFrame:
-    """(term, word) pairs where either contains the other. ``terms`` is the distinct
-    vocabulary (grows slowly with the data); ``words`` is a bounded dictionary and is
-    broadcast, so the theta join is linear in the vocabulary."""
-    voc = terms.select(term_col).distinct()
-    wd = checked_broadcast(words.select(word_col).distinct())
-    cond = F.col(term_col).contains(F.col(word_col)) | F.col(word_col).contains(F.col(term_col))
-    return voc.join(wd, cond, "inner")
+    """(term, word) pairs where either contains the other, by the substrings of each side
+    (``contained``): work follows the two vocabularies, not their product. Empty terms and
+    words match nothing."""
+    voc, wd = materialize(terms.select(term_col).distinct(), "terms"), materialize(words.select(word_col).distinct(), "words")
+    in_term = contained(wd, word_col, voc, term_col).select(F.col("hay").alias(term_col), F.col("needle").alias(word_col))
+    in_word = contained(voc, term_col, wd, word_col).select(F.col("needle").alias(term_col), F.col("hay").alias(word_col))
+    return in_term.union(in_word).distinct()
 
 
 def specialist_scores(row_terms_df: DataFrame, key: str, spec_words: DataFrame, spec_col: str,

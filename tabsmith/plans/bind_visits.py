@@ -37,6 +37,14 @@ def _grouped(name: str, source: str) -> str:
             f"n_{name} AS (SELECT g, count(*) AS n FROM {name} GROUP BY g)")
 
 
+def _own(name: str, items: str, item: str, stream: str, size: tuple[int, int]) -> str:
+    """(doctor, item): each doctor's own list, items at places of the doctor's permutation."""
+    return f"""{name}_d AS (SELECT {item}, row_number() OVER (ORDER BY {item}) - 1 AS idx FROM (SELECT DISTINCT {item} FROM {items})),
+{name}_p AS (SELECT doctor, {sql_shuffled(f'(SELECT count(*) FROM {name}_d)', 'i', stream, 'doctor')} AS idx
+  FROM (SELECT doctor, unnest(range({sql_rand_int(*size, stream + ':k', 'doctor')})) AS i FROM doctors)),
+{name} AS (SELECT doctor, {item} FROM {name}_p JOIN {name}_d USING (idx))"""
+
+
 def _lpad(x: str, n: int) -> str:
     return f"lpad(CAST({x} AS VARCHAR), {n}, '0')"
 
@@ -72,8 +80,8 @@ doctors AS (SELECT DISTINCT b.p_brand || ' ' || t.p_type AS doctor FROM voc b, (
 {_index('doc', 'SELECT doctor AS v FROM doctors')},
 symptoms AS (SELECT g || ' ' || p_name || ' ' || t AS word FROM pnames, ptypes, (VALUES {_values(P.grades)}) v(g)),
 analyses AS (SELECT k || ' ' || p_name AS item FROM pnames, (VALUES {_values(P.kinds)}) v(k)),
-own_s AS (SELECT doctor, word FROM doctors, symptoms WHERE {sql_u('k7:own_s', 'doctor', 'word')} < {P.own_symptoms}),
-own_a AS (SELECT doctor, item FROM doctors, analyses WHERE {sql_u('k7:own_a', 'doctor', 'item')} < {P.own_analyses}),
+{_own('own_s', 'symptoms', 'word', 'k7:own_s', P.own_symptoms)},
+{_own('own_a', 'analyses', 'item', 'k7:own_a', P.own_analyses)},
 general_a AS (SELECT * FROM (VALUES {_values(P.general_analyses)}) v(item)),
 {_grouped('allowed', f"SELECT g, doctor AS v FROM doctors, (VALUES ('M'), ('F')) x(g) WHERE {sql_u('k7:allow', 'g', 'doctor')} < {P.allowed}")},
 {_index('surn', 'SELECT n || t AS v FROM pjoined, ptypes')},

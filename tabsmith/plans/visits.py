@@ -48,9 +48,9 @@ class VisitParams:
     grades: tuple = ("faint", "mild", "light", "brief", "dull", "sharp", "severe", "acute", "chronic", "morning", "evening",
                      "sudden", "steady", "rare")             # symptom = grade + part name + type
     kinds: tuple = ("анализ крови", "анализ мочи", "мазок", "узи", "проба")   # analysis = kind + part name
-    own_symptoms: float = 0.01               # shares of a doctor's own lists and of the allow-lists
-    own_analyses: float = 0.05
-    allowed: float = 0.6
+    own_symptoms: tuple[int, int] = (30, 78)     # sizes of a doctor's own lists
+    own_analyses: tuple[int, int] = (8, 24)
+    allowed: float = 0.6                     # share of the allow-lists
     default_specialist: str = "Brand#1 ECONOMY"
     swaps: tuple = (("M", "Brand#1 ECONOMY", "Brand#2 ECONOMY"), ("M", "Brand#3 PROMO", "Brand#2 PROMO"),
                     ("F", "Brand#4 SMALL", "Brand#5 SMALL"), ("F", "Brand#6 LARGE", "Brand#5 LARGE"))
@@ -89,10 +89,14 @@ class Dictionaries:
         self.bins = spark.createDataFrame(rows, "grp string, bin string")
 
     @staticmethod
-    def _own(doctors: DataFrame, items: DataFrame, item_col: str, stream: str, share: float) -> DataFrame:
-        """Each doctor's own list: the items that a draw on (doctor, item) gives them."""
-        every = items.agg(F.collect_set(item_col)).scalar()
-        return doctors.withColumn(item_col, F.explode(every)).where(u(stream, "doctor", item_col) < F.lit(share))
+    def _own(doctors: DataFrame, items: DataFrame, item_col: str, stream: str, size: tuple[int, int]) -> DataFrame:
+        """Each doctor's own list: as many items as a draw says, at the first places of a
+        permutation keyed by the doctor, joined on their index."""
+        numbered = lookups.dictionary(items, item_col, out_col=item_col)
+        n = numbered.count()
+        slots = doctors.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), rand_int(*size, stream + ":k", "doctor"))))
+        at = shuffled(slots, n, {"idx": F.col("_i") - 1}, stream, "doctor")
+        return at.join(numbered, "idx").select("doctor", item_col)
 
 
 def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
