@@ -110,6 +110,16 @@ def sink_project(spark, sf):
         scratch_path(spark, "sink-project"))
 
 
+@query("sink_by_day", """
+SELECT event_id, user_id, ts, CAST(ts AS DATE) AS visit_day FROM events
+""")
+def sink_by_day(spark, sf):
+    """The events by day, written twice: the second write replaces each day by itself."""
+    path, ev = scratch_path(spark, "sink-days"), read(spark, sf, "events").select("event_id", "user_id", "ts")
+    sinks.sink_by_day(ev, "ts", path)
+    return sinks.sink_by_day(ev, "ts", path).select("event_id", "user_id", "ts", "visit_day")
+
+
 @query("sink_csv", "SELECT * FROM nation")
 def sink_csv(spark, sf):
     return sinks.sink_csv(read(spark, sf, "nation"), scratch_path(spark, "sink-csv"))

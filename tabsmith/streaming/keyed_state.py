@@ -2,9 +2,11 @@
 
 T-1 ``run_usage_cap``: the n-th use per key carried across micro-batches. Inside a
 micro-batch the rows are numbered natively (per key and time block, so a hot key is not
-one task's work); the state is one count per key and batch, in a table of its own. Every
-batch overwrites its own folders, so a replayed batch changes nothing. Across
-micro-batches arrival order decides: a row that arrives late gets a later number.
+one task's work); the state is one snapshot of a count per key. Batch k reads the snapshot
+of batch k - 1 and writes its own into the other of two folders, so work and disk follow
+the number of keys and not that of batches, and a replayed batch finds the snapshot it
+read before and changes nothing. Across micro-batches arrival order decides: a row that
+arrives late gets a later number.
 
 T-2 ``stream_first_seen``: first value per key (``dropDuplicates`` keeps state per key;
 with a watermark column, ``dropDuplicatesWithinWatermark``, whose state expires).
@@ -27,18 +29,21 @@ from tabsmith.operators.prefix import keyed_row_number
 def run_usage_cap(stream: DataFrame, out: str, counts: str, checkpoint: str, key_col: str, order_cols: Sequence[str],
                   block: Column) -> StreamingQuery:
     """T-1: writes (columns of the stream, use_no) under ``out``/batch=k, use numbers
-    continuing across micro-batches; ``counts``/batch=k holds the batch's uses per key."""
+    continuing across micro-batches; ``counts``/slot=k mod 2 holds the uses per key after
+    batch k."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark, cols = batch.sparkSession, batch.columns
         numbered = keyed_row_number(batch, [key_col], order_cols, block, "use_no")
+        state = None
         if batch_id > 0:
-            before = (spark.read.parquet(counts).where(F.col("batch") < batch_id).groupBy(F.col(key_col).alias("_key"))
-                      .agg(F.sum("n").alias("_before")))
-            numbered = (numbered.join(before, F.col(key_col).eqNullSafe(F.col("_key")), "left")
+            state = spark.read.parquet(f"{counts}/slot={(batch_id - 1) % 2}").select(F.col(key_col).alias("_key"), F.col("n").alias("_before"))
+            numbered = (numbered.join(state, F.col(key_col).eqNullSafe(F.col("_key")), "left")
                         .withColumn("use_no", F.col("use_no") + F.coalesce("_before", F.lit(0))))
         numbered.select(*cols, "use_no").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-        (spark.read.parquet(f"{out}/batch={batch_id}").groupBy(key_col).agg(F.count(F.lit(1)).alias("n"))
-         .write.mode("overwrite").parquet(f"{counts}/batch={batch_id}"))
+        uses = spark.read.parquet(f"{out}/batch={batch_id}").groupBy(key_col).agg(F.count(F.lit(1)).alias("n"))
+        if state is not None:
+            uses = uses.union(state).groupBy(key_col).agg(F.sum("n").alias("n"))
+        uses.write.mode("overwrite").parquet(f"{counts}/slot={batch_id % 2}")
 
     return (stream.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
