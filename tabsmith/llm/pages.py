@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,8 +24,12 @@ from pyspark.sql import functions as F
 
 from tabsmith.llm.common import pick, schema
 
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-ATTRIBUTE = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?|\"[^\"]*\"|'[^']*'")
+# as HTML reads tags: a name may hold quotes, a value is quoted only right after "="; what
+# begins like a tag and never ends is no text
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)
+    |<(/?)([A-Za-z][^\s/>]*+)((?>[\s/]++|=?+[^\s/>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+|=)*+)>
+    |<[!?/][^>]*>|</?[A-Za-z][^>]*\Z""", re.S | re.X)
+ATTRIBUTE = re.compile(r"""=?([^\s/>=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"'][^\s>]*))?)?""")
 BLANK = re.compile(r"\s+")
 PUNCTUATION = re.compile(r"[.,;:!?…。，？！]")
 
@@ -46,6 +51,11 @@ FURNITURE_WORDS = set("""ad ads adv advert adverts advertisement advertising ads
     recommended recommendations more newsletter subscribe subscription signup login search form pager pagination copyright legal
     disclaimer toolbar complementary contentinfo hidden dialog""".split())
 ARTICLE_WORDS = set("article content main post entry story text body page wrapper container".split())
+#: those that also count on a paragraph or heading by itself
+TEXT_FURNITURE = set("""ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies consent
+    gdpr comment comments newsletter subscribe""".split())
+#: words that name the container of one article
+POST_WORDS = {"article", "post", "entry", "story"}
 #: first words of names that say what a container has or how it is laid out, not what it is
 MODIFIERS = set("has with no without not hide show overflow col row grid flex".split())
 KEPT_TAGS = {"p", "h1", "h2", "h3", "h4", "h5", "h6", "pre", "blockquote", "figcaption"}
@@ -54,13 +64,16 @@ NAME_WEIGHT = 0.1           # of the text in a container named as furniture, aga
 
 
 class Element:
-    __slots__ = ("tag", "name", "parent", "furniture", "named", "in_article")
+    """``path`` is the number of the tag path, ``mark`` the innermost container named as
+    furniture (itself included), ``over`` the next one around that."""
+    __slots__ = ("tag", "path", "parent", "furniture", "mark", "over", "in_article", "in_post")
 
-    def __init__(self, tag: str, name: str, parent: "Element | None", furniture: bool, named: bool = False):
-        self.tag, self.name, self.parent, self.furniture = tag, name, parent, furniture
-        #: containers named as furniture around this one (itself included), outermost first
-        self.named: tuple[Element, ...] = (parent.named if parent else ()) + ((self,) if named else ())
+    def __init__(self, tag: str, path: int, parent: "Element | None", furniture: bool, named: bool = False, post: bool = False):
+        self.tag, self.path, self.parent, self.furniture = tag, path, parent, furniture
+        self.over = parent.mark if parent else None
+        self.mark = self if named else self.over
         self.in_article = tag in ("article", "main") or parent is not None and parent.in_article
+        self.in_post = post or self.in_article or parent is not None and parent.in_post
 
 
 def attributes(tag_rest: str) -> dict[str, str]:
@@ -90,6 +103,10 @@ def is_named_furniture(tag: str, labels: dict[str, str]) -> bool:
             if not words or ":" in name or len(words) > 1 and words[0] in MODIFIERS:
                 continue
             about_article = bool(ARTICLE_WORDS & set(words))
+            if tag in KEPT_TAGS:
+                if TEXT_FURNITURE & {words[0], words[-1]} and not about_article:
+                    return True
+                continue
             if words[-1] in FURNITURE_WORDS and not (about_article and words[-1] == "header") or words[0] in FURNITURE_WORDS and not about_article:
                 return True
     return False
@@ -102,9 +119,9 @@ def without_furniture(blocks: list[tuple[Element, str, int]]) -> list[tuple[Elem
     blocks = [b for b in blocks if not b[0].furniture]
     lifted: set[Element] = set()
     while True:
-        free, held = 0, {}
+        held, free, outer = {}, 0, {}
         for el, text, linked in blocks:
-            mark = next((x for x in el.named if x not in lifted), None)
+            mark = outermost(el.mark, lifted, outer)
             n = max(0, len(text) - linked)
             if mark is None:
                 free += n
@@ -112,13 +129,28 @@ def without_furniture(blocks: list[tuple[Element, str, int]]) -> list[tuple[Elem
                 held[mark] = held.get(mark, 0) + n
         most = max(held, key=held.get, default=None)
         if most is None or held[most] * NAME_WEIGHT <= free:
-            return [b for b in blocks if all(x in lifted for x in b[0].named)]
+            return [b for b in blocks if outermost(b[0].mark, lifted, outer) is None]
         lifted.add(most)
 
 
+def outermost(mark: Element | None, lifted: set, known: dict) -> Element | None:
+    """The outermost container named as furniture that isn't lifted, from ``mark`` outward."""
+    chain = []
+    while mark is not None and mark not in known:
+        chain.append(mark)
+        mark = mark.over
+    found = None if mark is None else known[mark]
+    for el in reversed(chain):
+        found = found or (None if el in lifted else el)
+        known[el] = found
+    return found
+
+
 def blocks_of(page: str) -> list[tuple[Element, str, int]]:
     """Blocks in page order: (innermost block element, text, characters in links)."""
-    root = Element("#", "#", None, False)
+    root = Element("#", 0, None, False)
+    path_no: dict[tuple[int, str], int] = {}
+    open_now: Counter = Counter()
     here, out, text, linked, in_link = root, [], [], 0, False
     articles, at = 0, 0
 
@@ -134,6 +166,7 @@ def blocks_of(page: str) -> list[tuple[Element, str, int]]:
     def close(el: Element) -> Element:
         nonlocal articles
         articles -= el.tag in ("article", "main")
+        open_now[el.tag] -= 1
         return el.parent
 
     pos, n = 0, len(page)
@@ -165,17 +198,14 @@ def blocks_of(page: str) -> list[tuple[Element, str, int]]:
         flush()
         in_link = False
         if closing:
-            el = here
-            while el and el.tag != tag:
-                el = el.parent
-            if el and el is not root:
-                while here is not el:
+            if open_now[tag]:
+                while here.tag != tag:
                     here = close(here)
                 here = close(here)
             continue
         if tag in CLOSES_P and here.tag == "p":
             here = close(here)
-        if tag in SAME_CLOSES:
+        if tag in SAME_CLOSES and any(open_now[t] for t in SAME_CLOSES[tag]):
             el = here
             while el and el.tag not in SAME_CLOSES[tag] and el.tag not in LIST_BORDER:
                 el = el.parent
@@ -185,7 +215,10 @@ def blocks_of(page: str) -> list[tuple[Element, str, int]]:
                 here = close(here)
         labels = attributes(m[3]) if m[3].strip() else {}
         name = ".".join([tag, *sorted(labels.get("class", "").lower().split())])
-        here = Element(tag, f"{here.name}/{name}", here, here.furniture or is_furniture(tag, labels, articles > 0), is_named_furniture(tag, labels))
+        path = path_no.setdefault((here.path, name), len(path_no) + 1)
+        post = bool(POST_WORDS & set(re.split(r"[^a-z]+", labels.get("class", "").lower())))
+        here = Element(tag, path, here, here.furniture or is_furniture(tag, labels, articles > 0 or here.in_post), is_named_furniture(tag, labels), post)
+        open_now[tag] += 1
         articles += tag in ("article", "main")
     flush()
     return out
@@ -196,24 +229,24 @@ def main_text(page: str | None) -> str:
     blocks = without_furniture(blocks_of(page or ""))
     if not blocks:
         return ""
-    paths: dict[str, list[int]] = {}
+    paths: dict[int, list[int]] = {}
     for el, text, linked in blocks:
-        p = paths.setdefault(el.name, [0, 0, 0, 0])
+        p = paths.setdefault(el.path, [0, 0, 0, 0])
         for i, v in enumerate((len(text), len(PUNCTUATION.findall(text)), min(linked, len(text)), 1)):
             p[i] += v
     ratio = {k: c / n * (1 + punct / n) * (1 - links / c) for k, (c, punct, links, n) in paths.items()}
-    mass = [len(text) * ratio[el.name] for el, text, _ in blocks]
+    mass = [len(text) * ratio[el.path] for el, text, _ in blocks]
     marked = [el.in_article for el, _, _ in blocks]
     # outside article and main everything stays, unless they hold nearly all of the mass
     if sum(m for m, x in zip(mass, marked) if x) < KEEP_SHARE * sum(mass) or not any(marked):
         marked = [True] * len(blocks)
     inside = [b for b, x in zip(blocks, marked) if x]
-    mean = sum(len(t) * ratio[el.name] for el, t, _ in inside) / max(1, sum(len(t) for _, t, _ in inside))
+    mean = sum(len(t) * ratio[el.path] for el, t, _ in inside) / max(1, sum(len(t) for _, t, _ in inside))
     kept = []
     for el, text, _ in inside:
-        c, _, links, _ = paths[el.name]
+        c, _, links, _ = paths[el.path]
         menu = links > c / 2 and el.tag not in KEPT_TAGS        # link lists; a linked title or paragraph stays
-        if not menu or ratio[el.name] >= THRESHOLD * mean:
+        if not menu or ratio[el.path] >= THRESHOLD * mean:
             kept.append(text)
     return "\n".join(kept)
 
@@ -222,7 +255,8 @@ def extract_pages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url
     """One row per page: page_id, url, text (main text of the whole html), n_chars.
 
     Null, empty and textless pages give an empty text. Repeated rows and rows without id
-    give one row each. Pages are independent: nothing is shuffled."""
+    give one row each, an empty table none. Paths are numbered, so memory and time follow
+    the page's length however deep it nests. Pages are independent: nothing is shuffled."""
     def rows(batches):
         for b in batches:
             text = [main_text(h) for h in b.column(2).to_pylist()]
