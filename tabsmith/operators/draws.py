@@ -48,28 +48,31 @@ def weighted_slices(weights: DataFrame, order_col: str, value_col: str, weight_c
     return w.select("value", "lo", (F.col("lo") + F.col("_w")).alias("hi"))
 
 
-def pick_weighted_table(df: DataFrame, slices: DataFrame, stream: str, keys: Sequence, out_col: str) -> DataFrame:
+def pick_weighted_table(df: DataFrame, slices: DataFrame, stream: str, keys: Sequence, out_col: str, total: int | None = None,
+                        default=None) -> DataFrame:
     """D-2 with the distribution as data, a table (value, lo, hi) of any size whose slices
-    fill [0, total): each row draws t = floor(u * total) and takes the value of its slice.
+    fill [0, n): each row draws t = floor(u * total) and takes the value of its slice, or
+    ``default`` where there is none. ``total`` is n unless given: less leaves the tail
+    unreachable, more leaves draws to the default.
 
     [0, total) is cut into about as many cells of equal width as there are slices. A slice
     is listed in every cell it meets, a row looks into the cell of its draw (an equi-join),
     and the exact comparison decides. A draw meets 2 slices on average, whatever their
     sizes; the cells hold at most twice as many entries as there are slices, and draws
-    spread evenly over cells. The grid is broadcast only behind the byte check. No slices:
-    null."""
+    spread evenly over cells. The grid is broadcast only behind the byte check."""
     slices = materialize(slices, "weight-slices")
-    n, total = slices.agg(F.count(F.lit(1)), F.max("hi")).first()
+    n, end = slices.agg(F.count(F.lit(1)), F.max("hi")).first()
+    kind = slices.schema["value"].dataType
     if not n:
-        return df.withColumn(out_col, F.lit(None).cast(slices.schema["value"].dataType))
-    width = max(1, -(-total // n))
+        return df.withColumn(out_col, F.lit(default).cast(kind))
+    width = max(1, -(-end // n))
     cell = lambda c: F.call_function("div", c, F.lit(width).cast("bigint"))
     grid = slices.withColumn("_cell", F.explode(F.sequence(cell(F.col("lo")), cell(F.col("hi") - 1))))
     grid = checked_broadcast(grid.select("_cell", "lo", "hi", F.col("value").alias(out_col)))
-    d = df.withColumn("_t", pick_index(total, stream, *keys))
+    d = df.withColumn("_t", pick_index(end if total is None else total, stream, *keys))
     d = d.withColumn("_cell", cell(F.col("_t")))
     j = d.join(grid, (d["_cell"] == grid["_cell"]) & (d["_t"] >= grid["lo"]) & (d["_t"] < grid["hi"]), "left")
-    return j.select(*df.columns, out_col)
+    return j.select(*df.columns, F.coalesce(out_col, F.lit(default).cast(kind)).alias(out_col))
 
 
 def pick_tiered(df: DataFrame, tiers: DataFrame, total, stream: str, keys: Sequence,

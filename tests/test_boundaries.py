@@ -76,10 +76,11 @@ def test_range_join_pick_equals_case_ladder(spark):
     from tabsmith.functions.draws import u
     from tabsmith.sources import fixed, lookups
     cust = spark.read.parquet(f"{SF_CHECK}/customer.parquet").select("c_custkey")
-    weights = lookups.weights_table(spark, [(str(c), w) for c, _, w in fixed.RU_REGIONS])
-    by_join = draws.pick_weighted_table(cust, weights, "t", ["c_custkey"], "region", str(fixed.RU_REGION_DEFAULT))
-    by_case = cust.withColumn("region", lookups.weighted_case(
-        u("t", "c_custkey"), [(str(c), w) for c, _, w in fixed.RU_REGIONS], str(fixed.RU_REGION_DEFAULT)))
+    regions = [(str(c), w) for c, w in fixed.RU_REGIONS]
+    weights = lookups.weights_table(spark, regions)
+    slices = draws.weighted_slices(weights.withColumn("n", F.round(F.col("weight") * 100)), "ord", "key", "n")
+    by_join = draws.pick_weighted_table(cust, slices, "t", ["c_custkey"], "region", total=100, default=str(fixed.RU_REGION_DEFAULT))
+    by_case = cust.withColumn("region", lookups.weighted_case(u("t", "c_custkey"), regions, str(fixed.RU_REGION_DEFAULT)))
     assert by_join.exceptAll(by_case).count() == 0 and by_case.exceptAll(by_join).count() == 0
     # weights sum to 1.04: the tail past 1.0 is unreachable
     hi = {r.key: r.hi for r in weights.collect()}
