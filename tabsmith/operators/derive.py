@@ -11,8 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tabsmith.functions import codecs
 from tabsmith.functions.draws import pick_index, rand_int, u
@@ -221,6 +225,7 @@ def null_default(col, default) -> Column:
 
 TERM_SPLIT = r"[^\p{L}\p{N}]+"
 PIECE = 256             # characters of a text whose substrings one row holds
+SCORE_CELLS = 1 << 20   # sets x specialists added up at a time
 
 
 def row_terms(df: DataFrame, key: str, text_col: str, out_col: str = "term") -> DataFrame:
@@ -260,31 +265,79 @@ def term_matches(terms: DataFrame, words: DataFrame, term_col: str = "term", wor
     return in_term.union(in_word).distinct()
 
 
+def _score_lists(row_terms_df: DataFrame, key: str, spec_words: DataFrame, spec_col: str, word_col: str, term_col: str,
+                 best: bool) -> DataFrame:
+    """(key, specialists, their scores) as two lists, one row per key with a match; with
+    ``best`` only the specialists of the highest score. Specialists are in order.
+
+    A term stands for the set of specialists it matches; a key's terms are counted by set,
+    and the counts of a key's sets are added up inside its row, so a row per (key,
+    specialist) is neither shuffled nor sorted. The distinct sets and the specialists are
+    bounded by the dictionary."""
+    sw = spec_words.select(spec_col, F.lower(F.col(word_col)).alias(word_col)).distinct()
+    matched = term_matches(row_terms_df, sw, term_col, word_col)           # (term, word)
+    term_specs = materialize(matched.join(checked_broadcast(sw), word_col).groupBy(term_col).agg(
+        F.array_sort(F.collect_set(spec_col)).alias("_specs")).where(F.size("_specs") > 0), "term-specialists")
+    sets = materialize(term_specs.select("_specs").distinct().withColumn("_set", F.monotonically_increasing_id()), "specialist-sets")
+    term_sets = term_specs.join(checked_broadcast(sets), "_specs").select(term_col, "_set")
+    counts = row_terms_df.join(checked_broadcast(term_sets), term_col).groupBy(key, "_set").agg(F.count(F.lit(1)).alias("_n"))
+    lists = counts.groupBy(key).agg(F.collect_list(F.struct("_set", "_n")).alias("_l")).select(key, "_l._set", "_l._n")
+
+    known = sorted((r["_set"], r["_specs"]) for r in sets.collect())
+    ids = np.array([i for i, _ in known], np.int64)
+    names = sorted({x for _, specs in known for x in specs})
+    place = {x: i for i, x in enumerate(names)}
+    member = np.zeros((len(known), len(names)), bool)
+    for i, (_, specs) in enumerate(known):
+        member[i, [place[x] for x in specs]] = True
+    kind = sw.schema[spec_col].dataType
+    held = pa.array(names, to_arrow_type(kind))
+
+    def rows(batches):
+        for b in batches:
+            offs = np.asarray(b.column(1).offsets).astype(np.int64)         # the two lists have equal lengths
+            at = 0
+            while at < b.num_rows:          # so many rows that their sets x specialists stay small
+                end = max(at + 1, int(np.searchsorted(offs, offs[at] + SCORE_CELLS // max(1, len(names)), "right")) - 1)
+                of = np.searchsorted(ids, np.asarray(b.column(1).values)[offs[at]:offs[end]])
+                n = np.asarray(b.column(2).values)[offs[at]:offs[end]]
+                score = np.add.reduceat(member[of] * n[:, None], offs[at:end] - offs[at], axis=0)
+                row, spec = np.nonzero((score == score.max(1, keepdims=True)) if best else (score > 0))
+                cuts = pa.array(np.searchsorted(row, np.arange(end - at + 1)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, end - at), pa.ListArray.from_arrays(cuts, held.take(pa.array(spec))),
+                     pa.ListArray.from_arrays(cuts, pa.array(score[row, spec]))], names=[key, spec_col, "score"])
+                at = end
+
+    fields = [T.StructField(key, lists.schema[key].dataType), T.StructField(spec_col, T.ArrayType(kind)), T.StructField("score", T.ArrayType(T.LongType()))]
+    return lists.mapInArrow(rows, T.StructType(fields))
+
+
 def specialist_scores(row_terms_df: DataFrame, key: str, spec_words: DataFrame, spec_col: str,
                       word_col: str = "word", term_col: str = "term") -> DataFrame:
     """(key, specialist, score): score = number of the row's distinct terms that match
     at least one word of the specialist (substring either way)."""
-    sw = spec_words.select(spec_col, F.lower(F.col(word_col)).alias(word_col)).distinct()
-    matched = term_matches(row_terms_df, sw, term_col, word_col)           # (term, word)
-    # one row per matched term, its specialists as one list; (key, term) is unique
-    term_specs = matched.join(checked_broadcast(sw), word_col).groupBy(term_col).agg(F.collect_set(spec_col).alias("_specs"))
-    hits = row_terms_df.join(checked_broadcast(term_specs), term_col).select(key, F.explode("_specs").alias(spec_col))
-    return hits.groupBy(key, spec_col).agg(F.count(F.lit(1)).alias("score"))
+    lists = _score_lists(row_terms_df, key, spec_words, spec_col, word_col, term_col, best=False)
+    return lists.select(key, F.explode(F.arrays_zip(spec_col, "score")).alias("_s")).select(key, f"_s.{spec_col}", "_s.score")
+
+
+def best_specialists(row_terms_df: DataFrame, key: str, spec_words: DataFrame, spec_col: str,
+                     word_col: str = "word", term_col: str = "term") -> DataFrame:
+    """(key, specialists, score): the highest of ``specialist_scores`` of each key and the
+    sorted list of all who have it."""
+    lists = _score_lists(row_terms_df, key, spec_words, spec_col, word_col, term_col, best=True)
+    return lists.select(key, spec_col, F.get("score", F.lit(0)).alias("score"))
 
 
-def choose_specialist(rows: DataFrame, key: str, scores: DataFrame, spec_col: str, all_specs: DataFrame,
+def choose_specialist(rows: DataFrame, key: str, best: DataFrame, spec_col: str, all_specs: DataFrame,
                       default: str, stream: str, out_col: str = "specialist",
                       p_one: float = fixed.SPECIALIST_ONE_MATCH_PROBABILITY,
                       p_default: float = fixed.DEFAULT_ON_NO_MATCH_PROBABILITY) -> DataFrame:
-    """F-20 decision: best score >= 2 -> a best holder at random; = 1 -> a best holder
-    with p_one, else the default; 0 -> the default with p_default, else any specialist."""
-    w = Window.partitionBy(key)
-    best = scores.withColumn("_max", F.max("score").over(w)).where(F.col("score") == F.col("_max"))
-    wb = Window.partitionBy(key).orderBy(spec_col)
-    best = best.withColumn("_bi", (F.row_number().over(wb) - 1).cast("bigint")) \
-        .withColumn("_nb", F.count(F.lit(1)).over(w))
-    chosen = best.where(F.col("_bi") == F.floor(u(stream + ":best", key) * F.col("_nb"))) \
-        .select(key, F.col(spec_col).alias("_best"), F.col("_max").alias("score"))
+    """F-20 decision over ``best_specialists``: best score >= 2 -> a best holder at random;
+    = 1 -> a best holder with p_one, else the default; 0 -> the default with p_default,
+    else any specialist."""
+    at = F.floor(u(stream + ":best", key) * F.size(spec_col)).cast("int")
+    chosen = best.select(key, F.get(spec_col, at).alias("_best"), "score")
     specs = all_specs.select(F.col(spec_col).alias("_any")).distinct()
     n_specs = specs.agg(F.count(F.lit(1))).scalar()
     wa = Window.orderBy("_any")

@@ -193,8 +193,8 @@ def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str,
     v = materialize(v, "visits-symptom-draws")
     by_sym = v.where(~F.col("path_gender"))
     terms = by_sym.select("visit_id", F.explode("symptom_list").alias("term"))
-    scores = derive.specialist_scores(terms, "visit_id", d.own_symptoms.withColumnRenamed("doctor", "spec"), "spec")
-    chosen = derive.choose_specialist(by_sym.select("visit_id"), "visit_id", scores, "spec", d.doctors.select(F.col("value").alias("spec")),
+    best = derive.best_specialists(terms, "visit_id", d.own_symptoms.withColumnRenamed("doctor", "spec"), "spec")
+    chosen = derive.choose_specialist(by_sym.select("visit_id"), "visit_id", best, "spec", d.doctors.select(F.col("value").alias("spec")),
                                       p.default_specialist, "k7:doc_s", out_col="doc_s").drop("score")
     v = v.join(chosen, "visit_id", "left")
     v = v.withColumn("doctor", F.when(F.col("path_gender"), F.col("doc_g")).otherwise(F.col("doc_s")))
