@@ -17,7 +17,8 @@ against all: in each round a tile compares its members with one pivot (the small
 seeded hash, so tiles of one group mostly agree on it), and only members not yet known to
 be connected go on. The last round compares all of these
 with each other, tested by bitmap in the tile, so no link between different components
-is lost.
+is lost. Near copies meet in many tiles: members of large tiles carry their first few, and
+a pair with one of these in common is given only by the first they share.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ from tabsmith.llm.words import Words, in_one_doc, mix, ngrams, pieces
 from tabsmith.session import materialize
 
 SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)     # pivot orders, one round each
+LARGE_TILE = 32         # members of a tile that gives a pair only if it is the first they share
+FIRST_TILES = 12        # so many large tiles a class carries
+NO_TILE = np.iinfo(np.int64).max
 
 
 class ShingleSets:
@@ -207,11 +211,17 @@ def may_link(n1, n2, differing, percent: int):
 
 
 def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all members of a tile in different components that sizes and bitmaps allow."""
+    """(a, b): all members of a tile in different components that sizes and bitmaps allow.
+    ``first`` are tiles that a member is in, too; a pair is left to the smallest in both.
+    A pair that shares none of them comes once from each of its tiles."""
     def rows(batches):
         for t in whole_groups(batches, "tile"):
             tile, cid, comp, n = (t.column(c).to_numpy() for c in ("tile", "cid", "comp", "n"))
             maps = t.column("bitmap").to_pylist()
+            first = np.full((len(tile), FIRST_TILES), NO_TILE)
+            for i, known in enumerate(t.column("first").to_pylist()):
+                if known:
+                    first[i, :len(known)] = known
             out_a, out_b = [], []
             edge = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]]))
             for lo, hi in zip(edge[:-1], edge[1:]):
@@ -224,13 +234,24 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                     j = j[may_link(n[lo + i], n[lo + j], 0, percent) & (100 * np.minimum(n[lo + i], n[lo + j]) >= percent * np.maximum(n[lo + i], n[lo + j]))]
                     differing = np.bitwise_count(m[j] ^ m[i]).sum(1, dtype=np.int64)
                     j = j[may_link(n[lo + i], n[lo + j], differing, percent)]
+                    other = first[lo + j]
+                    meet = np.where((other[:, :, None] == first[lo + i]).any(2), other, NO_TILE).min(1)
+                    j = j[(meet == NO_TILE) | (meet == tile[lo])]
                     out_a.append(np.minimum(cid[lo + i], cid[lo + j]))
                     out_b.append(np.maximum(cid[lo + i], cid[lo + j]))
             if out_a:
                 pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
                 yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
 
-    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(rows, schema(*PAIR)).distinct()
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(rows, schema(*PAIR))
+
+
+def first_tiles(tiles: DataFrame) -> DataFrame:
+    """The tiles (tile, cid, comp), with the first few large ones of each class."""
+    large = tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_TILE).select("tile")
+    first = (tiles.select("tile", "cid").join(large, "tile").groupBy("cid")
+             .agg(F.slice(F.array_sort(F.collect_set("tile")), 1, FIRST_TILES).alias("first")))
+    return tiles.join(first, "cid", "left")
 
 
 def half_bitmaps(classes: DataFrame) -> DataFrame:
@@ -337,7 +358,7 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_c
             now = now.join(open_, "tile")
         if seed is None:
             # tiles carry half of each bitmap; the pairs they leave meet the whole ones once
-            found = bitmap_filter(tile_pairs(now.join(half_bitmaps(bounds), "cid"), percent), bounds, percent)
+            found = bitmap_filter(tile_pairs(first_tiles(now).join(half_bitmaps(bounds), "cid"), percent).distinct(), bounds, percent)
         else:
             found = bitmap_filter(pivot_pairs(now.select("tile", "cid", "comp"), seed), bounds, percent)
         if tested is not None:

@@ -244,3 +244,12 @@ def test_segments_grow_in_proportion_to_repeated_rows(spark, monkeypatch, hot):
         out = substrings.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), size=35, hot=hot).collect()
         assert sorted(r["n_removed"] for r in out) == [60] * (n + 2)
     assert made[0] == made[1] < 30
+
+
+def test_a_pair_of_near_copies_comes_from_one_tile(spark):
+    """60 classes in 20 common tiles, then two of them in a small tile of their own too."""
+    rows = [(1000 * t + 7, c, c) for t in range(20) for c in range(60)] + [(5, 3, 3), (5, 61, 61)]
+    tiles = spark.createDataFrame(rows, "tile long, cid long, comp long")
+    maps = spark.createDataFrame([(c, 20, bytes(8)) for c in range(62)], "cid long, n long, bitmap binary")
+    got = Counter((r["a"], r["b"]) for r in neardup.tile_pairs(neardup.first_tiles(tiles).join(maps, "cid"), 80).collect())
+    assert got == Counter([(a, b) for b in range(60) for a in range(b)] + [(3, 61)])
