@@ -33,14 +33,13 @@ def snils_sum(d9) -> Column:
 def snils_control(d9) -> Column:
     """Control number of 9 digits: weighted sum s = sum d_i * (9 - i);
     s < 100 -> s; s in (100, 101) -> 0; else s mod 101 with 100 -> 0."""
-    s = snils_sum(d9)
-    m = F.pmod(s, F.lit(101))
-    return (
-        F.when(s < 100, s)
-        .when(s.isin(100, 101), F.lit(0))
-        .when(m == 100, F.lit(0))
-        .otherwise(m)
-    ).cast("int")
+    return _control_of(snils_sum(d9))
+
+
+def _control_of(s: Column) -> Column:
+    """The rule in one formula, which holds each digit once or twice: the remainders of 101
+    are 0 to 100, and 100 stands for 0."""
+    return F.when(s < 0, s).otherwise(F.pmod(F.pmod(s, F.lit(101)), F.lit(100))).cast("int")
 
 
 def snils_format(d9) -> Column:
@@ -57,9 +56,9 @@ SNILS_PATTERN = r"^[0-9]{3}-[0-9]{3}-[0-9]{3} [0-9]{2}$"
 def snils_valid(s) -> Column:
     """Format ``XXX-XXX-XXX YY`` and matching control number."""
     x = _c(s)
-    d9 = F.concat(F.substring(x, 1, 3), F.substring(x, 5, 3), F.substring(x, 9, 3))
+    s = sum((digit(x, at) * (9 - i) for i, at in enumerate((1, 2, 3, 5, 6, 7, 9, 10, 11))), F.lit(0))
     given = digit(x, 13) * 10 + digit(x, 14)
-    return F.when(x.rlike(SNILS_PATTERN), snils_control(d9) == given).otherwise(F.lit(False))
+    return F.when(x.rlike(SNILS_PATTERN), _control_of(s) == given).otherwise(F.lit(False))
 
 
 def sql_snils_control(d9: str) -> str:
@@ -106,8 +105,7 @@ def luhn_check_digit(p15) -> Column:
 def luhn_valid(card) -> Column:
     """16 digits once blanks are removed, Luhn sum divisible by 10."""
     x = F.regexp_replace(_c(card), " ", "")
-    s = sum((_luhn_term(digit(x, j + 1), j % 2 == 0) for j in range(16)), F.lit(0))
-    return F.when(x.rlike(r"^[0-9]{16}$"), F.pmod(s, F.lit(10)) == 0).otherwise(F.lit(False))
+    return F.when(x.rlike(r"^[0-9]{16}$"), F.call_function("luhn_check", x)).otherwise(F.lit(False))
 
 
 def group4(d16) -> Column:

@@ -84,13 +84,15 @@ def shuffled(df: DataFrame, n, places: dict[str, Column | int], stream: str, *id
     of 0..n-1 keyed by (seed, stream, ids), for each (out, i) of ``places``. ``n`` and the
     places are whole numbers or columns, n up to 2^52; the column is null for other i.
 
-    One digest a row, whatever the number of places; the rounds are a fold over their keys."""
+    One digest a row, whatever the number of places; the rounds are a fold over their keys,
+    and a place that is null costs nothing."""
     col = lambda x: (x if isinstance(x, Column) else F.lit(int(x))).cast("bigint")
     held, js = [c for c in df.columns if c not in places], range(len(places))
     d = df.withColumns({"__n": col(n), "__h": F.conv(F.substring(F.md5(_key(stream, ids, seed)), 1, 13), 16, 10).cast("bigint") % _P}
                        | {f"__i{j}": col(i) for j, i in enumerate(places.values())})
     keys = ", ".join(f"({a} * __h + {c}) % {_P}" for a, c in _round_keys())
-    d = d.selectExpr("*", "greatest(__n, 1L) AS __m", f"array({keys}) AS __keys")
+    wanted = f"coalesce({', '.join(f'__i{j}' for j in js)}) IS NOT NULL"        # a row without any place has no rounds
+    d = d.selectExpr("*", "greatest(__n, 1L) AS __m", f"CASE WHEN {wanted} THEN array({keys}) END AS __keys")
     d = d.selectExpr("*", f"transform(__keys, k -> named_struct('k', k, 's', {_shift('k', '__m')})) AS __rounds")
     step = _swapped("x", "r.k", "r.s", "__m")
     out = [f"CASE WHEN __i{j} >= 0 AND __i{j} < __n THEN aggregate(__rounds, __i{j}, (x, r) -> {step}) END AS `{name}`" for j, name in enumerate(places)]

@@ -187,10 +187,11 @@ def fallback_lists(rows: DataFrame, row_keys: Sequence[str], group_col: str, own
     d = rows.join(lists, group_col, "left").withColumn("_own", F.coalesce(F.col("_own"), F.array().cast("array<string>")))
     d = d.withColumn("_k", F.least(k, F.lit(k_max)).cast("int")).withColumn("_n", F.least(F.size("_own"), F.col("_k")))
     at, extra = [f"_p{i}" for i in range(k_max)], [f"_g{i}" for i in range(k_max)]
-    d = shuffled(d, F.size("_own"), {c: i for i, c in enumerate(at)}, stream, *row_keys)
-    d = shuffled(d, n_general, {c: i for i, c in enumerate(extra)}, stream + ":general", *row_keys)
+    # only the places that a row picks are looked up in its permutations
+    d = shuffled(d, F.size("_own"), {c: F.when(i < F.col("_n"), F.lit(i)) for i, c in enumerate(at)}, stream, *row_keys)
     short = F.col("_n") < F.col("_k")
-    d = _by_index(d, numbered, {f"_w{i}": F.when(short & (i < F.col("_k")), F.col(c)) for i, c in enumerate(extra)})
+    d = shuffled(d, n_general, {c: F.when(short & (i < F.col("_k")), F.lit(i)) for i, c in enumerate(extra)}, stream + ":general", *row_keys)
+    d = _by_index(d, numbered, {f"_w{i}": F.col(c) for i, c in enumerate(extra)})
     more = F.filter(F.array(*[F.col(f"_w{i}") for i in range(k_max)]), lambda w: w.isNotNull() & ~F.array_contains("_own", w))
     picks = F.concat(_first_places(F.col("_own"), F.col("_n"), at), F.slice(more, F.lit(1), F.col("_k") - F.col("_n")))
     return d.select(*rows.columns, picks.alias(out_col))

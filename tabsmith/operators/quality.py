@@ -9,7 +9,7 @@ row numbers, never per-row loops.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,8 +32,14 @@ class Rule:
 
 def row_errors(df: DataFrame, rules: Sequence[Rule], errors_col: str = "errors", valid_col: str = "valid") -> DataFrame:
     """V-17: all rules in one pass -> errors array<string> (in rule order) and valid flag."""
-    arr = F.array_compact(F.array(*[F.when(r.broken, F.lit(r.code)) for r in rules]))
-    return df.withColumn(errors_col, arr).withColumn(valid_col, F.size(errors_col) == 0)
+    return df.withColumn(errors_col, _codes((r.broken, r.code) for r in rules)).withColumn(valid_col, F.size(errors_col) == 0)
+
+
+def _codes(checks: Iterable[tuple[Column, str]]) -> Column:
+    """The codes of the checks that are true, in order. A concatenation, as a filter over an
+    array of all checks would have each of them interpreted and not compiled."""
+    none = F.array().cast("array<string>")
+    return F.concat(none, *[F.when(broken, F.array(F.lit(code))).otherwise(none) for broken, code in checks])
 
 
 def error_summary(df: DataFrame, errors_col: str = "errors") -> DataFrame:
@@ -62,16 +68,16 @@ def ru_passport_errors(passport, issue, dept, visit) -> Column:
     series_year = (F.ascii(F.substring(p, 3, 1)) - 48) * 10 + (F.ascii(F.substring(p, 4, 1)) - 48)
     dept_region = (F.ascii(F.substring(d, 1, 1)) - 48) * 100 + (F.ascii(F.substring(d, 2, 1)) - 48) * 10 \
         + (F.ascii(F.substring(d, 3, 1)) - 48)
-    checks = F.array(
-        F.when(has_d & ~d.rlike(fixed.DEPT_CODE_PATTERN), F.lit("DEPT_FORMAT")),
-        F.when(has_d & d.rlike(fixed.DEPT_CODE_PATTERN) & (series_region != dept_region), F.lit("REGION_MISMATCH")),
-        F.when(has_i & idt.isNull(), F.lit("ISSUE_UNPARSABLE")),
-        F.when(has_i & (idt < F.lit(fixed.RU_NEW_FORM_DATE).cast("date")), F.lit("ISSUE_BEFORE_NEW_FORM")),
-        F.when(has_i & idt.isNotNull() & (series_year != F.pmod(F.year(idt), F.lit(100))), F.lit("SERIES_YEAR")),
-        F.when(has_i & (idt > vdt), F.lit("ISSUE_AFTER_VISIT")),
-    )
+    checks = [
+        (has_d & ~d.rlike(fixed.DEPT_CODE_PATTERN), "DEPT_FORMAT"),
+        (has_d & d.rlike(fixed.DEPT_CODE_PATTERN) & (series_region != dept_region), "REGION_MISMATCH"),
+        (has_i & idt.isNull(), "ISSUE_UNPARSABLE"),
+        (has_i & (idt < F.lit(fixed.RU_NEW_FORM_DATE).cast("date")), "ISSUE_BEFORE_NEW_FORM"),
+        (has_i & idt.isNotNull() & (series_year != F.pmod(F.year(idt), F.lit(100))), "SERIES_YEAR"),
+        (has_i & (idt > vdt), "ISSUE_AFTER_VISIT"),
+    ]
     return F.when(~p.rlike(fixed.PASSPORT_PATTERNS[0][1]) | p.isNull(), F.array(F.lit("PASSPORT_FORMAT"))) \
-        .otherwise(F.array_compact(checks))
+        .otherwise(_codes(checks))
 
 
 def passport_format_ok(passport, country) -> Column:

@@ -108,14 +108,14 @@ def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: Visit
     c = draws.pick_grouped(c, "gender", d.names, "g", "w", "k7:name", ["client_no"], "name")
     surname = derive.gendered_surname(F.col("surname"), F.col("gender"), p.name_rules)
     c = c.withColumn("full_name", derive.full_name(surname, F.col("name"), F.col("patronymic")))
-    c = c.withColumn("country", lookups.weighted_case(u("k7:country", "client_no"), fixed.COUNTRY_WEIGHTS,
-                                                      fixed.COUNTRY_DEFAULT))
+    # draws that a ladder of cases compares again and again are columns first
+    c = c.withColumns({"_country": u("k7:country", "client_no"), "_region": u("k7:region", "client_no")})
+    c = c.withColumn("country", lookups.weighted_case(F.col("_country"), fixed.COUNTRY_WEIGHTS, fixed.COUNTRY_DEFAULT))
     tiers, total = lookups.tier_table(spark, fixed.AGE_TIERS)
     c = draws.pick_tiered(c, tiers, total, "k7:age", ["client_no"], "age")
     c = c.withColumn("birth_date", derive.birth_date(F.col("visit_ts"), F.col("age"), "k7:birth", "client_no"))
     c = c.withColumn("issue_date", derive.issue_date(F.col("birth_date"), F.col("visit_ts"), "k7:issue", "client_no"))
-    c = c.withColumn("region", lookups.weighted_case(u("k7:region", "client_no"),
-                                                     fixed.RU_REGIONS, fixed.RU_REGION_DEFAULT))
+    c = c.withColumn("region", lookups.weighted_case(F.col("_region"), fixed.RU_REGIONS, fixed.RU_REGION_DEFAULT))
     ru = F.col("country") == "ru"
     unit = derive.ru_passport(F.col("region"), F.col("issue_date"), "k7:dept", "client_no")["dept_code"]
     c = c.select("client_no", "gender", "full_name", "country", "region", "issue_date", F.when(ru, unit).alias("dept_code"))
@@ -132,7 +132,8 @@ def _clients(spark: SparkSession, new_rows: DataFrame, d: Dictionaries, p: Visit
     c = c.withColumn("passport", F.when(ru, F.concat("_series", F.lit(" "), digits(place + 1, 6))).when(F.col("country") == "by", by).otherwise(kz))
     c = shuffled(c, 10 ** 9, {"_nine": F.col("client_no")}, "k7:snils")
     full = F.raise_error(F.lit("more clients than SNILS numbers")).cast("bigint")
-    c = materialize(c.withColumn("snils", codecs.snils_format(digits(F.coalesce("_nine", full), 9))).drop("_series", "_place", "_nine"), "visits-client-codes")
+    c = c.withColumn("_digits", digits(F.coalesce("_nine", full), 9))
+    c = materialize(c.withColumn("snils", codecs.snils_format("_digits")).drop("_series", "_place", "_nine", "_digits"), "visits-client-codes")
     # K-1: one passport per name, first client wins; a later client with the same name
     # takes the first client's passport and SNILS (country from the passport format)
     first = c.groupBy("full_name").agg(F.min_by(F.struct("client_no", "passport", "snils"), "client_no").alias("_f"))
@@ -151,8 +152,9 @@ def _cards(v: DataFrame, d: Dictionaries, p: VisitParams) -> DataFrame:
     number twice (K-6)."""
     uses = materialize(keyed.pool_reuse(v, "visit_id", "k7:card", p.p_reuse, p.card_cap), "visits-card-uses")
     cards = uses.where("new_card").select("card_id", "card_no")
-    bank = lookups.weighted_case(u("k7:bank", "card_id"), fixed.BANK_WEIGHTS, fixed.BANK_DEFAULT)
-    system = lookups.weighted_case(u("k7:system", "card_id"), fixed.SYSTEM_WEIGHTS, fixed.SYSTEM_DEFAULT)
+    bank = lookups.weighted_case(F.col("_bank"), fixed.BANK_WEIGHTS, fixed.BANK_DEFAULT)
+    system = lookups.weighted_case(F.col("_system"), fixed.SYSTEM_WEIGHTS, fixed.SYSTEM_DEFAULT)
+    cards = cards.withColumns({"_bank": u("k7:bank", "card_id"), "_system": u("k7:system", "card_id")})
     cards = draws.pick_grouped(cards.withColumn("_grp", F.concat_ws("/", bank, system)), "_grp", d.bins, "grp", "bin", "k7:bin", ["card_id"], "bin")
     cards = shuffled(cards, 10 ** 9, {"_nine": F.col("card_no")}, "k7:card_digits")
     full = F.raise_error(F.lit("more cards than numbers")).cast("bigint")
@@ -204,7 +206,8 @@ def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str,
     k_a = rand_int(p.analyses[0], p.analyses[1], "k7:k_analyses", "visit_id")
     v = draws.fallback_lists(v, ["visit_id"], "doctor", d.own_analyses, d.general_analyses, "item", k_a, p.analyses[1], "k7:analyses", "analysis_list")
     cost = F.aggregate(F.transform("analysis_list", _price), F.lit(0).cast("bigint"), lambda a, x: a + x)
-    v = v.withColumn("cost", cost).withColumn("result_ts", timecols.result_snap(F.col("visit_ts"), rand_int(24, 72, "k7:result_hours", "visit_id")))
+    v = v.withColumn("cost", cost).withColumn("_hours", rand_int(24, 72, "k7:result_hours", "visit_id"))
+    v = v.withColumn("result_ts", timecols.result_snap(F.col("visit_ts"), F.col("_hours"))).drop("_hours")
     out = v.join(_cards(rows.select("visit_id"), d, p), "visit_id", "left")
     return out.select(
         "visit_id", F.col("client_no").alias("client_id"), "full_name", "gender", "passport", "passport_country",
@@ -213,12 +216,16 @@ def assemble_visits(spark: SparkSession, visits_src: DataFrame, order_col: str,
     )
 
 
-def visit_rules(p: VisitParams | None = None) -> list[quality.Rule]:
-    """The row rules of the clinic table (V-1..V-6, V-9, V-12, V-14, V-16)."""
+def _ru_errors() -> Column:
+    return quality.ru_passport_errors(F.col("passport"), F.col("passport_issue_date").cast("string"), F.col("dept_code"), F.col("visit_ts"))
+
+
+def visit_rules(p: VisitParams | None = None, ru_errs: Column | None = None) -> list[quality.Rule]:
+    """The row rules of the clinic table (V-1..V-6, V-9, V-12, V-14, V-16). ``ru_errs``: the
+    faults of a Russian passport, if there is a column of them."""
     visit_iso, result_iso = timecols.iso_text("visit_ts"), timecols.iso_text("result_ts")
     ru = F.col("passport_country") == "ru"
-    ru_errs = quality.ru_passport_errors(F.col("passport"), F.col("passport_issue_date").cast("string"),
-                                         F.col("dept_code"), F.col("visit_ts"))
+    ru_errs = _ru_errors() if ru_errs is None else ru_errs
     return [
         quality.Rule("NAME_NOT_3_WORDS", quality.name3_broken("full_name")),
         quality.Rule("RU_PASSPORT", ru & (F.size(ru_errs) > 0)),
@@ -236,10 +243,10 @@ def visit_rules(p: VisitParams | None = None) -> list[quality.Rule]:
 def visit_errors(visits: DataFrame) -> DataFrame:
     """Visits with their error codes (V-17 over ``visit_rules``) and, in passport_errors,
     every fault of a Russian passport; rows kept."""
-    out = quality.row_errors(visits, visit_rules())
-    ru = quality.ru_passport_errors(F.col("passport"), F.col("passport_issue_date").cast("string"), F.col("dept_code"), F.col("visit_ts"))
-    detail = F.when(F.col("passport_country") == "ru", F.array_join(ru, ";")).otherwise("")
-    return out.withColumn("errors", F.array_join("errors", ";")).withColumn("passport_errors", detail)
+    ru = F.col("passport_country") == "ru"
+    out = quality.row_errors(visits.withColumn("_ru", F.when(ru, _ru_errors())), visit_rules(ru_errs=F.col("_ru")))
+    detail = F.when(ru, F.array_join("_ru", ";")).otherwise("")
+    return out.withColumn("errors", F.array_join("errors", ";")).withColumn("passport_errors", detail).drop("_ru")
 
 
 def visits_from(spark: SparkSession, sf_dir: str, p: VisitParams | None = None) -> DataFrame:

@@ -4,7 +4,7 @@ import time
 
 from pyspark.sql import functions as F
 
-from tabsmith.session import SHUFFLE_CLEANUP, materialize
+from tabsmith.session import WHILE_WRITING, materialize
 
 
 def shuffle_files(spark) -> set[str]:
@@ -12,12 +12,12 @@ def shuffle_files(spark) -> set[str]:
     return {x for x in blocks.mkString(",").split(",") if x.startswith("shuffle_")}
 
 
-def test_the_setting_holds_only_while_a_stage_is_written(spark):
-    setting = spark.conf.get(SHUFFLE_CLEANUP, None)
+def test_settings_hold_only_while_a_stage_is_written(spark):
+    settings = {x: spark.conf.get(x, None) for x in WHILE_WRITING}
     kept = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
     out = materialize(kept.join(spark.range(7).withColumnRenamed("id", "k").repartition(3, "k"), "k"), "cleaned")
     assert {r["k"]: r["count"] for r in out.collect()} == {r["k"]: r["count"] for r in kept.collect()}
-    assert spark.conf.get(SHUFFLE_CLEANUP, None) == setting
+    assert {x: spark.conf.get(x, None) for x in WHILE_WRITING} == settings
 
 
 def test_no_shuffle_files_wait_for_the_driver(spark):
