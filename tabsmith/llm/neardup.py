@@ -13,9 +13,9 @@ In a tile a pair is tested by hashed bitmaps: each set toggles one bit per shing
 from above. What passes is decided by intersecting the sorted shingle arrays.
 
 Equal sets are one class and are joined once. A group of near copies is not compared all
-against all: in each round a tile compares its members with one pivot (the smallest by a
-seeded hash, so tiles of one group mostly agree on it), and only members not yet known to
-be connected go on. The last round compares all of these
+against all: a tile first compares its members with two pivots (the smallest by a seeded
+hash each, so tiles of one group mostly agree on them; a tile's rows name both), and only
+members not yet known to be connected go on. The second round compares all of these
 with each other, tested by bitmap in the tile, so no link between different components
 is lost. Near copies meet in many tiles: members of large tiles carry their first few, and
 a pair with one of these in common is given only by the first they share.
@@ -25,17 +25,18 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabsmith.llm.common import components, pick, schema, whole_groups
+from tabsmith.llm.common import both_of, components, pick, schema, whole_groups
 from tabsmith.llm.words import Words, in_one_doc, mix, ngrams, pieces
 from tabsmith.session import materialize
 
-SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)     # pivot orders, one round each
+SEEDS = (0x5851F42D4C957F2D, 0x14057B7EF767814F)     # pivot orders
 LARGE_TILE = 32         # members of a tile that gives a pair only if it is the first they share
 FIRST_TILES = 12        # so many large tiles a class carries
 NO_TILE = np.iinfo(np.int64).max
+PIVOTS = [f"pivot{i}" for i in range(len(SEEDS))]
 
 
 class ShingleSets:
@@ -147,7 +148,8 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
 
 
 def shared_tiles(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """(tile, cid) of the tiles with at least two classes. A task gives each class once."""
+    """(tile, cid, pivots) of the tiles with at least two classes; pivots are the tile's
+    smallest classes in the orders of SEEDS. A task gives each class once."""
     def enter(batches):
         seen: set[int] = set()
         for b in batches:
@@ -165,33 +167,21 @@ def shared_tiles(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
             new = np.concatenate([[True], (tile[1:] != tile[:-1]) | (cid[1:] != cid[:-1])])
             tile, cid = tile[new], cid[new]
             alone = np.concatenate([[True], tile[1:] != tile[:-1]]) & np.concatenate([tile[1:] != tile[:-1], [True]])
-            yield pa.RecordBatch.from_arrays([pa.array(tile[~alone]), pa.array(cid[~alone])], names=["tile", "cid"])
+            tile, cid = tile[~alone], cid[~alone]
+            begin = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]])) if len(tile) else np.zeros(0, np.int64)
+            members = np.diff(np.concatenate([begin, [len(tile)]]))
+            pivots = [cid[np.repeat(np.lexsort((mix(cid.view(np.uint64) ^ np.uint64(seed)), tile))[begin], members)] for seed in SEEDS]
+            yield pa.RecordBatch.from_arrays([pa.array(tile), pa.array(cid), *map(pa.array, pivots)], names=["tile", "cid", *PIVOTS])
 
-    kind = schema(("tile", "bigint"), ("cid", "bigint"))
-    entered = docs.select("text").mapInArrow(enter, kind)
-    return entered.repartition("tile").sortWithinPartitions("tile", "cid").mapInArrow(shared, kind)
+    entered = docs.select("text").mapInArrow(enter, schema(("tile", "bigint"), ("cid", "bigint")))
+    return (entered.repartition("tile").sortWithinPartitions("tile", "cid")
+            .mapInArrow(shared, schema(("tile", "bigint"), ("cid", "bigint"), *[(p, "bigint") for p in PIVOTS])))
 
 
-PAIR = [("a", "bigint"), ("b", "bigint")]
-
-
-def pivot_pairs(tiles: DataFrame, seed: int) -> DataFrame:
-    """(a, b): each member of a tile with the tile's pivot, if their components differ."""
-    def rows(batches):
-        for t in whole_groups(batches, "tile"):
-            tile, cid, comp = (t.column(c).to_numpy() for c in ("tile", "cid", "comp"))
-            place = mix(cid.view(np.uint64) ^ np.uint64(seed))
-            order = np.lexsort((place, tile))
-            tile, cid, comp = tile[order], cid[order], comp[order]
-            begin = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
-            pivot = np.repeat(begin, np.diff(np.concatenate([begin, [len(tile)]])))
-            use = comp != comp[pivot]
-            pair = np.stack([cid[use], cid[pivot[use]]])
-            pair.sort(axis=0)
-            pair = np.unique(pair, axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
-
-    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(rows, schema(*PAIR)).distinct()
+def pivot_pairs(tiles: DataFrame) -> DataFrame:
+    """(a, b): each member of a tile with each of the tile's pivots."""
+    return (tiles.select("cid", F.explode(F.array(*PIVOTS)).alias("pivot")).where("cid <> pivot")
+            .select(F.least("cid", "pivot").alias("a"), F.greatest("cid", "pivot").alias("b")).distinct())
 
 
 def folded(bitmap: bytes, size: int) -> np.ndarray:
@@ -211,8 +201,8 @@ def may_link(n1, n2, differing, percent: int):
 
 
 def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all members of a tile in different components that sizes and bitmaps allow.
-    ``first`` are tiles that a member is in, too; a pair is left to the smallest in both.
+    """(a, b, comp_a, comp_b): all members of a tile in different components that sizes and
+    bitmaps allow, with their components. ``first`` are tiles that a member is in, too; a pair is left to the smallest in both.
     A pair that shares none of them comes once from each of its tiles."""
     def rows(batches):
         for t in whole_groups(batches, "tile"):
@@ -222,7 +212,7 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
             for i, known in enumerate(t.column("first").to_pylist()):
                 if known:
                     first[i, :len(known)] = known
-            out_a, out_b = [], []
+            out = []
             edge = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1], [True]]))
             for lo, hi in zip(edge[:-1], edge[1:]):
                 if (comp[lo:hi] == comp[lo]).all():
@@ -237,21 +227,35 @@ def tile_pairs(tiles: DataFrame, percent: int) -> DataFrame:
                     other = first[lo + j]
                     meet = np.where((other[:, :, None] == first[lo + i]).any(2), other, NO_TILE).min(1)
                     j = j[(meet == NO_TILE) | (meet == tile[lo])]
-                    out_a.append(np.minimum(cid[lo + i], cid[lo + j]))
-                    out_b.append(np.maximum(cid[lo + i], cid[lo + j]))
-            if out_a:
-                pair = np.unique(np.stack([np.concatenate(out_a), np.concatenate(out_b)]), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+                    less = cid[lo + i] < cid[lo + j]
+                    both = [[np.where(less, x[lo + i], x[lo + j]), np.where(less, x[lo + j], x[lo + i])] for x in (cid, comp)]
+                    out.append(np.stack([*both[0], *both[1]]))
+            if out:
+                pair = np.unique(np.concatenate(out, axis=1), axis=1)
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, pair)), names=names)
 
-    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(rows, schema(*PAIR))
+    names = ["a", "b", "comp_a", "comp_b"]
+    return tiles.repartition("tile").sortWithinPartitions("tile").mapInArrow(rows, schema(*[(c, "bigint") for c in names]))
 
 
 def first_tiles(tiles: DataFrame) -> DataFrame:
-    """The tiles (tile, cid, comp), with the first few large ones of each class."""
-    large = tiles.groupBy("tile").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= LARGE_TILE).select("tile")
-    first = (tiles.select("tile", "cid").join(large, "tile").groupBy("cid")
-             .agg(F.slice(F.array_sort(F.collect_set("tile")), 1, FIRST_TILES).alias("first")))
-    return tiles.join(first, "cid", "left")
+    """The rows (tile, cid, comp) of the tiles with several components, with the first few
+    large ones of these tiles of each class."""
+    def several(batches):
+        for t in whole_groups(batches, "tile"):
+            tile, comp = t.column("tile").to_numpy(), t.column("comp").to_numpy()
+            begin = np.flatnonzero(np.concatenate([[True], tile[1:] != tile[:-1]]))
+            members = np.diff(np.concatenate([begin, [len(tile)]]))
+            mixed = np.repeat(np.minimum.reduceat(comp, begin) != np.maximum.reduceat(comp, begin), members)
+            t = t.append_column("large", pa.array(np.repeat(members >= LARGE_TILE, members)))
+            yield from t.filter(pa.array(mixed)).to_batches()
+
+    mixed = (tiles.select("tile", "cid", "comp").repartition("tile").sortWithinPartitions("tile")
+             .mapInArrow(several, schema(("tile", "bigint"), ("cid", "bigint"), ("comp", "bigint"), ("large", "boolean"))))
+    one = Window.partitionBy("cid")
+    nth = F.row_number().over(one.orderBy(F.desc("large"), "tile"))
+    return (mixed.withColumn("few", F.when(F.col("large") & (nth <= FIRST_TILES), F.col("tile")))
+            .withColumn("first", F.collect_set("few").over(one)).drop("few", "large"))
 
 
 def half_bitmaps(classes: DataFrame) -> DataFrame:
@@ -265,8 +269,8 @@ def half_bitmaps(classes: DataFrame) -> DataFrame:
 
 
 def bitmap_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs that sizes and bitmaps allow."""
-    side = lambda c: classes.select(F.col("cid").alias(c), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"m_{c}"))
+    """The pairs that sizes and bitmaps allow, with the documents of the classes (rep_a, rep_b)."""
+    side = lambda c: classes.select(F.col("cid").alias(c), F.col("rep").alias(f"rep_{c}"), F.col("n").alias(f"n_{c}"), F.col("bitmap").alias(f"m_{c}"))
     near = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
 
     def rows(batches):
@@ -276,14 +280,15 @@ def bitmap_filter(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFra
             for i, (x, y) in enumerate(zip(b.column("m_a").to_pylist(), b.column("m_b").to_pylist())):
                 size = min(len(x), len(y))
                 differing[i] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)
-            yield b.select(["a", "b"]).filter(pa.array(may_link(n1, n2, differing, percent)))
+            yield b.select(kept.names).filter(pa.array(may_link(n1, n2, differing, percent)))
 
-    return (pairs.join(side("a"), "a").join(side("b"), "b").where(near)
-            .select("a", "b", "n_a", "n_b", "m_a", "m_b").mapInArrow(rows, schema(*PAIR)))
+    met = pairs.join(side("a"), "a").join(side("b"), "b").where(near)
+    kept = met.select(*pairs.columns, "rep_a", "rep_b").schema
+    return met.select(*kept.names, "n_a", "n_b", "m_a", "m_b").mapInArrow(rows, kept)
 
 
 def sorted_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(cid, shingles) of the wanted classes (cid, rep): sorted shingle hashes."""
+    """(cid, shingles) of the wanted classes (cid, doc_id): sorted shingle hashes."""
     def rows(batches):
         for b in batches:
             for piece, buf, offs in pieces(b, "text"):
@@ -292,14 +297,15 @@ def sorted_shingles(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFra
                 arrays = pa.LargeListArray.from_arrays(pa.array(s.first), pa.array(s.g.view(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([piece.column(1).take(pa.array(keep)), arrays.take(pa.array(keep))], names=["cid", "shingles"])
 
-    have = docs.join(wanted.select(F.col("rep").alias("doc_id"), "cid"), "doc_id").select("text", "cid")
+    # texts are shuffled at every size; as a broadcast the wanted ones would grow with the input
+    have = docs.join(wanted.hint("merge"), "doc_id").select("text", "cid")
     return have.mapInArrow(rows, schema(("cid", "bigint"), ("shingles", "array<bigint>"))).dropDuplicates(["cid"])
 
 
-def linked_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs whose shingle sets are similar enough, by exact intersection."""
-    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select(F.col("b").alias("cid"))).distinct()
-    sets = materialize(sorted_shingles(docs, classes.join(ends, "cid").select("cid", "rep"), shingle), "shingles")
+def linked_pairs(pairs: DataFrame, docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The pairs (with rep_a, rep_b) whose shingle sets are similar enough, by exact intersection."""
+    wanted = both_of(pairs, ("rep_a", "a"), ("rep_b", "b")).toDF("doc_id", "cid").distinct()
+    sets = sorted_shingles(docs, wanted, shingle)       # both joins below use one shuffle of it
 
     def rows(batches):
         for batch in batches:
@@ -313,17 +319,11 @@ def linked_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame, shingle:
                     at_q = np.searchsorted(q, p)
                     both = int((q[np.minimum(at_q, len(q) - 1)] == p).sum()) if len(q) else 0
                     ok[i] = 100 * both >= percent * (len(p) + len(q) - both)
-                yield b.select(["a", "b"]).filter(pa.array(ok))
+                yield b.select(kept.names).filter(pa.array(ok))
 
     side = lambda c, v: sets.select(F.col("cid").alias(c), F.col("shingles").alias(v))
-    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(rows, schema(*PAIR))
-
-
-def star_labels(links: DataFrame) -> DataFrame:
-    """(id, comp): the smallest id among a node and its direct links. Nodes of one label
-    are connected; connected nodes may have several labels."""
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return materialize(both.groupBy(F.col("a").alias("id")).agg(F.min("b").alias("m")).select("id", F.least("id", "m").alias("comp")), "labels")
+    kept = pairs.drop("rep_a", "rep_b").schema
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select(*kept.names, "x", "y").mapInArrow(rows, kept)
 
 
 def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -340,43 +340,33 @@ def similar_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, id_c
     classes = materialize(usable.groupBy("cid").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bitmap").alias("bitmap")), "classes")
     named = src.where(F.col("doc_id").isNotNull())
     tiles = materialize(shared_tiles(named, shingle, percent), "tiles")
-    bounds = classes.select("cid", "n", "bitmap")
 
     # rows of one doc_id with different texts belong together
     one_id = usable.groupBy("doc_id").agg(F.min("cid").alias("a"), F.max("cid").alias("z")).where("a <> z")
     links = materialize(usable.join(one_id.select("doc_id", "a"), "doc_id").select("a", F.col("cid").alias("b")).where("a <> b").distinct(), "links")
-    tested, comp = None, None
-    for seed in (*SEEDS, None):
-        if not links.isEmpty():
-            # before the last round true components; before a pivot round a cheap refinement
-            comp = star_labels(links) if seed is not None else components(links)
-        if comp is None:
-            now = tiles.withColumn("comp", F.col("cid"))
-        else:
-            now = tiles.join(comp.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-            open_ = now.groupBy("tile").agg(F.min("comp").alias("c1"), F.max("comp").alias("c2")).where("c1 <> c2").select("tile")
-            now = now.join(open_, "tile")
-        if seed is None:
-            # tiles carry half of each bitmap; the pairs they leave meet the whole ones once
-            found = bitmap_filter(tile_pairs(first_tiles(now).join(half_bitmaps(bounds), "cid"), percent).distinct(), bounds, percent)
-        else:
-            found = bitmap_filter(pivot_pairs(now.select("tile", "cid", "comp"), seed), bounds, percent)
-        if tested is not None:
-            found = found.join(tested, ["a", "b"], "left_anti")
-        found = materialize(found, "pairs")
-        if found.isEmpty():
-            continue
-        new = materialize(linked_pairs(found, named, classes, shingle, percent), "links")
-        tested = found if tested is None else tested.union(found)
-        links = links.union(new)
-        if seed is None and not new.isEmpty():
-            comp = components(links)
+
+    def tested(pairs: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The pairs that the bitmaps allow, and those of them that are linked."""
+        found = materialize(bitmap_filter(pairs, classes, percent), "pairs")
+        return found, None if found.isEmpty() else materialize(linked_pairs(found, named, shingle, percent), "links")
+
+    group = classes.select("cid", "rep", F.col("cid").alias("comp"))
+    now = tiles.select("tile", "cid", F.col("cid").alias("comp"))
+    found, near = tested(pivot_pairs(tiles))
+    links = links if near is None else links.union(near)
+    if not links.isEmpty():
+        comp = components(links).select(F.col("id").alias("cid"), F.col("comp").alias("known"))
+        group, now = (x.join(comp, "cid", "left").withColumn("comp", F.coalesce("known", "cid")).drop("known") for x in (group, now))
+    # tiles carry half of each bitmap; the pairs they leave meet the whole ones once
+    rest = tile_pairs(first_tiles(now).join(half_bitmaps(classes), "cid"), percent).dropDuplicates(["a", "b"])
+    _, near = tested(rest.join(found.select("a", "b"), ["a", "b"], "left_anti"))
+    if near is not None and not near.isEmpty():         # these links join whole components
+        comp = components(near.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b"))).select(F.col("id").alias("comp"), F.col("comp").alias("known"))
+        group = group.join(comp, "comp", "left").withColumn("comp", F.coalesce("known", "comp")).drop("known")
 
     # back to documents: the smallest doc_id of each component
-    comp = comp if comp is not None else links.select(F.col("a").alias("id"), F.col("b").alias("comp"))
-    c = classes.select("cid", "rep").join(comp.select(F.col("id").alias("cid"), "comp"), "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
-    low = c.groupBy("comp").agg(F.min("rep").alias("component"))
-    final = c.join(low, "comp").select("cid", F.col("rep").alias("class_id"), "component")
+    low = group.groupBy("comp").agg(F.min("rep").alias("component"))
+    final = group.join(low, "comp").select("cid", F.col("rep").alias("class_id"), "component")
     has = sets.withColumn("key", F.when(F.col("doc_id").isNotNull() & (F.col("n") > 0), F.col("cid")))
     out = has.where("key IS NOT NULL").join(final.withColumnRenamed("cid", "key"), "key")
     none = has.where("key IS NULL")

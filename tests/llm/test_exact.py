@@ -3,6 +3,7 @@ substring removal, decontamination, language-model counts."""
 
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -10,7 +11,8 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from tabsmith.llm import decontaminate, language_model, neardup, sharding, substrings, topk
+from tabsmith.llm import common, decontaminate, language_model, neardup, sharding, substrings, topk
+from tabsmith.llm.words import mix
 
 
 def rows_of(df):
@@ -253,3 +255,47 @@ def test_a_pair_of_near_copies_comes_from_one_tile(spark):
     maps = spark.createDataFrame([(c, 20, bytes(8)) for c in range(62)], "cid long, n long, bitmap binary")
     got = Counter((r["a"], r["b"]) for r in neardup.tile_pairs(neardup.first_tiles(tiles).join(maps, "cid"), 80).collect())
     assert got == Counter([(a, b) for b in range(60) for a in range(b)] + [(3, 61)])
+
+
+def test_the_jaccard_join_takes_few_shuffles(spark, monkeypatch):
+    """Near copies in a chain, the first and last far apart, so that both rounds find links."""
+    shuffles, written = [], neardup.materialize
+
+    def counted(df, name="stage"):
+        shuffles.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return written(df, name)
+
+    monkeypatch.setattr(neardup, "materialize", counted)
+    monkeypatch.setattr(common, "materialize", counted)
+    rng = np.random.default_rng(4)
+    base, rows = [f"v{x}" for x in rng.integers(0, 5000, 120)], []
+    for i in range(150):
+        base = list(base)
+        base[int(rng.integers(0, len(base)))] = f"n{i}"
+        rows.append((i, " ".join(base)))
+    out = neardup.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"]) for r in out.collect()) == brute_components(rows, 3, 90)
+    assert len(shuffles) <= 14 and sum(shuffles) <= 40
+
+
+def test_components_do_not_shuffle_the_edges_first(spark, monkeypatch):
+    """Stars are done in one round, so one written stage."""
+    written, real = [], common.materialize
+    monkeypatch.setattr(common, "materialize", lambda df, name="stage": written.append(name) or real(df, name))
+    edges = [(100 * s, 100 * s + i) for s in range(3) for i in range(1, 9)] + [(5000, 5000), (108, 100), (101, 100)]
+    got = Counter(tuple(r) for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    assert got == Counter((100 * s + i, 100 * s) for s in range(3) for i in range(9)) and len(written) == 1
+
+
+def test_a_tile_names_the_pivots_of_all_its_classes(spark):
+    rng = random.Random(6)
+    base = [f"p{i}" for i in range(200)]
+    rows = [(i, " ".join(w if rng.random() < 0.99 else f"q{rng.random()}" for w in base)) for i in range(40)]
+    tiles = neardup.shared_tiles(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90).collect()
+    members: dict = {}
+    for r in tiles:
+        members.setdefault(r["tile"], []).append(r["cid"])
+    assert any(len(c) > 2 for c in members.values())
+    place = lambda c, seed: int(mix(np.array([c]).view(np.uint64) ^ np.uint64(seed))[0])
+    for r in tiles:
+        assert [r[p] for p in neardup.PIVOTS] == [min(members[r["tile"]], key=lambda c: place(c, s)) for s in neardup.SEEDS]
